@@ -1,0 +1,96 @@
+"""Invented claims for trying the pipeline: one claim per number of a numeric column.
+
+Every attribute is a slice of one SHA-256 digest of (seed, number), so a claim depends only on its number: any
+partitioning, any cluster and any retry of a lost task give the same rows.
+"""
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from claimloom.functions.columns import zero_padded
+from claimloom.schema import RAW_CLAIMS
+
+DEFAULT_ROWS = 500_000
+DEFAULT_SEED = 42
+
+# Drugs as (code, name, class).
+DRUGS = (
+    ("00002143301", "Insulin Glargine", "DIABETES"),
+    ("00069154041", "Apixaban", "ANTICOAGULANT"),
+    ("00310015130", "Atorvastatin", "CHOLESTEROL"),
+    ("00456345063", "Metformin", "DIABETES"),
+    ("00143988401", "Lisinopril", "HYPERTENSION"),
+    ("00074577490", "Adalimumab", "IMMUNOLOGY"),
+    ("00169368712", "Semaglutide", "DIABETES"),
+    ("00088221905", "Rivaroxaban", "ANTICOAGULANT"),
+    ("00378395193", "Amlodipine", "HYPERTENSION"),
+    ("00093221056", "Omeprazole", "GASTROINTESTINAL"),
+    ("00378718193", "Metoprolol", "CARDIOLOGY"),
+    ("00904584061", "Gabapentin", "NEUROLOGY"),
+    ("00071015523", "Rosuvastatin", "CHOLESTEROL"),
+    ("00003089121", "Apremilast", "IMMUNOLOGY"),
+    ("00054327099", "Oxycodone", "PAIN"),
+)
+
+# Member states, status shares in percent, quantities, days of supply.
+STATES = (
+    "FL", "TX", "CA", "NY", "IL", "PA", "OH", "GA", "NC", "MI",
+    "WA", "AZ", "MA", "TN", "IN", "MO", "MD", "WI", "CO", "MN",
+)
+STATUS_SHARES = (("PAID", 80), ("ADJUDICATED", 12), ("REVERSED", 8))
+QUANTITIES = (30, 60, 90, 180)
+DAYS_SUPPLIES = (30, 60, 90)
+
+# Number of members and plans, provider numbers, year, amount range in cents.
+MEMBERS = 15_000
+PLANS = 25
+PROVIDERS = (1_000_000_000, 9_999_999_999)
+YEAR = 2024
+AMOUNT_CENTS = (1_000, 800_000)
+
+
+def _pick(values, index: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+
+
+def claims_for_numbers(numbers: DataFrame, column: str, seed: int = DEFAULT_SEED) -> DataFrame:
+    """One invented claim per row of `numbers`."""
+    number = F.col(column)
+    digest = F.col("digest")
+
+    def draw(start: int, digits: int, choices: int) -> Column:
+        """Uniform integer below `choices` from a slice of the digest."""
+        return F.conv(F.substring(digest, start, digits), 16, 10).cast("bigint") % choices
+
+    drug = draw(1, 6, len(DRUGS))
+    percent = draw(53, 6, 100)
+    status = F.lit(STATUS_SHARES[-1][0])
+    reached = 100 - STATUS_SHARES[-1][1]
+    for name, share in reversed(STATUS_SHARES[:-1]):
+        status = F.when(percent < reached, name).otherwise(status)
+        reached -= share
+    month, day = draw(7, 4, 12) + 1, draw(11, 4, 28) + 1
+    cents = draw(31, 8, AMOUNT_CENTS[1] - AMOUNT_CENTS[0] + 1) + AMOUNT_CENTS[0]
+    digests = numbers.select(
+        number.alias("number"), F.sha2(F.concat_ws(":", F.lit(str(seed)), number.cast("string")), 256).alias("digest")
+    )
+    return digests.select(
+        F.concat(F.lit("CLM"), zero_padded(F.col("number"), 8)).alias("claim_id"),
+        F.concat(F.lit("MBR"), zero_padded(draw(15, 6, MEMBERS) + 1, 6)).alias("member_id"),
+        _pick([code for code, _, _ in DRUGS], drug).alias("ndc_code"),
+        _pick([name for _, name, _ in DRUGS], drug).alias("drug_name"),
+        _pick([kind for _, _, kind in DRUGS], drug).alias("drug_class"),
+        (draw(21, 10, PROVIDERS[1] - PROVIDERS[0] + 1) + PROVIDERS[0]).cast("string").alias("npi_number"),
+        F.concat_ws("-", F.lit(str(YEAR)), zero_padded(month, 2), zero_padded(day, 2)).alias("service_date"),
+        (cents / 100).alias("claim_amount"),
+        _pick([float(q) for q in QUANTITIES], draw(39, 4, len(QUANTITIES))).alias("quantity"),
+        _pick(DAYS_SUPPLIES, draw(43, 4, len(DAYS_SUPPLIES))).alias("days_supply"),
+        F.concat(F.lit("PLAN_"), zero_padded(draw(47, 3, PLANS) + 1, 3)).alias("plan_id"),
+        _pick(STATES, draw(50, 3, len(STATES))).alias("member_state"),
+        status.alias("claim_status"),
+    ).select(*RAW_CLAIMS.names)
+
+
+def synthetic_claims(spark: SparkSession, n: int = DEFAULT_ROWS, seed: int = DEFAULT_SEED) -> DataFrame:
+    """Claims numbered 1 to n."""
+    return claims_for_numbers(spark.range(1, n + 1), "id", seed)

@@ -1,0 +1 @@
+"""No streaming work: claims arrive as a daily batch, so every plan here is a batch plan."""
