@@ -1,10 +1,8 @@
-"""Column expressions. All of them are built-in functions and stay inside generated code."""
+"""Column expressions, as columns or SQL text. All are built-in functions and stay inside generated code."""
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DATE_PATTERN = "yyyy-MM-dd"
-
 
 def standard_text(name: str) -> Column:
     """Upper case without surrounding spaces (spaces only: a tab is kept)."""
@@ -17,15 +15,15 @@ def hashed(name: str, salt: str | None = None) -> Column:
     return F.sha2(F.concat(F.lit(salt), value) if salt else value, 256)
 
 
-def parsed_date(name: str) -> Column:
-    """Date of a `yyyy-MM-dd` text, NULL for anything else."""
-    return F.try_to_date(F.col(name), DATE_PATTERN)
+def date_of(text: str) -> str:
+    """SQL for the date of a `yyyy-MM-dd` text, NULL for anything else."""
+    return f"try_to_date({text}, 'yyyy-MM-dd')"
 
 
-def zero_padded(value: Column, width: int) -> Column:
-    """Left-pad with zeros to at least `width`; longer numbers are kept whole (plain lpad cuts them)."""
-    text = value.cast("string")
-    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0"))
+def zero_padded(number: str, width: int) -> str:
+    """SQL for a number with zeros up to `width`; longer numbers are kept whole (plain lpad cuts them)."""
+    text = f"string({number})"
+    return f"lpad({text}, greatest(length({text}), {width}), '0')"
 
 
 def exact(name: str) -> Column:

@@ -1,32 +1,31 @@
-"""Validity rules of a claim, used both by the checks on raw rows and by cleaning."""
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+"""Validity rules of a claim as SQL conditions, used by the checks on raw rows and by cleaning."""
 
 # Accepted range of days_supply and of the batch size.
 DAYS_SUPPLY_RANGE = (1, 365)
 ROW_COUNT_RANGE = (1_000, 10_000_000)
 
 
-def positive(name: str) -> Column:
+def positive(column: str) -> str:
     """Positive and finite. NaN sorts above infinity in Spark, so the upper bound removes it too."""
-    value = F.col(name)
-    return (value > 0) & (value < F.lit(float("inf")))
+    return f"({column} > 0 AND {column} < double('Infinity'))"
+
+
+def within(column: str, bounds: tuple[int, int]) -> str:
+    return f"({column} BETWEEN {bounds[0]} AND {bounds[1]})"
 
 
-def days_in_range(name: str = "days_supply") -> Column:
-    return F.col(name).between(*DAYS_SUPPLY_RANGE)
+def one_of(column: str, values: tuple[str, ...]) -> str:
+    return f"({column} IN ({', '.join(repr(value) for value in values)}))"
 
 
-def violated(rule: Column) -> Column:
+def violated(rule: str) -> str:
     """True where the rule is false or unknown."""
-    return ~F.coalesce(rule, F.lit(False))
+    return f"(NOT coalesce({rule}, false))"
 
 
-def acceptance() -> dict[str, Column]:
-    """Rules a de-duplicated claim must pass, by the name given as reject reason."""
-    return {
-        "claim_amount": positive("claim_amount"),
-        "quantity": positive("quantity"),
-        "days_supply": days_in_range(),
-    }
+# Rules a de-duplicated claim must pass, by the name given as reject reason.
+ACCEPTANCE = {
+    "claim_amount": positive("claim_amount"),
+    "quantity": positive("quantity"),
+    "days_supply": within("days_supply", DAYS_SUPPLY_RANGE),
+}

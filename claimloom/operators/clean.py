@@ -1,14 +1,12 @@
 """De-duplication, standardisation and row acceptance of raw claims."""
 
 from datetime import datetime
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.functions.columns import hashed, keep_first, parsed_date, standard_text
-from claimloom.functions.rules import acceptance, violated
+from claimloom.functions.columns import date_of, hashed, keep_first, standard_text
+from claimloom.functions.rules import ACCEPTANCE, violated
 from claimloom.schema import CLEAN_CLAIMS, COPY_ORDER
 
 
@@ -24,7 +22,7 @@ def standardise(deduped: DataFrame, run_ts: datetime | None = None, salt: str |
             "claim_amount": F.col("claim_amount").try_cast("double"),
             "quantity": F.col("quantity").try_cast("double"),
             "days_supply": F.col("days_supply").try_cast("int"),
-            "service_date": parsed_date("service_date"),
+            "service_date": F.expr(date_of("service_date")),
             "drug_class": standard_text("drug_class"),
             "claim_status": standard_text("claim_status"),
             "member_id": hashed("member_id", salt),
@@ -35,15 +33,15 @@ def standardise(deduped: DataFrame, run_ts: datetime | None = None, salt: str |
 
 def clean_claims(raw: DataFrame, run_ts: datetime | None = None, salt: str | None = None) -> DataFrame:
     """De-duplicated, standardised claims that pass every acceptance rule."""
-    rules = reduce(and_, acceptance().values())
-    return standardise(dedup_claims(raw), run_ts, salt).where(rules).select(*CLEAN_CLAIMS.names)
+    accepted = " AND ".join(ACCEPTANCE.values())
+    return standardise(dedup_claims(raw), run_ts, salt).where(accepted).select(*CLEAN_CLAIMS.names)
 
 
 def judged_claims(raw: DataFrame, run_ts: datetime | None = None, salt: str | None = None) -> DataFrame:
     """All de-duplicated claims with `reason`: the failed rules joined by commas, empty when accepted."""
-    failed = [F.when(violated(rule), F.lit(name)) for name, rule in acceptance().items()]
+    failed = ", ".join(f"IF({violated(rule)}, '{name}', NULL)" for name, rule in ACCEPTANCE.items())
     standard = standardise(dedup_claims(raw), run_ts, salt)
-    return standard.select(*CLEAN_CLAIMS.names, F.concat_ws(",", *failed).alias("reason"))
+    return standard.selectExpr(*CLEAN_CLAIMS.names, f"concat_ws(',', {failed}) AS reason")
 
 
 def rejected_claims(raw: DataFrame, run_ts: datetime | None = None, salt: str | None = None) -> DataFrame:

@@ -9,9 +9,9 @@ lets Spark drop the columns and the pass it does not need.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.functions.columns import parsed_date
-from claimloom.functions.rules import ROW_COUNT_RANGE, days_in_range, positive, violated
-from claimloom.schema import DQ_REPORT, VALID_STATUSES
+from claimloom.functions.columns import date_of
+from claimloom.functions.rules import DAYS_SUPPLY_RANGE, ROW_COUNT_RANGE, one_of, positive, violated, within
+from claimloom.schema import VALID_STATUSES
 
 # Longest value list spelled out in a detail text; `unexpected_statuses` returns the complete set.
 LISTED_VALUES = 100
@@ -22,147 +22,133 @@ class DataQualityError(ValueError):
 
 
 def _profile(raw: DataFrame) -> DataFrame:
-    def without_nan(name: str) -> Column:
-        return F.when(~F.isnan(name), F.col(name))
-
-    return raw.groupBy("days_supply", "claim_status").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("claim_id").isNull()).alias("null_ids"),
-        F.count_if(violated(positive("claim_amount"))).alias("bad_amounts"),
-        F.min(without_nan("claim_amount")).alias("min_amount"),
-        F.max(without_nan("claim_amount")).alias("max_amount"),
-        F.count_if(violated(positive("quantity"))).alias("bad_quantities"),
-        F.min(without_nan("quantity")).alias("min_quantity"),
-        F.count_if(parsed_date("service_date").isNull()).alias("bad_dates"),
-    )
+    def without_nan(column: str) -> str:
+        return f"IF(isnan({column}), NULL, {column})"
+
+    measures = {
+        "n": "count(1)",
+        "null_ids": "count_if(claim_id IS NULL)",
+        "bad_amounts": f"count_if({violated(positive('claim_amount'))})",
+        "min_amount": f"min({without_nan('claim_amount')})",
+        "max_amount": f"max({without_nan('claim_amount')})",
+        "bad_quantities": f"count_if({violated(positive('quantity'))})",
+        "min_quantity": f"min({without_nan('quantity')})",
+        "bad_dates": f"count_if({date_of('service_date')} IS NULL)",
+    }
+    return raw.groupBy("days_supply", "claim_status").agg(*_named(measures))
+
+
+def _named(expressions: dict[str, str]) -> list[Column]:
+    return [F.expr(text).alias(name) for name, text in expressions.items()]
 
 
-def _values(profile: DataFrame, name: str, text: Column) -> DataFrame:
+def _values(profile: DataFrame, column: str, text: str) -> DataFrame:
     """One row with the sorted distinct values of a column as text, NULL last.
 
     Values are made distinct in parallel and only the smallest ones that fit into the text reach one task.
     """
-    missing = F.col(name).isNull()
-    shown = F.when(missing, "None").otherwise(text)
-    smallest = (
-        profile.select(name).distinct().orderBy(F.col(name).asc_nulls_last()).limit(LISTED_VALUES + 1)
-    )
-    items = F.array_sort(F.collect_list(F.struct(missing.alias("missing"), F.col(name), shown.alias("shown"))))
-    listed = F.array_join(F.slice(items, 1, LISTED_VALUES)["shown"], ", ")
-    more = F.when(F.size(items) > LISTED_VALUES, ", ...").otherwise("")
-    return smallest.agg(F.concat(F.lit("["), listed, more, F.lit("]")).alias("values"))
+    smallest = profile.select(column).distinct().orderBy(F.col(column).asc_nulls_last()).limit(LISTED_VALUES + 1)
+    items = f"array_sort(collect_list(struct({column} IS NULL AS missing, {column}, nvl({text}, 'None') AS shown)))"
+    listed = f"array_join(slice({items}.shown, 1, {LISTED_VALUES}), ', ')"
+    more = f"IF(size({items}) > {LISTED_VALUES}, ', ...', '')"
+    return smallest.agg(F.expr(f"concat('[', {listed}, {more}, ']')").alias("listed"))
 
 
-def _metrics(raw: DataFrame) -> DataFrame:
+def dq_metrics(raw: DataFrame, only: str | None = None) -> DataFrame:
+    """One row with everything the checks (or one of them) look at."""
     profile = _profile(raw)
 
-    def total(column: str | Column) -> Column:
-        return F.coalesce(F.sum(column), F.lit(0))
-
-    n = F.col("n")
-    valid_status = F.col("claim_status").isin(*VALID_STATUSES)
-    quoted = F.concat(F.lit("'"), F.col("claim_status"), F.lit("'"))
-    return profile.agg(
-        total("n").alias("n"),
-        total("null_ids").alias("null_ids"),
-        total("bad_amounts").alias("bad_amounts"),
-        F.min("min_amount").alias("min_amount"),
-        F.max("max_amount").alias("max_amount"),
-        total("bad_quantities").alias("bad_quantities"),
-        F.min("min_quantity").alias("min_quantity"),
-        total(F.when(violated(days_in_range()), n).otherwise(0)).alias("bad_days"),
-        total(F.when(violated(valid_status), n).otherwise(0)).alias("bad_statuses"),
-        total("bad_dates").alias("bad_dates"),
-    ).select(
-        "*",
-        raw.select(F.countDistinct("claim_id")).scalar().alias("ids"),
-        _values(profile, "days_supply", F.col("days_supply").cast("string")).scalar().alias("days"),
-        _values(profile, "claim_status", quoted).scalar().alias("statuses"),
-    )
-
-
-def _counted(name: str) -> Column:
-    return F.format_number(F.col(name), 0)
-
-
-def _two_decimals(name: str) -> Column:
-    return F.when(F.col(name).isNull(), "nan").otherwise(F.format_string("%.2f", F.col(name)))
-
-
-def _checks() -> dict[str, tuple[str, Column, Column]]:
-    """(name, passed, detail) by a short key, in report order."""
-    # Check names and the wording of the details.
-    ids, days, statuses = F.col("ids"), F.col("days"), F.col("statuses")
-    return {
-        "row_count": (
-            "Row count in valid range",
-            F.col("n").between(*ROW_COUNT_RANGE),
-            F.concat(F.lit("("), _counted("n"), F.lit(" rows)")),
-        ),
-        "null_claim_id": (
-            "No null claim_ids",
-            F.col("null_ids") == 0,
-            F.concat(F.lit("("), F.col("null_ids"), F.lit(" nulls found)")),
-        ),
-        "duplicate_claim_id": (
-            "No duplicate claim_ids",
-            ids == F.col("n"),
-            F.concat(F.lit("("), _counted("ids"), F.lit(" unique out of "), _counted("n"), F.lit(")")),
-        ),
-        "claim_amount": (
-            "claim_amount is positive",
-            F.col("bad_amounts") == 0,
-            F.concat(F.lit("(min="), _two_decimals("min_amount"), F.lit(", max="), _two_decimals("max_amount"),
-                     F.lit(")")),
-        ),
-        "quantity": (
-            "quantity is positive",
-            F.col("bad_quantities") == 0,
-            F.concat(F.lit("(min="), F.coalesce(F.col("min_quantity").cast("string"), F.lit("nan")), F.lit(")")),
-        ),
-        "days_supply": (
-            "days_supply between 1-365",
-            F.col("bad_days") == 0,
-            F.concat(F.lit("(values: "), days, F.lit(")")),
-        ),
-        "claim_status": (
-            "claim_status values valid",
-            F.col("bad_statuses") == 0,
-            F.concat(F.lit("(found: "), statuses, F.lit(")")),
-        ),
-        "service_date": (
-            "service_date is parseable",
-            F.col("bad_dates") == 0,
-            F.concat(F.lit("("), F.col("bad_dates"), F.lit(" unparseable dates)")),
-        ),
+    def total(measure: str) -> str:
+        return f"coalesce(sum({measure}), 0)"
+
+    totals = {
+        "n": total("n"),
+        "null_ids": total("null_ids"),
+        "bad_amounts": total("bad_amounts"),
+        "min_amount": "min(min_amount)",
+        "max_amount": "max(max_amount)",
+        "bad_quantities": total("bad_quantities"),
+        "min_quantity": "min(min_quantity)",
+        "bad_days": total(f"IF({violated(within('days_supply', DAYS_SUPPLY_RANGE))}, n, 0)"),
+        "bad_statuses": total(f"IF({violated(one_of('claim_status', VALID_STATUSES))}, n, 0)"),
+        "bad_dates": total("bad_dates"),
     }
-
-
-CHECK_KEYS = (
-    "row_count",
-    "null_claim_id",
-    "duplicate_claim_id",
-    "claim_amount",
-    "quantity",
-    "days_supply",
-    "claim_status",
-    "service_date",
-)
+    parts = {
+        "duplicate_claim_id": lambda: raw.agg(F.countDistinct("claim_id")).scalar().alias("ids"),
+        "days_supply": lambda: _values(profile, "days_supply", "string(days_supply)").scalar().alias("days"),
+        "claim_status": lambda: _values(profile, "claim_status", "concat(\"'\", claim_status, \"'\")").scalar()
+        .alias("statuses"),
+    }
+    wanted = [part() for key, part in parts.items() if only in (None, key)]
+    return profile.agg(*_named(totals)).select("*", *wanted)
+
+
+def _two_decimals(value: str) -> str:
+    return f"IF({value} IS NULL, 'nan', format_string('%.2f', {value}))"
+
+
+# Check names and wording of the details, as (name, passed, detail) in report order.
+CHECKS = {
+    "row_count": (
+        "Row count in valid range",
+        within("n", ROW_COUNT_RANGE),
+        "concat('(', format_number(n, 0), ' rows)')",
+    ),
+    "null_claim_id": (
+        "No null claim_ids",
+        "null_ids = 0",
+        "concat('(', null_ids, ' nulls found)')",
+    ),
+    "duplicate_claim_id": (
+        "No duplicate claim_ids",
+        "ids = n",
+        "concat('(', format_number(ids, 0), ' unique out of ', format_number(n, 0), ')')",
+    ),
+    "claim_amount": (
+        "claim_amount is positive",
+        "bad_amounts = 0",
+        f"concat('(min=', {_two_decimals('min_amount')}, ', max=', {_two_decimals('max_amount')}, ')')",
+    ),
+    "quantity": (
+        "quantity is positive",
+        "bad_quantities = 0",
+        "concat('(min=', nvl(string(min_quantity), 'nan'), ')')",
+    ),
+    "days_supply": (
+        "days_supply between 1-365",
+        "bad_days = 0",
+        "concat('(values: ', days, ')')",
+    ),
+    "claim_status": (
+        "claim_status values valid",
+        "bad_statuses = 0",
+        "concat('(found: ', statuses, ')')",
+    ),
+    "service_date": (
+        "service_date is parseable",
+        "bad_dates = 0",
+        "concat('(', bad_dates, ' unparseable dates)')",
+    ),
+}
 
 
 def dq_check(raw: DataFrame, key: str) -> DataFrame:
     """One check as one row (check, passed, detail)."""
-    name, passed, detail = _checks()[key]
-    return _metrics(raw).select(F.lit(name).alias("check"), passed.alias("passed"), detail.alias("detail"))
+    name, passed, detail = CHECKS[key]
+    return dq_metrics(raw, key).selectExpr(f"'{name}' AS check", f"{passed} AS passed", f"{detail} AS detail")
+
+
+def report_of(metrics: DataFrame) -> DataFrame:
+    """All eight checks as rows, from the row of metrics."""
+    rows = ", ".join(
+        f"struct('{name}' AS check, {passed} AS passed, {detail} AS detail)" for name, passed, detail in CHECKS.values()
+    )
+    return metrics.selectExpr(f"inline(array({rows}))")
 
 
 def dq_report(raw: DataFrame) -> DataFrame:
     """All eight checks as rows. Only reports, whatever the outcome."""
-    rows = [
-        F.struct(F.lit(name).alias("check"), passed.alias("passed"), detail.alias("detail"))
-        for name, passed, detail in _checks().values()
-    ]
-    return _metrics(raw).select(F.inline(F.array(*rows))).select(*DQ_REPORT.names)
+    return report_of(dq_metrics(raw))
 
 
 def dq_summary(report: DataFrame) -> DataFrame:
@@ -186,4 +172,4 @@ def unexpected_statuses(raw: DataFrame, valid: tuple[str, ...] = VALID_STATUSES)
 
     The valid set is a handful of literals, so the difference is a filter below the distinct, not an anti-join.
     """
-    return raw.where(violated(F.col("claim_status").isin(*valid))).select("claim_status").distinct()
+    return raw.where(violated(one_of("claim_status", valid))).select("claim_status").distinct()

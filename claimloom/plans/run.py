@@ -6,13 +6,13 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.operators.audit import audit_counts
+from claimloom.operators.audit import audit_counts, row_count
 from claimloom.operators.clean import judged_claims
 from claimloom.operators.load import Sink, load_star, read_star
-from claimloom.operators.quality import dq_gate, dq_report
+from claimloom.operators.quality import dq_gate, dq_metrics, report_of
 from claimloom.operators.star import build_star
 from claimloom.plans.analytics import answer_all
-from claimloom.schema import CLEAN_CLAIMS, DQ_REPORT
+from claimloom.schema import CLEAN_CLAIMS
 
 
 @dataclass(frozen=True)
@@ -37,39 +37,50 @@ def run(
     strict: bool = True,
     salt: str | None = None,
     primary: Sink | None = None,
+    stage_raw: bool = True,
 ) -> RunResult:
     """Run the batch on `raw` and write everything below `out`.
 
-    The de-duplicated claims are written once, with accepted and rejected rows in separate folders, and the fact and
-    all dimensions read that copy: they agree on the chosen rows and nothing is shuffled by claim twice. A run that
-    is not `strict` goes on when a quality check failed. Give every run its own `out` to replace all tables at once
-    by pointing readers to the new folder.
+    `stage_raw` first copies the claims to Parquet, so that a source that is costly to read (CSV, joins) is read
+    once and the checks scan only the columns they need; turn it off for claims that already are Parquet.
+    The de-duplicated claims are written once, accepted and rejected rows in separate folders, and the fact and
+    all dimensions read that copy: they agree on the chosen rows and nothing is shuffled by claim twice.
+    A run that is not `strict` goes on when a quality check failed. Give every run its own `out`, and readers see
+    all tables change at once when they are pointed to it.
     """
     now = datetime.now()
-    run_ts, run_date = run_ts or now, run_date or (run_ts or now).date()
+    run_ts = run_ts or now
+    run_date = run_date or run_ts.date()
 
-    dq_report(raw).write.mode("overwrite").parquet(f"{out}/dq_report")
-    quality = spark.read.schema(DQ_REPORT).parquet(f"{out}/dq_report")
+    if stage_raw:
+        raw = _stored(raw, f"{out}/raw_claims")
+    metrics = _stored(dq_metrics(raw), f"{out}/dq_metrics")
+    quality = _stored(report_of(metrics), f"{out}/dq_report")
     if strict:
         dq_gate(quality)
 
     judged = judged_claims(raw, run_ts, salt).withColumn("accepted", F.col("reason") == "")
-    judged.write.partitionBy("accepted").mode("overwrite").parquet(f"{out}/judged_claims")
-    schema = f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in CLEAN_CLAIMS)}, reason string, accepted boolean"
-    judged = spark.read.schema(schema).parquet(f"{out}/judged_claims")
+    judged = _stored(judged, f"{out}/judged_claims", "accepted")
     cleaned = judged.where("accepted").select(*CLEAN_CLAIMS.names)
     rejected = judged.where("NOT accepted").drop("accepted")
 
     report = load_star(spark, build_star(cleaned), f"{out}/warehouse", primary)
     star = read_star(spark, f"{out}/warehouse")
 
-    stages = {"raw": raw, "deduped": judged, "rejected": rejected, **star}
-    audit_counts(stages, run_date).write.mode("overwrite").parquet(f"{out}/audit")
+    counts = {"raw": metrics.select("n")}
+    for stage, stored in {"deduped": judged, "rejected": rejected, **star}.items():
+        counts[stage] = row_count(stored)
     return RunResult(
         quality=quality,
         star=star,
         rejected=rejected,
-        load_report=report,
-        audit=spark.read.parquet(f"{out}/audit"),
+        load_report=_stored(report, f"{out}/load_report"),
+        audit=_stored(audit_counts(counts, run_date), f"{out}/audit"),
         answers=answer_all(star),
     )
+
+
+def _stored(df: DataFrame, path: str, *partition_by: str) -> DataFrame:
+    """Write and read back: later steps start from files, whatever executors are lost meanwhile."""
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -4,11 +4,9 @@ Every attribute is a slice of one SHA-256 digest of (seed, number), so a claim d
 partitioning, any cluster and any retry of a lost task give the same rows.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from claimloom.functions.columns import zero_padded
-from claimloom.schema import RAW_CLAIMS
 
 DEFAULT_ROWS = 500_000
 DEFAULT_SEED = 42
@@ -49,46 +47,58 @@ YEAR = 2024
 AMOUNT_CENTS = (1_000, 800_000)
 
 
-def _pick(values, index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+def _pick(values: tuple, index: str) -> str:
+    return f"element_at(array({', '.join(repr(value) for value in values)}), int({index} + 1))"
+
+
+def _draw(start: int, digits: int, choices: int) -> str:
+    """Uniform integer below `choices` from a slice of the digest."""
+    return f"(bigint(conv(substring(digest, {start}, {digits}), 16, 10)) % {choices})"
+
+
+def _status(percent: str) -> str:
+    """Status whose cumulated share covers a percent from 0 to 99."""
+    branches, reached = [], 0
+    for name, share in STATUS_SHARES:
+        reached += share
+        branches.append(f"WHEN {percent} < {reached} THEN '{name}'")
+    return f"CASE {' '.join(branches)} END"
 
 
 def claims_for_numbers(numbers: DataFrame, column: str, seed: int = DEFAULT_SEED) -> DataFrame:
     """One invented claim per row of `numbers`."""
-    number = F.col(column)
-    digest = F.col("digest")
-
-    def draw(start: int, digits: int, choices: int) -> Column:
-        """Uniform integer below `choices` from a slice of the digest."""
-        return F.conv(F.substring(digest, start, digits), 16, 10).cast("bigint") % choices
-
-    drug = draw(1, 6, len(DRUGS))
-    percent = draw(53, 6, 100)
-    status = F.lit(STATUS_SHARES[-1][0])
-    reached = 100 - STATUS_SHARES[-1][1]
-    for name, share in reversed(STATUS_SHARES[:-1]):
-        status = F.when(percent < reached, name).otherwise(status)
-        reached -= share
-    month, day = draw(7, 4, 12) + 1, draw(11, 4, 28) + 1
-    cents = draw(31, 8, AMOUNT_CENTS[1] - AMOUNT_CENTS[0] + 1) + AMOUNT_CENTS[0]
-    digests = numbers.select(
-        number.alias("number"), F.sha2(F.concat_ws(":", F.lit(str(seed)), number.cast("string")), 256).alias("digest")
+    codes, names, classes = zip(*DRUGS)
+    low, high = PROVIDERS
+    cheapest, dearest = AMOUNT_CENTS
+    drawn = numbers.selectExpr(f"{column} AS number", f"sha2(concat('{seed}:', string({column})), 256) AS digest").selectExpr(
+        "number",
+        f"{_draw(1, 6, len(DRUGS))} AS drug",
+        f"{_draw(7, 4, 12)} + 1 AS month",
+        f"{_draw(11, 4, 28)} + 1 AS day",
+        f"{_draw(15, 6, MEMBERS)} + 1 AS member",
+        f"{_draw(21, 10, high - low + 1)} + {low} AS provider",
+        f"{_draw(31, 8, dearest - cheapest + 1)} + {cheapest} AS cents",
+        f"{_draw(39, 4, len(QUANTITIES))} AS quantity",
+        f"{_draw(43, 4, len(DAYS_SUPPLIES))} AS days_supply",
+        f"{_draw(47, 3, PLANS)} + 1 AS plan",
+        f"{_draw(50, 3, len(STATES))} AS state",
+        f"{_draw(53, 6, 100)} AS percent",
+    )
+    return drawn.selectExpr(
+        f"concat('CLM', {zero_padded('number', 8)}) AS claim_id",
+        f"concat('MBR', {zero_padded('member', 6)}) AS member_id",
+        f"{_pick(codes, 'drug')} AS ndc_code",
+        f"{_pick(names, 'drug')} AS drug_name",
+        f"{_pick(classes, 'drug')} AS drug_class",
+        "string(provider) AS npi_number",
+        f"concat_ws('-', '{YEAR}', {zero_padded('month', 2)}, {zero_padded('day', 2)}) AS service_date",
+        "cents / 100 AS claim_amount",
+        f"double({_pick(QUANTITIES, 'quantity')}) AS quantity",
+        f"{_pick(DAYS_SUPPLIES, 'days_supply')} AS days_supply",
+        f"concat('PLAN_', {zero_padded('plan', 3)}) AS plan_id",
+        f"{_pick(STATES, 'state')} AS member_state",
+        f"{_status('percent')} AS claim_status",
     )
-    return digests.select(
-        F.concat(F.lit("CLM"), zero_padded(F.col("number"), 8)).alias("claim_id"),
-        F.concat(F.lit("MBR"), zero_padded(draw(15, 6, MEMBERS) + 1, 6)).alias("member_id"),
-        _pick([code for code, _, _ in DRUGS], drug).alias("ndc_code"),
-        _pick([name for _, name, _ in DRUGS], drug).alias("drug_name"),
-        _pick([kind for _, _, kind in DRUGS], drug).alias("drug_class"),
-        (draw(21, 10, PROVIDERS[1] - PROVIDERS[0] + 1) + PROVIDERS[0]).cast("string").alias("npi_number"),
-        F.concat_ws("-", F.lit(str(YEAR)), zero_padded(month, 2), zero_padded(day, 2)).alias("service_date"),
-        (cents / 100).alias("claim_amount"),
-        _pick([float(q) for q in QUANTITIES], draw(39, 4, len(QUANTITIES))).alias("quantity"),
-        _pick(DAYS_SUPPLIES, draw(43, 4, len(DAYS_SUPPLIES))).alias("days_supply"),
-        F.concat(F.lit("PLAN_"), zero_padded(draw(47, 3, PLANS) + 1, 3)).alias("plan_id"),
-        _pick(STATES, draw(50, 3, len(STATES))).alias("member_state"),
-        status.alias("claim_status"),
-    ).select(*RAW_CLAIMS.names)
 
 
 def synthetic_claims(spark: SparkSession, n: int = DEFAULT_ROWS, seed: int = DEFAULT_SEED) -> DataFrame:

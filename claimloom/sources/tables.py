@@ -4,7 +4,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimloom.functions.columns import zero_padded
-from claimloom.schema import RAW_CLAIMS
+from claimloom.schema import struct
+
+# Declared schemas of the columns used, so that no file is opened for inference.
+TABLES = {
+    "lineitem": struct(
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_returnflag string, l_shipdate timestamp_ntz"
+    ),
+    "orders": struct("o_orderkey bigint, o_custkey bigint"),
+    "customer": struct("c_custkey bigint, c_nationkey int"),
+    "nation": struct("n_nationkey int, n_name string"),
+    "part": struct("p_partkey bigint, p_name string, p_brand string, p_size int"),
+}
+
+
+def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    return spark.read.schema(TABLES[name]).parquet(f"{root}/{name}.parquet")
 
 
 def claims_from_tables(spark: SparkSession, root: str) -> DataFrame:
@@ -15,34 +31,26 @@ def claims_from_tables(spark: SparkSession, root: str) -> DataFrame:
     adaptive execution splits a hot key; the other sides are broadcast only while Spark's size check allows it.
     """
 
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{root}/{name}.parquet")
-
-    orders = (
-        table("orders")
-        .join(table("customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    lineitem, orders, customer, nation, part = (read_table(spark, root, name) for name in TABLES)
+    buyers = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(
+        nation, F.col("c_nationkey") == F.col("n_nationkey")
+    )
+    lines = lineitem.join(buyers.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")).join(
+        part, F.col("l_partkey") == F.col("p_partkey")
     )
-    lines = (
-        table("lineitem")
-        .join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
+    return lines.selectExpr(
+        f"concat('CLM', {zero_padded('l_orderkey', 8)}, '-', string(l_linenumber)) AS claim_id",
+        f"concat('MBR', {zero_padded('o_custkey', 6)}) AS member_id",
+        f"{zero_padded('l_partkey', 11)} AS ndc_code",
+        "p_name AS drug_name",
+        "concat(' ', lower(p_brand), ' ') AS drug_class",
+        "string(l_suppkey + 1000000000) AS npi_number",
+        "string(date(l_shipdate)) AS service_date",
+        "double(CAST(l_extendedprice - 5000 AS decimal(12, 2))) AS claim_amount",
+        "l_quantity - 1 AS quantity",
+        "p_size * 8 AS days_supply",
+        f"concat('PLAN_', {zero_padded('c_nationkey + 1', 3)}) AS plan_id",
+        "n_name AS member_state",
+        "CASE l_returnflag WHEN 'N' THEN 'PAID' WHEN 'A' THEN 'ADJUDICATED' WHEN 'R' THEN 'REVERSED' END "
+        "AS claim_status",
     )
-    flag = F.col("l_returnflag")
-    return lines.select(
-        F.concat(F.lit("CLM"), zero_padded(F.col("l_orderkey"), 8), F.lit("-"), F.col("l_linenumber").cast("string"))
-        .alias("claim_id"),
-        F.concat(F.lit("MBR"), zero_padded(F.col("o_custkey"), 6)).alias("member_id"),
-        zero_padded(F.col("l_partkey"), 11).alias("ndc_code"),
-        F.col("p_name").alias("drug_name"),
-        F.concat(F.lit(" "), F.lower("p_brand"), F.lit(" ")).alias("drug_class"),
-        (F.col("l_suppkey") + F.lit(1_000_000_000)).cast("string").alias("npi_number"),
-        F.col("l_shipdate").cast("date").cast("string").alias("service_date"),
-        (F.col("l_extendedprice") - 5000).cast("decimal(12,2)").cast("double").alias("claim_amount"),
-        (F.col("l_quantity") - 1).alias("quantity"),
-        (F.col("p_size") * 8).alias("days_supply"),
-        F.concat(F.lit("PLAN_"), zero_padded(F.col("c_nationkey") + 1, 3)).alias("plan_id"),
-        F.col("n_name").alias("member_state"),
-        F.when(flag == "N", "PAID").when(flag == "A", "ADJUDICATED").when(flag == "R", "REVERSED")
-        .alias("claim_status"),
-    ).select(*RAW_CLAIMS.names)

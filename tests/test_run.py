@@ -1,0 +1,112 @@
+"""Loading, audit, session sizing and the whole run."""
+
+from datetime import date
+
+import pytest
+from conftest import RUN_TS
+
+from claimloom.operators import load
+from claimloom.operators.clean import clean_claims
+from claimloom.operators.quality import DataQualityError
+from claimloom.operators.star import build_star
+from claimloom.plans import analytics, sizing
+from claimloom.plans.run import run
+from claimloom.schema import LOAD_ORDER, STAR
+from claimloom.sources.jdbc import postgres_options
+from claimloom.sources.synthetic import synthetic_claims
+
+
+def rows(df):
+    return sorted((tuple(row) for row in df.collect()), key=str)
+
+
+@pytest.fixture
+def star(claims):
+    return build_star(clean_claims(claims({}, {}, {"ndc_code": "X"}), RUN_TS))
+
+
+def test_load_to_both_sinks(spark, star, tmp_path):
+    report = load.load_star(spark, star, f"{tmp_path}/copy", load.parquet_sink(f"{tmp_path}/primary"))
+    counts = dict(zip(LOAD_ORDER, (2, 1, 1, 3)))
+    assert [tuple(r) for r in report.collect()] == [
+        (name, sink, counts[name], True, None) for sink in ("backup", "primary") for name in LOAD_ORDER
+    ]
+    for root in ("copy", "primary"):
+        for name, table in load.read_star(spark, f"{tmp_path}/{root}").items():
+            assert rows(table) == rows(star[name])
+            assert table.schema == STAR[name]
+
+
+def test_reload_replaces(spark, star, tmp_path):
+    for _ in range(2):
+        load.load_star(spark, star, str(tmp_path))
+    assert load.read_star(spark, str(tmp_path))["fact_claims"].count() == 3
+
+
+def test_unreachable_warehouse_is_reported_and_the_copy_is_kept(spark, star, tmp_path):
+    """No JDBC driver is on the class path, so the sink fails before any connection is tried."""
+    config = {"database": {"host": "nowhere", "port": 1, "name": "n", "user": "u", "password": "p"}}
+    report = load.load_star(spark, star, str(tmp_path), load.jdbc_sink(postgres_options(config)))
+    status = {(r["table"], r["sink"]): r for r in report.collect()}
+    assert all(status[name, "backup"]["ok"] for name in LOAD_ORDER)
+    assert not any(status[name, "primary"]["ok"] for name in LOAD_ORDER)
+    assert all(status[name, "primary"]["error"].startswith("dim_drug: ") for name in LOAD_ORDER)
+    assert load.read_star(spark, str(tmp_path))["fact_claims"].count() == 3
+
+
+def test_fact_is_not_loaded_after_a_dimension_failed(spark, star, tmp_path):
+    loaded = []
+
+    def sink(table, name):
+        if name == "dim_date":
+            raise OSError("disk full")
+        loaded.append(name)
+
+    report = load.load_star(spark, star, str(tmp_path), sink)
+    assert loaded == ["dim_drug", "dim_provider"]
+    assert [(r["table"], r["error"]) for r in report.where("NOT ok").collect()] == [
+        ("dim_date", "dim_date: disk full"), ("fact_claims", "dim_date: disk full"),
+    ]
+
+
+def test_whole_run(spark, tmp_path):
+    raw = synthetic_claims(spark, 3_000)
+    result = run(spark, raw, f"{tmp_path}/a", run_ts=RUN_TS)
+    assert all(row["passed"] for row in result.quality.collect())
+    assert [tuple(r) for r in result.audit.collect()] == [
+        (3_000, 3_000, 0, 15, result.star["dim_provider"].count(), 336, 3_000, date(2024, 5, 1))
+    ]
+    assert set(result.answers) == set(analytics.QUESTIONS)
+    assert len(result.answers["Claims by quarter"].collect()) == 4
+    again = run(spark, raw.repartition(5), f"{tmp_path}/b", run_ts=RUN_TS, stage_raw=False)
+    for name in LOAD_ORDER:
+        assert rows(again.star[name]) == rows(result.star[name])
+
+
+def test_dirty_run(spark, claims, tmp_path):
+    raw = claims({"claim_id": "A"}, {"claim_id": "A", "quantity": 60.0}, {"claim_amount": -1.0}, {"days_supply": 999}, {})
+    with pytest.raises(DataQualityError):
+        run(spark, raw, f"{tmp_path}/strict", run_ts=RUN_TS)
+    result = run(spark, raw, f"{tmp_path}/lax", run_ts=RUN_TS, strict=False)
+    assert [tuple(r) for r in result.audit.collect()] == [(5, 4, 2, 1, 1, 1, 2, date(2024, 5, 1))]
+    assert sorted(r["reason"] for r in result.rejected.collect()) == ["claim_amount", "days_supply"]
+    unsaved = analytics.answer_all(build_star(clean_claims(raw, RUN_TS)))
+    for title, answer in result.answers.items():
+        assert rows(answer) == rows(unsaved[title])
+
+
+def test_sizes():
+    assert sizing.sizes_for(10 * sizing.MIB, 200) == {}
+    ten_tib = sizing.sizes_for(10 * 1024 * 1024 * sizing.MIB, 200)
+    assert ten_tib == {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+        "spark.sql.files.maxPartitionBytes": str(512 * sizing.MIB),
+    }
+    assert sizing.sizes_for(100 * 1024 * sizing.MIB, 200) == {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "400"
+    }
+
+
+def test_small_input_leaves_the_session_alone(spark):
+    sizing.fit_session(spark, 1_000)
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) is None

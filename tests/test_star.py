@@ -1,0 +1,133 @@
+"""Star schema and the standard questions on hand-written rows."""
+
+import hashlib
+from datetime import date
+
+import pytest
+from conftest import RUN_TS
+
+from claimloom.operators.clean import clean_claims
+from claimloom.operators.star import build_star
+from claimloom.plans import analytics
+from claimloom.schema import STAR
+
+
+@pytest.fixture
+def star(claims):
+    return lambda *changes: build_star(clean_claims(claims(*changes), RUN_TS))
+
+
+def rows(df):
+    return [tuple(row) for row in df.collect()]
+
+
+def test_schemas(star):
+    for name, table in star({}).items():
+        assert [(f.name, f.dataType) for f in table.schema] == [(f.name, f.dataType) for f in STAR[name]]
+
+
+def test_dimension_is_described_by_the_smallest_claim(star):
+    tables = star(
+        {"claim_id": "B", "member_state": "TX", "drug_class": "other"},
+        {"claim_id": "A", "member_state": "NY", "drug_class": " diabetes "},
+    )
+    provider = hashlib.sha256(b"1234567890").hexdigest()
+    drug = hashlib.sha256(b"00002143301").hexdigest()
+    assert rows(tables["dim_provider"]) == [("1234567890", "NY", provider)]
+    assert rows(tables["dim_drug"]) == [("00002143301", "Insulin Glargine", "DIABETES", drug)]
+
+
+def test_calendar(star):
+    days = star({"service_date": "2024-02-29"}, {"service_date": "2024-03-09"}, {"service_date": "2024-03-10"},
+                {"service_date": "2024-12-02"}, {"service_date": "2024-03-09"}, {"service_date": None})["dim_date"]
+    assert sorted(rows(days.where("date_value IS NOT NULL"))) == [
+        (date(2024, 2, 29), 2024, 2, 1, 29, "February", "Thursday", False),
+        (date(2024, 3, 9), 2024, 3, 1, 9, "March", "Saturday", True),
+        (date(2024, 3, 10), 2024, 3, 1, 10, "March", "Sunday", True),
+        (date(2024, 12, 2), 2024, 12, 4, 2, "December", "Monday", False),
+    ]
+    assert rows(days.where("date_value IS NULL")) == [(None,) * 8]
+
+
+def test_fact_keys_point_to_one_dimension_row(star):
+    tables = star(*[{"ndc_code": f"{i % 3:011d}", "npi_number": str(i % 2)} for i in range(12)])
+    fact = tables["fact_claims"]
+    assert fact.count() == fact.select("claim_key").distinct().count() == 12
+    assert fact.join(tables["dim_drug"], "drug_key").count() == 12
+    assert fact.join(tables["dim_provider"], "provider_key").count() == 12
+
+
+def test_null_keys_stay_in_the_fact_and_drop_from_the_joins(star):
+    tables = star({"ndc_code": None}, {"npi_number": None}, {"service_date": None}, {})
+    assert tables["fact_claims"].count() == 4
+    assert tables["dim_drug"].where("drug_key IS NULL").count() == 1
+    assert sum(row["claims"] for row in analytics.top_drug_classes(tables).collect()) == 3
+    assert sum(row["claims"] for row in analytics.top_states(tables).collect()) == 3
+    assert sum(row["claims"] for row in analytics.claims_by_quarter(tables).collect()) == 3
+
+
+def test_summary(star):
+    tables = star({"claim_amount": 10.1, "member_id": "M1"}, {"claim_amount": 20.25, "member_id": "M2"},
+                  {"claim_amount": 0.1, "member_id": "M1", "ndc_code": "X"})
+    assert rows(analytics.pipeline_summary(tables)) == [(3, 2, 2, 30.45, 10.15, 0.1, 20.25)]
+
+
+def test_summary_of_nothing(star):
+    assert rows(analytics.pipeline_summary(star({"quantity": 0.0}))) == [(0, 0, 0, None, None, None, None)]
+
+
+def test_sums_are_exact_whatever_the_order(spark, star):
+    amounts = [0.1, 0.2, 0.3, 1e9 + 0.07, 1e-2] * 20
+    tables = star(*[{"claim_amount": a} for a in amounts])
+    expected = [("PAID", 100, 20000000013.6, 200000000.14)]
+    for parts in (1, 7):
+        fact = tables["fact_claims"].repartition(parts)
+        assert rows(analytics.claims_by_status({"fact_claims": fact})) == expected
+
+
+def test_reversed_claims_count(star):
+    tables = star({"claim_status": "reversed"}, {"claim_status": "PAID"}, {"claim_status": "PAID"})
+    assert [row[:2] for row in rows(analytics.claims_by_status(tables))] == [("PAID", 2), ("REVERSED", 1)]
+
+
+def test_tie_at_rank_five_is_broken_by_the_key(star):
+    tables = star(*[{"ndc_code": f"N{i}", "npi_number": f"P{i}", "drug_name": f"D{i}", "drug_class": f"C{i}",
+                     "member_state": f"S{i}"} for i in (6, 5, 4, 3, 2, 1, 0)])
+    assert [r[0] for r in rows(analytics.top_drug_classes(tables))] == ["C0", "C1", "C2", "C3", "C4"]
+    assert [r[0] for r in rows(analytics.top_drugs(tables))] == ["D0", "D1", "D2", "D3", "D4"]
+    assert [r[0] for r in rows(analytics.top_states(tables))] == ["S0", "S1", "S2", "S3", "S4"]
+
+
+def test_several_codes_of_one_class_and_drug_fold(star):
+    tables = star({"ndc_code": "1", "claim_amount": 10.0}, {"ndc_code": "2", "claim_amount": 30.0})
+    assert rows(analytics.top_drug_classes(tables)) == [("DIABETES", 2, 40.0, 20.0)]
+    assert rows(analytics.top_drugs(tables)) == [("Insulin Glargine", "DIABETES", 2, 20.0)]
+
+
+def test_quarters_in_order(star):
+    tables = star({"service_date": "2024-12-31"}, {"service_date": "2023-01-01"}, {"service_date": "2024-10-01"})
+    assert [r[:3] for r in rows(analytics.claims_by_quarter(tables))] == [(2023, 1, 1), (2024, 4, 2)]
+
+
+def test_questions_match_plain_sql_on_the_views(spark, star):
+    from claimloom.operators.load import register_views
+
+    tables = star(*[{"ndc_code": str(i % 7), "drug_name": f"D{i % 7}", "drug_class": f"C{i % 4}", "npi_number": str(i % 5),
+                     "member_state": f"S{i % 3}", "claim_amount": 1.0 + i, "service_date": f"2024-{1 + i % 12:02d}-05"}
+                    for i in range(200)])
+    register_views(tables)
+    plain = spark.sql(
+        "SELECT drug_class, count(*), round(sum(claim_amount), 2) AS revenue, round(avg(claim_amount), 2) "
+        "FROM fact_claims JOIN dim_drug USING (drug_key) GROUP BY drug_class ORDER BY revenue DESC, drug_class LIMIT 5"
+    )
+    assert rows(analytics.top_drug_classes(tables)) == rows(plain)
+    plain = spark.sql(
+        "SELECT member_state, count(*) AS n, round(sum(claim_amount), 2) FROM fact_claims "
+        "JOIN dim_provider USING (provider_key) GROUP BY member_state ORDER BY n DESC, member_state LIMIT 5"
+    )
+    assert rows(analytics.top_states(tables)) == rows(plain)
+    plain = spark.sql(
+        "SELECT year, quarter, count(*), round(sum(claim_amount), 2) FROM fact_claims "
+        "JOIN dim_date ON service_date = date_value GROUP BY year, quarter ORDER BY year, quarter"
+    )
+    assert rows(analytics.claims_by_quarter(tables)) == rows(plain)
