@@ -41,11 +41,11 @@ def mean_money(total: Column, rows: Column) -> Column:
     return F.round(total.cast("double") / rows, 2)
 
 
-def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One row per key: the first in `order`, NULLs last; NULL keys form one group.
+def keep_first(df: DataFrame, keys: list[str], order: list[str], rows: int = 1) -> DataFrame:
+    """The first row (or `rows` rows) per key in `order`, NULLs last; NULL keys form one group.
 
-    Filtering row_number() to 1 lets Spark limit each group on the map side, so a key that holds a large share
-    of the rows is cut to one row per input partition before the shuffle.
+    Bounding row_number() lets Spark limit each group on the map side, so a key that holds a large share of the
+    rows is cut to that many rows per input partition before the shuffle.
     """
     window = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order])
-    return df.withColumn("_place", F.row_number().over(window)).where(F.col("_place") == 1).drop("_place")
+    return df.withColumn("_place", F.row_number().over(window)).where(F.col("_place") <= rows).drop("_place")

@@ -1,15 +1,15 @@
 """Eight data-quality checks on raw claims, as rows, as a summary and as a gate.
 
-All counts come from one pass that folds the claims to one row per (days_supply, claim_status); the number of
-distinct ids comes from a second pass that reads claim_id alone. Keeping them apart means the shuffle by claim_id
-carries nothing but the id. Every check is an expression over the one row of metrics, so asking for a single check
-lets Spark drop the columns and the pass it does not need.
+One pass folds the claims to one row per (days_supply, claim_status) and yields every count, extreme and list of
+values; a second pass reads claim_id alone for the number of distinct ids, so the shuffle by claim_id carries nothing
+but the id. Every check is an expression over the one row of metrics, and asking for a single check lets Spark drop
+the columns it does not need.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.functions.columns import date_of
+from claimloom.functions.columns import date_of, keep_first
 from claimloom.functions.rules import DAYS_SUPPLY_RANGE, ROW_COUNT_RANGE, one_of, positive, violated, within
 from claimloom.schema import VALID_STATUSES
 
@@ -21,7 +21,13 @@ class DataQualityError(ValueError):
     """Raised by the gate; names the failed checks."""
 
 
+def _named(expressions: dict[str, str]) -> list[Column]:
+    return [F.expr(text).alias(name) for name, text in expressions.items()]
+
+
 def _profile(raw: DataFrame) -> DataFrame:
+    """Counts and extremes per (days_supply, claim_status)."""
+
     def without_nan(column: str) -> str:
         return f"IF(isnan({column}), NULL, {column})"
 
@@ -38,49 +44,50 @@ def _profile(raw: DataFrame) -> DataFrame:
     return raw.groupBy("days_supply", "claim_status").agg(*_named(measures))
 
 
-def _named(expressions: dict[str, str]) -> list[Column]:
-    return [F.expr(text).alias(name) for name, text in expressions.items()]
+# What each row of the profile contributes: to the totals, to the days and to the statuses found.
+_CONTRIBUTIONS = """stack(3,
+    'total', int(NULL), string(NULL),
+    'day', days_supply, string(NULL),
+    'status', int(NULL), claim_status
+) AS (kind, day, status)"""
 
 
-def _values(profile: DataFrame, column: str, text: str) -> DataFrame:
-    """One row with the sorted distinct values of a column as text, NULL last.
+def _listed(kind: str, value: str, text: str) -> str:
+    """SQL for the values of a kind as one text, sorted, NULL last, shortened past LISTED_VALUES."""
+    item = f"IF(kind = '{kind}', struct({value} IS NULL AS missing, {value}, nvl({text}, 'None') AS shown), NULL)"
+    items = f"array_sort(collect_list({item}))"
+    shown = f"array_join(slice({items}.shown, 1, {LISTED_VALUES}), ', ')"
+    return f"concat('[', {shown}, IF(size({items}) > {LISTED_VALUES}, ', ...', ''), ']')"
 
-    Values are made distinct in parallel and only the smallest ones that fit into the text reach one task.
+
+def dq_metrics(raw: DataFrame, with_ids: bool = True) -> DataFrame:
+    """One row with everything the checks look at.
+
+    The values found are made distinct and cut to the smallest that fit into a text before they meet in one task.
     """
-    smallest = profile.select(column).distinct().orderBy(F.col(column).asc_nulls_last()).limit(LISTED_VALUES + 1)
-    items = f"array_sort(collect_list(struct({column} IS NULL AS missing, {column}, nvl({text}, 'None') AS shown)))"
-    listed = f"array_join(slice({items}.shown, 1, {LISTED_VALUES}), ', ')"
-    more = f"IF(size({items}) > {LISTED_VALUES}, ', ...', '')"
-    return smallest.agg(F.expr(f"concat('[', {listed}, {more}, ']')").alias("listed"))
-
-
-def dq_metrics(raw: DataFrame, only: str | None = None) -> DataFrame:
-    """One row with everything the checks (or one of them) look at."""
-    profile = _profile(raw)
-
-    def total(measure: str) -> str:
-        return f"coalesce(sum({measure}), 0)"
-
-    totals = {
-        "n": total("n"),
-        "null_ids": total("null_ids"),
-        "bad_amounts": total("bad_amounts"),
-        "min_amount": "min(min_amount)",
-        "max_amount": "max(max_amount)",
-        "bad_quantities": total("bad_quantities"),
-        "min_quantity": "min(min_quantity)",
-        "bad_days": total(f"IF({violated(within('days_supply', DAYS_SUPPLY_RANGE))}, n, 0)"),
-        "bad_statuses": total(f"IF({violated(one_of('claim_status', VALID_STATUSES))}, n, 0)"),
-        "bad_dates": total("bad_dates"),
-    }
-    parts = {
-        "duplicate_claim_id": lambda: raw.agg(F.countDistinct("claim_id")).scalar().alias("ids"),
-        "days_supply": lambda: _values(profile, "days_supply", "string(days_supply)").scalar().alias("days"),
-        "claim_status": lambda: _values(profile, "claim_status", "concat(\"'\", claim_status, \"'\")").scalar()
-        .alias("statuses"),
-    }
-    wanted = [part() for key, part in parts.items() if only in (None, key)]
-    return profile.agg(*_named(totals)).select("*", *wanted)
+    bad_days = f"IF({violated(within('days_supply', DAYS_SUPPLY_RANGE))}, n, 0)"
+    bad_statuses = f"IF({violated(one_of('claim_status', VALID_STATUSES))}, n, 0)"
+    sums = ("n", "null_ids", "bad_amounts", "bad_quantities", "bad_days", "bad_statuses", "bad_dates")
+    extremes = {"min_amount": "min", "max_amount": "max", "min_quantity": "min"}
+
+    groups = (
+        _profile(raw)
+        .selectExpr("*", f"{bad_days} AS bad_days", f"{bad_statuses} AS bad_statuses", _CONTRIBUTIONS)
+        .groupBy("kind", "day", "status")
+        .agg(*_named({c: f"sum({c})" for c in sums} | {c: f"{f}({c})" for c, f in extremes.items()}))
+    )
+    kept = keep_first(groups, ["kind"], ["day", "status"], LISTED_VALUES + 1)
+    metrics = kept.agg(
+        *_named({c: f"coalesce(sum({c}) FILTER (WHERE kind = 'total'), 0)" for c in sums}),
+        *_named({c: f"{f}({c}) FILTER (WHERE kind = 'total')" for c, f in extremes.items()}),
+        *_named({
+            "days": _listed("day", "day", "string(day)"),
+            "statuses": _listed("status", "status", "concat(\"'\", status, \"'\")"),
+        }),
+    )
+    if with_ids:
+        metrics = metrics.select("*", raw.agg(F.countDistinct("claim_id")).scalar().alias("ids"))
+    return metrics
 
 
 def _two_decimals(value: str) -> str:
@@ -135,7 +142,8 @@ CHECKS = {
 def dq_check(raw: DataFrame, key: str) -> DataFrame:
     """One check as one row (check, passed, detail)."""
     name, passed, detail = CHECKS[key]
-    return dq_metrics(raw, key).selectExpr(f"'{name}' AS check", f"{passed} AS passed", f"{detail} AS detail")
+    metrics = dq_metrics(raw, with_ids=key == "duplicate_claim_id")
+    return metrics.selectExpr(f"'{name}' AS check", f"{passed} AS passed", f"{detail} AS detail")
 
 
 def report_of(metrics: DataFrame) -> DataFrame:

@@ -4,7 +4,6 @@ from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from claimloom.operators.audit import audit_counts, row_count
 from claimloom.operators.clean import judged_claims
@@ -43,8 +42,8 @@ def run(
 
     `stage_raw` first copies the claims to Parquet, so that a source that is costly to read (CSV, joins) is read
     once and the checks scan only the columns they need; turn it off for claims that already are Parquet.
-    The de-duplicated claims are written once, accepted and rejected rows in separate folders, and the fact and
-    all dimensions read that copy: they agree on the chosen rows and nothing is shuffled by claim twice.
+    The de-duplicated claims are written once, with the reason of the rejected ones, and the fact and all dimensions
+    read that copy: they agree on the chosen rows and nothing is shuffled by claim twice.
     A run that is not `strict` goes on when a quality check failed. Give every run its own `out`, and readers see
     all tables change at once when they are pointed to it.
     """
@@ -59,10 +58,9 @@ def run(
     if strict:
         dq_gate(quality)
 
-    judged = judged_claims(raw, run_ts, salt).withColumn("accepted", F.col("reason") == "")
-    judged = _stored(judged, f"{out}/judged_claims", "accepted")
-    cleaned = judged.where("accepted").select(*CLEAN_CLAIMS.names)
-    rejected = judged.where("NOT accepted").drop("accepted")
+    judged = _stored(judged_claims(raw, run_ts, salt), f"{out}/judged_claims")
+    cleaned = judged.where("reason = ''").select(*CLEAN_CLAIMS.names)
+    rejected = judged.where("reason <> ''")
 
     report = load_star(spark, build_star(cleaned), f"{out}/warehouse", primary)
     star = read_star(spark, f"{out}/warehouse")
@@ -80,7 +78,7 @@ def run(
     )
 
 
-def _stored(df: DataFrame, path: str, *partition_by: str) -> DataFrame:
+def _stored(df: DataFrame, path: str) -> DataFrame:
     """Write and read back: later steps start from files, whatever executors are lost meanwhile."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
