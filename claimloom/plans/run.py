@@ -11,7 +11,9 @@ from claimloom.operators.load import Sink, load_star, read_star
 from claimloom.operators.quality import dq_gate, dq_metrics, report_of
 from claimloom.operators.star import build_star
 from claimloom.plans.analytics import answer_all
+from claimloom.plans.sizing import fit_session
 from claimloom.schema import CLEAN_CLAIMS
+from claimloom.sources.files import size_of
 
 
 @dataclass(frozen=True)
@@ -53,6 +55,7 @@ def run(
 
     if stage_raw:
         raw = _stored(raw, f"{out}/raw_claims")
+        fit_session(spark, size_of(spark, f"{out}/raw_claims"))
     metrics = _stored(dq_metrics(raw), f"{out}/dq_metrics")
     quality = _stored(report_of(metrics), f"{out}/dq_report")
     if strict:

@@ -2,6 +2,7 @@
 
 from datetime import date
 
+import daily_run
 import pytest
 from conftest import RUN_TS
 
@@ -110,3 +111,23 @@ def test_sizes():
 def test_small_input_leaves_the_session_alone(spark):
     sizing.fit_session(spark, 1_000)
     assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) is None
+
+
+def test_daily_run_script(spark, tmp_path, capsys):
+    argv = ["--raw", f"{tmp_path}/raw", "--out", f"{tmp_path}/out", "--rows", "1500", "--date", "2024-05-01"]
+    first = daily_run.main(argv)
+    printed = capsys.readouterr().out
+    assert all(title in printed for title in analytics.QUESTIONS)
+    assert first.audit.first()["run_date"] == date(2024, 5, 1)
+    expected = {name: rows(table.drop("etl_processed_at")) for name, table in first.star.items()}
+    again = daily_run.main(argv)
+    assert {name: rows(table.drop("etl_processed_at")) for name, table in again.star.items()} == expected
+
+
+def test_daily_run_reports_a_missing_warehouse(spark, tmp_path):
+    config = tmp_path / "config.json"
+    config.write_text('{"database": {"host": "nowhere", "port": 1, "name": "n", "user": "u", "password": "p"}}')
+    result = daily_run.main(["--raw", f"{tmp_path}/raw", "--out", f"{tmp_path}/out", "--rows", "1000",
+                             "--warehouse", "postgres", "--config", str(config)])
+    assert result.load_report.where("sink = 'primary' AND ok").count() == 0
+    assert len(result.answers["Claims by status"].collect()) == 3
