@@ -13,7 +13,7 @@ from claimloom.functions.columns import date_of, keep_first
 from claimloom.functions.rules import DAYS_SUPPLY_RANGE, ROW_COUNT_RANGE, one_of, positive, violated, within
 from claimloom.schema import VALID_STATUSES
 
-# Longest value list spelled out in a detail text; `unexpected_statuses` returns the complete set.
+# Longest value list spelled out in a detail text; `found_values` returns the complete one.
 LISTED_VALUES = 100
 
 
@@ -181,3 +181,8 @@ def unexpected_statuses(raw: DataFrame, valid: tuple[str, ...] = VALID_STATUSES)
     The valid set is a handful of literals, so the difference is a filter below the distinct, not an anti-join.
     """
     return raw.where(violated(one_of("claim_status", valid))).select("claim_status").distinct()
+
+
+def found_values(raw: DataFrame, column: str) -> DataFrame:
+    """All distinct values of a column in order, NULL last."""
+    return raw.select(column).distinct().orderBy(F.col(column).asc_nulls_last())

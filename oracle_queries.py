@@ -143,24 +143,37 @@ def _draw(start: int, digits: int, choices: int) -> str:
     return f"(CAST('0x' || substr(digest, {start}, {digits}) AS BIGINT) % {choices})"
 
 
+def _pad(number: str, width: int) -> str:
+    text = f"CAST({number} AS VARCHAR)"
+    return f"lpad({text}, CAST(greatest(length({text}), {width}) AS INTEGER), '0')"
+
+
 # Invented claims numbered by the order keys; lists are indexed from 1.
 SYNTHETIC = f"""
 digests AS (SELECT o_orderkey AS number, sha256('42:' || CAST(o_orderkey AS VARCHAR)) AS digest FROM orders),
+drawn AS (SELECT *, {_draw(1, 6, 15)} + 1 AS drug, {_draw(53, 6, 100)} AS percent FROM digests),
 synthetic AS (
-    SELECT ['DIABETES', 'ANTICOAGULANT', 'CHOLESTEROL', 'DIABETES', 'HYPERTENSION', 'IMMUNOLOGY', 'DIABETES',
+    SELECT 'CLM' || {_pad('number', 8)} AS claim_id,
+           'MBR' || {_pad(_draw(15, 6, 15000) + ' + 1', 6)} AS member_id,
+           ['00002143301', '00069154041', '00310015130', '00456345063', '00143988401', '00074577490', '00169368712',
+            '00088221905', '00378395193', '00093221056', '00378718193', '00904584061', '00071015523', '00003089121',
+            '00054327099'][drug] AS ndc_code,
+           ['Insulin Glargine', 'Apixaban', 'Atorvastatin', 'Metformin', 'Lisinopril', 'Adalimumab', 'Semaglutide',
+            'Rivaroxaban', 'Amlodipine', 'Omeprazole', 'Metoprolol', 'Gabapentin', 'Rosuvastatin', 'Apremilast',
+            'Oxycodone'][drug] AS drug_name,
+           ['DIABETES', 'ANTICOAGULANT', 'CHOLESTEROL', 'DIABETES', 'HYPERTENSION', 'IMMUNOLOGY', 'DIABETES',
             'ANTICOAGULANT', 'HYPERTENSION', 'GASTROINTESTINAL', 'CARDIOLOGY', 'NEUROLOGY', 'CHOLESTEROL',
-            'IMMUNOLOGY', 'PAIN'][{_draw(1, 6, 15)} + 1] AS drug_class,
-           {_draw(7, 4, 12)} + 1 AS m, {_draw(11, 4, 28)} + 1 AS d,
-           {_draw(15, 6, 15000)} + 1 AS member, {_draw(21, 10, 9000000000)} + 1000000000 AS npi,
-           ({_draw(31, 8, 799001)} + 1000) / 100.0::DOUBLE AS claim_amount,
-           [30.0, 60.0, 90.0, 180.0][{_draw(39, 4, 4)} + 1] AS quantity,
-           [30, 60, 90][{_draw(43, 4, 3)} + 1] AS days_supply,
-           {_draw(47, 3, 25)} + 1 AS plan,
+            'IMMUNOLOGY', 'PAIN'][drug] AS drug_class,
+           CAST({_draw(21, 10, 9000000000)} + 1000000000 AS VARCHAR) AS npi_number,
+           '2024-' || {_pad(_draw(7, 4, 12) + ' + 1', 2)} || '-' || {_pad(_draw(11, 4, 28) + ' + 1', 2)} AS service_date,
+           CAST({_draw(31, 8, 799001)} + 1000 AS DOUBLE) / 100 AS claim_amount,
+           CAST([30, 60, 90, 180][{_draw(39, 4, 4)} + 1] AS DOUBLE) AS quantity,
+           CAST([30, 60, 90][{_draw(43, 4, 3)} + 1] AS INTEGER) AS days_supply,
+           'PLAN_' || {_pad(_draw(47, 3, 25) + ' + 1', 3)} AS plan_id,
            ['FL', 'TX', 'CA', 'NY', 'IL', 'PA', 'OH', 'GA', 'NC', 'MI', 'WA', 'AZ', 'MA', 'TN', 'IN', 'MO', 'MD', 'WI',
             'CO', 'MN'][{_draw(50, 3, 20)} + 1] AS member_state,
-           CASE WHEN {_draw(53, 6, 100)} < 80 THEN 'PAID' WHEN {_draw(53, 6, 100)} < 92 THEN 'ADJUDICATED'
-                ELSE 'REVERSED' END AS claim_status
-    FROM digests
+           CASE WHEN percent < 80 THEN 'PAID' WHEN percent < 92 THEN 'ADJUDICATED' ELSE 'REVERSED' END AS claim_status
+    FROM drawn
 )"""
 
 _RAW_COLUMNS = (
@@ -205,31 +218,31 @@ QUERIES: dict[str, str] = {
     "top_drug_classes": _with(
         _STAR,
         f"""
-        SELECT d.drug_class, count(*) AS claims, {_total()} AS total_revenue, {_mean()} AS avg_cost
-        FROM fact_claims f JOIN dim_drug d ON f.drug_key = d.drug_key
-        GROUP BY d.drug_class ORDER BY total_revenue DESC, d.drug_class NULLS LAST LIMIT 5""",
+        SELECT drug_class, count(*) AS claims, {_total()} AS total_revenue, {_mean()} AS avg_cost
+        FROM fact_claims JOIN dim_drug USING (drug_key)
+        GROUP BY drug_class ORDER BY total_revenue DESC, drug_class NULLS LAST LIMIT 5""",
     ),
     "top_drugs": _with(
         _STAR,
         f"""
-        SELECT d.drug_name, d.drug_class, count(*) AS prescriptions, {_mean()} AS avg_cost
-        FROM fact_claims f JOIN dim_drug d ON f.drug_key = d.drug_key
-        GROUP BY d.drug_name, d.drug_class
-        ORDER BY prescriptions DESC, d.drug_name NULLS LAST, d.drug_class NULLS LAST LIMIT 5""",
+        SELECT drug_name, drug_class, count(*) AS prescriptions, {_mean()} AS avg_cost
+        FROM fact_claims JOIN dim_drug USING (drug_key)
+        GROUP BY drug_name, drug_class
+        ORDER BY prescriptions DESC, drug_name NULLS LAST, drug_class NULLS LAST LIMIT 5""",
     ),
     "top_states": _with(
         _STAR,
         f"""
-        SELECT p.member_state AS state, count(*) AS claims, {_total()} AS total_amount
-        FROM fact_claims f JOIN dim_provider p ON f.provider_key = p.provider_key
-        GROUP BY p.member_state ORDER BY claims DESC, state NULLS LAST LIMIT 5""",
+        SELECT member_state AS state, count(*) AS claims, {_total()} AS total_amount
+        FROM fact_claims JOIN dim_provider USING (provider_key)
+        GROUP BY member_state ORDER BY claims DESC, state NULLS LAST LIMIT 5""",
     ),
     "claims_by_quarter": _with(
         _STAR,
         f"""
-        SELECT t."year" AS "year", t."quarter" AS "quarter", count(*) AS claims, {_total()} AS total_amount
-        FROM fact_claims f JOIN dim_date t ON f.service_date = t.date_value
-        GROUP BY t."year", t."quarter" ORDER BY t."year", t."quarter" """,
+        SELECT "year", "quarter", count(*) AS claims, {_total()} AS total_amount
+        FROM fact_claims JOIN dim_date ON service_date = date_value
+        GROUP BY "year", "quarter" ORDER BY "year", "quarter" """,
     ),
     **{f"dq_{key}": _with((RAW,), select) for key, select in CHECKS.items()},
     "dq_report": _with((RAW,), _REPORT),
@@ -268,13 +281,14 @@ QUERIES: dict[str, str] = {
                (SELECT count(*) FROM dim_date) AS dim_date_rows, (SELECT count(*) FROM fact_claims) AS fact_claims_rows,
                DATE '2024-01-01' AS run_date""",
     ),
-    "synthetic_claims_profile": "WITH"
-    + SYNTHETIC
-    + """
-SELECT drug_class, claim_status, count(*) AS claims, count(DISTINCT member) AS members, count(DISTINCT npi) AS providers,
-       count(DISTINCT member_state) AS states, count(DISTINCT plan) AS plans,
-       count(DISTINCT '2024-' || lpad(CAST(m AS VARCHAR), 2, '0') || '-' || lpad(CAST(d AS VARCHAR), 2, '0')) AS dates,
-       CAST(sum(quantity) AS DOUBLE) AS total_quantity, CAST(sum(days_supply) AS BIGINT) AS total_days,
-       round(CAST(sum(CAST(claim_amount AS DECIMAL(18, 2))) AS DOUBLE), 2) AS total_amount
-FROM synthetic GROUP BY drug_class, claim_status""",
+    "days_supply_values": _with((RAW,), "SELECT DISTINCT days_supply FROM raw ORDER BY days_supply"),
+    "claim_status_values": _with((RAW,), "SELECT DISTINCT claim_status FROM raw ORDER BY claim_status"),
+    "synthetic_claims": _with((SYNTHETIC,), "SELECT * FROM synthetic"),
+    "synthetic_claims_profile": _with(
+        (SYNTHETIC,),
+        f"""
+        SELECT drug_class, claim_status, count(*) AS claims, CAST(sum(quantity) AS DOUBLE) AS total_quantity,
+               CAST(sum(days_supply) AS BIGINT) AS total_days, {_total()} AS total_amount
+        FROM synthetic GROUP BY drug_class, claim_status""",
+    ),
 }

@@ -36,7 +36,7 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         # Keep small fixtures spread over several tasks.
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16k")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))

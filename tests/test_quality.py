@@ -10,6 +10,7 @@ from claimloom.operators.quality import (
     dq_gate,
     dq_report,
     dq_summary,
+    found_values,
     unexpected_statuses,
 )
 
@@ -86,6 +87,7 @@ def test_long_status_list_is_shortened_in_the_text_only(claims):
     assert not passed
     assert detail == "(found: [" + ", ".join(f"'{s}'" for s in statuses[:LISTED_VALUES]) + ", ...])"
     assert sorted(row[0] for row in unexpected_statuses(raw).collect()) == statuses
+    assert [row[0] for row in found_values(raw, "claim_status").collect()] == statuses
 
 
 @pytest.mark.parametrize("text", ["2024-13-40", "2024/01/05", None, ""])
