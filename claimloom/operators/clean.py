@@ -21,7 +21,7 @@ def standardise(deduped: DataFrame, run_ts: datetime | None = None, salt: str |
         {
             "claim_amount": F.col("claim_amount").try_cast("double"),
             "quantity": F.col("quantity").try_cast("double"),
-            "days_supply": F.col("days_supply").try_cast("int"),
+            "days_supply": F.col("days_supply").try_cast("double").try_cast("int"),
             "service_date": F.expr(date_of("service_date")),
             "drug_class": standard_text("drug_class"),
             "claim_status": standard_text("claim_status"),

@@ -14,23 +14,26 @@ LARGE_INPUT_BYTES = 1024 * 1024 * MIB
 LARGE_SCAN_BYTES = 512 * MIB
 
 
-def sizes_for(input_bytes: int, shuffle_partitions: int) -> dict[str, str]:
-    """Session settings for an input; empty when the session's own are enough."""
-    settings = {}
-    wanted = min(-(-input_bytes // PARTITION_BYTES), WIDEST_SHUFFLE)
-    if wanted > shuffle_partitions:
-        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(wanted)
-    if input_bytes >= LARGE_INPUT_BYTES:
-        settings["spark.sql.files.maxPartitionBytes"] = str(LARGE_SCAN_BYTES)
-    return settings
+ADAPTIVE = "spark.sql.adaptive.enabled"
+INITIAL_WIDTH = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+FIXED_WIDTH = "spark.sql.shuffle.partitions"
+SCAN_BYTES = "spark.sql.files.maxPartitionBytes"
+
+
+def shuffle_width(input_bytes: int) -> int:
+    return min(-(-input_bytes // PARTITION_BYTES), WIDEST_SHUFFLE)
 
 
 def fit_session(spark: SparkSession, input_bytes: int) -> None:
-    """Widen shuffles to the input. Only the starting width is set and never lowered; adaptive execution merges
-    partitions that turn out small."""
-    if spark.conf.get("spark.sql.adaptive.enabled") != "true":
-        return
-    own = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    width = int(spark.conf.get(own, None) or spark.conf.get("spark.sql.shuffle.partitions"))
-    for name, value in sizes_for(input_bytes, width).items():
-        spark.conf.set(name, value)
+    """Widen shuffles and enlarge scan pieces for an input.
+
+    Under adaptive execution only the starting width is set, and partitions that turn out small are merged. A wider
+    shuffle or a scan size chosen by the user is left alone.
+    """
+    own = spark.conf.getAll
+    adaptive = spark.conf.get(ADAPTIVE) == "true"
+    width = int(own.get(INITIAL_WIDTH, 0) if adaptive else 0) or int(spark.conf.get(FIXED_WIDTH))
+    if shuffle_width(input_bytes) > width:
+        spark.conf.set(INITIAL_WIDTH if adaptive else FIXED_WIDTH, str(shuffle_width(input_bytes)))
+    if input_bytes >= LARGE_INPUT_BYTES and SCAN_BYTES not in own:
+        spark.conf.set(SCAN_BYTES, str(LARGE_SCAN_BYTES))

@@ -17,11 +17,17 @@ CSV_DIALECT = {
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
 }
+_CSV_TYPES = {T.IntegerType(): T.DoubleType()}
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_CLAIMS) -> DataFrame:
-    """CSV with a declared schema; a malformed number becomes NULL and is caught by the checks."""
-    return spark.read.schema(schema).options(**CSV_DIALECT, mode="PERMISSIVE").csv(path)
+def read_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Raw claims from CSV; a malformed number becomes NULL and is caught by the checks.
+
+    Whole numbers may be written with decimals (`30.0`), as exports of columns with gaps do.
+    """
+    written = T.StructType([T.StructField(f.name, _CSV_TYPES.get(f.dataType, f.dataType)) for f in RAW_CLAIMS])
+    claims = spark.read.schema(written).options(**CSV_DIALECT, mode="PERMISSIVE").csv(path)
+    return claims.select(*[F.col(f.name).try_cast(f.dataType) for f in RAW_CLAIMS]).toDF(*RAW_CLAIMS.names)
 
 
 def write_csv(claims: DataFrame, path: str) -> None:

@@ -100,7 +100,7 @@ def test_text_numbers_are_cast_and_malformed_ones_rejected(claims):
     raw = claims({}, {}).withColumns(
         {
             "claim_amount": F.expr("IF(claim_id = 'CLM00000001', 'abc', '12.5')"),
-            "days_supply": F.lit("30"),
+            "days_supply": F.lit("30.0"),
         }
     )
     assert rows(clean_claims(raw, RUN_TS), "claim_id", "claim_amount", "days_supply") == [("CLM00000002", 12.5, 30)]

@@ -96,21 +96,41 @@ def test_dirty_run(spark, claims, tmp_path):
         assert rows(answer) == rows(unsaved[title])
 
 
-def test_sizes():
-    assert sizing.sizes_for(10 * sizing.MIB, 200) == {}
-    ten_tib = sizing.sizes_for(10 * 1024 * 1024 * sizing.MIB, 200)
-    assert ten_tib == {
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
-        "spark.sql.files.maxPartitionBytes": str(512 * sizing.MIB),
-    }
-    assert sizing.sizes_for(100 * 1024 * sizing.MIB, 200) == {
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "400"
-    }
-
-
-def test_small_input_leaves_the_session_alone(spark):
-    sizing.fit_session(spark, 1_000)
-    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) is None
+def settings(session):
+    names = (sizing.INITIAL_WIDTH, sizing.FIXED_WIDTH, sizing.SCAN_BYTES)
+    return tuple(session.conf.getAll.get(name) for name in names)
+
+
+@pytest.fixture
+def session(spark):
+    return spark.newSession()
+
+
+TIB = 1024 * 1024 * sizing.MIB
+
+
+@pytest.mark.parametrize(
+    ("size", "width", "scan"),
+    [(1_000, None, None), (TIB // 16, "256", None), (2 * TIB, "8192", "536870912"), (100 * TIB, "20000", "536870912")],
+)
+def test_session_fits_the_input(session, size, width, scan):
+    session.conf.set(sizing.FIXED_WIDTH, "200")
+    sizing.fit_session(session, size)
+    assert settings(session) == (width, "200", scan)
+
+
+def test_session_without_adaptive_execution(session):
+    session.conf.set(sizing.ADAPTIVE, "false")
+    session.conf.set(sizing.FIXED_WIDTH, "200")
+    sizing.fit_session(session, TIB // 16)
+    assert settings(session) == (None, "256", None)
+
+
+def test_choices_of_the_user_stay(session):
+    session.conf.set(sizing.INITIAL_WIDTH, "30000")
+    session.conf.set(sizing.SCAN_BYTES, "1g")
+    sizing.fit_session(session, 100 * TIB)
+    assert settings(session)[::2] == ("30000", "1g")
 
 
 def test_daily_run_script(spark, tmp_path, capsys):

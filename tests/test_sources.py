@@ -33,10 +33,12 @@ def test_roundtrip_keeps_every_value(spark, claims, tmp_path, kind):
 def test_malformed_csv_numbers_become_null(spark, claims, tmp_path):
     path = tmp_path / "one.csv"
     names = ",".join(RAW_CLAIMS.names)
-    path.write_text(f"{names}\nA,M,007,d,c,1,2024-01-01,abc,30,x,P,FL,PAID\nB,M,007,d,c,1,2024-01-01,5.5,30,30,P,FL,PAID\n")
+    path.write_text(f"{names}\nA,M,007,d,c,1,2024-01-01,abc,30,x,P,FL,PAID\nB,M,007,d,c,1,2024-01-01,5.5,30,30,P,FL,PAID\n"
+                    "C,M,007,d,c,1,2024-01-01,5,60.0,90.0,P,FL,PAID\n")
     back = {row["claim_id"]: row for row in files.read_csv(spark, str(path)).collect()}
     assert (back["A"]["claim_amount"], back["A"]["days_supply"], back["A"]["ndc_code"]) == (None, None, "007")
     assert (back["B"]["claim_amount"], back["B"]["days_supply"]) == (5.5, 30)
+    assert (back["C"]["claim_amount"], back["C"]["quantity"], back["C"]["days_supply"]) == (5.0, 60.0, 90)
 
 
 def test_load_or_build(spark, claims, tmp_path):
