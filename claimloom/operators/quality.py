@@ -2,7 +2,7 @@
 
 One pass folds the claims to one row per (days_supply, claim_status) and yields every count, extreme and list of
 values; a second pass reads claim_id alone for the number of distinct ids, so the shuffle by claim_id carries nothing
-but the id. Every check is an expression over the one row of metrics, and asking for a single check lets Spark drop
+but the id, and a run that has stored its de-duplicated claims counts those instead. Every check is an expression over the one row of metrics, and asking for a single check lets Spark drop
 the columns it does not need.
 """
 
@@ -60,10 +60,11 @@ def _listed(kind: str, value: str, text: str) -> str:
     return f"concat('[', {shown}, IF(size({items}) > {LISTED_VALUES}, ', ...', ''), ']')"
 
 
-def dq_metrics(raw: DataFrame, with_ids: bool = True) -> DataFrame:
+def dq_metrics(raw: DataFrame, with_ids: bool = True, deduped: DataFrame | None = None) -> DataFrame:
     """One row with everything the checks look at.
 
     The values found are made distinct and cut to the smallest that fit into a text before they meet in one task.
+    `deduped` holds one stored row per claim_id of `raw`; its ids are then counted without shuffling them again.
     """
     bad_days = f"IF({violated(within('days_supply', DAYS_SUPPLY_RANGE))}, n, 0)"
     bad_statuses = f"IF({violated(one_of('claim_status', VALID_STATUSES))}, n, 0)"
@@ -86,7 +87,8 @@ def dq_metrics(raw: DataFrame, with_ids: bool = True) -> DataFrame:
         }),
     )
     if with_ids:
-        metrics = metrics.select("*", raw.agg(F.countDistinct("claim_id")).scalar().alias("ids"))
+        ids = raw.agg(F.countDistinct("claim_id")) if deduped is None else deduped.agg(F.count("claim_id"))
+        metrics = metrics.select("*", ids.scalar().alias("ids"))
     return metrics
 
 

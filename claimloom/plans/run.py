@@ -46,8 +46,9 @@ def run(
     once and the checks scan only the columns they need; turn it off for claims that already are Parquet.
     The de-duplicated claims are written once, with the reason of the rejected ones, and the fact and all dimensions
     read that copy: they agree on the chosen rows and nothing is shuffled by claim twice.
-    A run that is not `strict` goes on when a quality check failed. Give every run its own `out`, and readers see
-    all tables change at once when they are pointed to it.
+    The checks look at the raw values; that copy only spares them a second shuffle of all ids, so it is written
+    first. Nothing is built or loaded when a check failed, unless the run is not `strict`.
+    Give every run its own `out`, and readers see all tables change at once when they are pointed to it.
     """
     now = datetime.now()
     run_ts = run_ts or now
@@ -56,12 +57,13 @@ def run(
     if stage_raw:
         raw = _stored(raw, f"{out}/raw_claims")
         fit_session(spark, size_of(spark, f"{out}/raw_claims"))
-    metrics = _stored(dq_metrics(raw), f"{out}/dq_metrics")
+    judged = _stored(judged_claims(raw, run_ts, salt), f"{out}/judged_claims")
+
+    metrics = _stored(dq_metrics(raw, deduped=judged), f"{out}/dq_metrics")
     quality = _stored(report_of(metrics), f"{out}/dq_report")
     if strict:
         dq_gate(quality)
 
-    judged = _stored(judged_claims(raw, run_ts, salt), f"{out}/judged_claims")
     cleaned = judged.where("reason = ''").select(*CLEAN_CLAIMS.names)
     rejected = judged.where("reason <> ''")
 

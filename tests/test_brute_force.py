@@ -11,7 +11,7 @@ import pytest
 from conftest import RUN_TS, TEMPLATE
 
 from claimloom.operators.clean import clean_claims, dedup_claims, rejected_claims
-from claimloom.operators.quality import CHECKS, dq_report, unexpected_statuses
+from claimloom.operators.quality import CHECKS, dq_metrics, dq_report, unexpected_statuses
 from claimloom.operators.star import build_star
 from claimloom.plans import analytics
 from claimloom.schema import COPY_ORDER, VALID_STATUSES
@@ -179,5 +179,6 @@ def test_checks(claims, batch):
     assert report["days_supply"]["detail"] == "(values: [0, 1, 30, 60, 90, 365, 366, None])"
     assert report["claim_status"]["detail"] == "(found: [' paid ', 'PAID', 'REVERSED', 'VOID', None])"
     assert report["service_date"]["detail"] == f"({undated} unparseable dates)"
+    assert dq_metrics(raw, deduped=dedup_claims(raw)).first() == dq_metrics(raw).first()
     found = {r["claim_status"] for r in batch} - set(VALID_STATUSES)
     assert {r[0] for r in unexpected_statuses(raw).collect()} == found

@@ -88,6 +88,7 @@ def test_dirty_run(spark, claims, tmp_path):
     raw = claims({"claim_id": "A"}, {"claim_id": "A", "quantity": 60.0}, {"claim_amount": -1.0}, {"days_supply": 999}, {})
     with pytest.raises(DataQualityError):
         run(spark, raw, f"{tmp_path}/strict", run_ts=RUN_TS)
+    assert not (tmp_path / "strict" / "warehouse").exists()
     result = run(spark, raw, f"{tmp_path}/lax", run_ts=RUN_TS, strict=False)
     assert [tuple(r) for r in result.audit.collect()] == [(5, 4, 2, 1, 1, 1, 2, date(2024, 5, 1))]
     assert sorted(r["reason"] for r in result.rejected.collect()) == ["claim_amount", "days_supply"]
