@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from claimloom.llm.exact_dedup import exact_dedup
 from claimloom.llm.ngram_join import ngram_jaccard_join
+from claimloom.llm.packing import pack
 from claimloom.llm.substring_dedup import repeats_by_document
 
 
@@ -23,6 +24,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats_by_document(_documents(spark, sf_dir))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_documents(spark, sf_dir))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
