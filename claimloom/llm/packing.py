@@ -5,9 +5,11 @@ none, the fullest window is filled up with the head of the piece (unless too lit
 pours its open windows together, which leaves one partial window; these are merged, whole, in a last step.
 """
 
+import sys
 import zlib
 from functools import partial
 from itertools import chain
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +42,8 @@ class WordTokenizer:
     the table, special tokens) are given to it whole.
     """
 
-    SLOTS = 1 << 21
-    POOL = 1 << 23
+    SLOTS = 1 << 20
+    POOL = 1 << 22
 
     def __init__(self, vocabulary: str):
         import unicodedata
@@ -156,6 +158,14 @@ class WordTokenizer:
         return np.concatenate(parts).astype(np.uint32), np.array([len(x) for x in parts], np.int64)
 
 
+def tokenizer_of(vocabulary: str) -> WordTokenizer:
+    """One tokenizer for all tasks of a worker process."""
+    kept = sys.modules.setdefault("_word_tokenizers", ModuleType("_word_tokenizers")).__dict__
+    if vocabulary not in kept:
+        kept[vocabulary] = WordTokenizer(vocabulary)
+    return kept[vocabulary]
+
+
 def _spread(first: np.ndarray, count: np.ndarray) -> np.ndarray:
     """Indices first[i] .. first[i] + count[i] - 1 for each i, in order."""
     ends = np.cumsum(count)
@@ -222,7 +232,7 @@ _ARROW = pa.schema([(x.split()[0], pa.bool_() if x.endswith("boolean") else pa.i
 
 
 def _pack(batches, vocabulary: str, size: int, most_open: int, least_piece: int):
-    tokenizer = WordTokenizer(vocabulary)
+    tokenizer = tokenizer_of(vocabulary)
     packer = Packer(size, most_open, least_piece, TaskContext.get().partitionId() << 40)
 
     def taken():
