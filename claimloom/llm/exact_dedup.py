@@ -80,7 +80,8 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
 
     least = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))).alias("least")
     groups = recipes.groupBy("recipe").agg(least, F.count(F.lit(1)).alias("group_size"))
-    out = recipes.join(groups, "recipe")
+    # Written, so that the join deals both sides itself and a hot recipe can be split.
+    out = recipes.join(stages.keep("groups", groups), "recipe")
     kept = F.col("row") == F.col("least.row")
     return out.select("doc_id", F.col("least.doc_id").alias("keep_id"), "group_size", kept.alias("kept"), "text_sha256", "n_chunks")
 

@@ -261,7 +261,8 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, share: tuple[int, int] =
 
     rooted = sets.join(groups, "node", "left").select("doc_id", "n", F.coalesce("comp", "node").alias("root"))
     least = rooted.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("component"))
-    rooted = rooted.join(least, "root", "left")
+    # Written, so that the join deals both sides itself and a hot group can be split.
+    rooted = rooted.join(stages.keep("least", least), "root", "left")
     group = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return rooted.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), group).alias("component_id"))
 

@@ -4,7 +4,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from claimloom.llm.exact_dedup import exact_dedup
 from claimloom.llm.ngram_join import ngram_jaccard_join
+from claimloom.llm.mixing import mix_sources
 from claimloom.llm.packing import pack
+from claimloom.llm.sharding import hilbert_shards
 from claimloom.llm.substring_dedup import repeats_by_document
 
 
@@ -16,6 +18,10 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(_documents(spark, sf_dir), words=3, share=(90, 100))
 
 
+def op3_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_shards(_documents(spark, sf_dir), shards=8)
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_documents(spark, sf_dir)).drop("n_chunks")
 
@@ -24,6 +30,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats_by_document(_documents(spark, sf_dir))
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_documents(spark, sf_dir))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_documents(spark, sf_dir))
 
