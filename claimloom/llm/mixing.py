@@ -68,17 +68,17 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, percent: in
     """
     stages = Stages(docs.sparkSession)
     text = F.col("text").cast("string")
-    drawn = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), F.col("doc_id").cast("string"), F.crc32(text.cast("binary")).cast("string")).cast("binary")), 1, 13), 16, 10)
+    code = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), F.col("doc_id").cast("string"), F.crc32(text.cast("binary")).cast("string")).cast("binary")), 1, 13), 16, 10)
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         words(text).alias("size"),
         F.greatest(F.coalesce(quality_weight(text), F.lit(0.25)), F.lit(0.25)).alias("weight"),
-        ((drawn.cast("double") + 0.5) / float(1 << 52)).alias("u"),
+        ((code.cast("double") + 0.5) / float(1 << 52)).alias("u"),
     )
     rows = rows.select("doc_id", "source", "size", (-F.log("u") / F.col("weight")).alias("key"))
     rows = rows.withColumn("bucket", F.least(F.floor((1 - F.exp(-F.col("key"))) * BUCKETS).cast("int"), F.lit(BUCKETS - 1)))
-    rows = stages.keep("rows", rows)
+    rows = stages.keep("rows", rows.withColumn("row", F.monotonically_increasing_id()))
 
     sums = stages.keep("sums", rows.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size")))
     dealt = targets(sums.groupBy("source").agg(F.sum("bucket_size").alias("source_size")), weights, percent, most)
@@ -94,20 +94,20 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, percent: in
         return frame.join(place, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b"))).drop("s", "b")
 
     rows = with_bucket(rows)
-    inside = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    edge = rows.where("ends").withColumn("upto", F.col("before") + F.sum("size").over(inside)).withColumn("number", F.row_number().over(Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size")))
-    edge = stages.keep("edge", edge.withColumn("sampled", F.col("upto") <= F.col("rest")))
-    # The document of that bucket whose size is nearest to what is still missing, if it brings the source nearer.
-    gap = edge.groupBy("source").agg(F.max(F.when(F.col("sampled"), F.col("upto")).otherwise(F.col("before"))).alias("reached"))
-    near = edge.where("NOT sampled").join(gap.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
+    inside = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "row").rowsBetween(Window.unboundedPreceding, 0)
+    edge = stages.keep("edge", rows.where("ends").withColumn("upto", F.col("before") + F.sum("size").over(inside)))
+    names = ["doc_id", "size", "source_size", "target", "epochs", "source", "rest", "key", "row"]
+    drawn = rows.where("NOT ends").select(*names, (F.col("before") < F.col("rest")).alias("sampled"))
+    drawn = drawn.union(edge.select(*names, (F.col("upto") <= F.col("rest")).alias("sampled")))
+    # The document whose size is nearest to what is still missing, if it brings the source nearer.
+    gap = edge.groupBy("source").agg(F.max(F.when(F.col("upto") <= F.col("rest"), F.col("upto")).otherwise(F.col("before"))).alias("reached"))
+    gap = gap.withColumnRenamed("source", "s")
     missing = F.col("rest") - F.col("reached")
-    near = near.where(F.abs(F.col("size") - missing) < missing).groupBy("source").agg(F.min_by("number", F.struct(F.abs(F.col("size") - missing), F.col("number"))).alias("last"))
-    edge = edge.join(near.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left")
-    edge = edge.withColumn("once", F.col("sampled") | F.coalesce(F.col("number") == F.col("last"), F.lit(False)))
-    plain = rows.where("NOT ends").withColumn("once", F.col("before") < F.col("rest"))
-    names = ["doc_id", "size", "source_size", "target", "epochs", "once", "source"]
+    near = drawn.where("NOT sampled").join(gap, F.col("source").eqNullSafe(F.col("s"))).where(F.abs(F.col("size") - missing) < missing)
+    near = near.groupBy(F.col("source").alias("s")).agg(F.min(F.struct(F.abs(F.col("size") - missing).alias("off"), "key", "row"))["row"].alias("last"))
+    out = drawn.join(near, F.col("source").eqNullSafe(F.col("s")), "left")
+    out = out.withColumn("once", F.col("sampled") | F.coalesce(F.col("row") == F.col("last"), F.lit(False)))
     taken = F.least(F.col("epochs") + F.col("once").cast("long"), F.lit(most)) * F.col("size")
-    out = plain.select(*names).union(edge.select(*names))
     return out.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), "source")
 
 
