@@ -35,12 +35,12 @@ class Stages:
             path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def semi_join(docs: DataFrame, ids: DataFrame, key: str, broadcast_rows: int = 500_000) -> DataFrame:
-    """Rows of `docs` whose `key` is in `ids`. The ids are broadcast only when counted and found to be at most
-    `broadcast_rows`; otherwise both sides are shuffled."""
-    ids = ids.select(key).distinct()
-    small = len(ids.limit(broadcast_rows + 1).select(F.lit(1)).groupBy().count().where(f"count > {broadcast_rows}").head(1)) == 0
-    return docs.join(F.broadcast(ids) if small else ids, key, "left_semi")
+def checked(rows: DataFrame, most: int = 500_000) -> DataFrame:
+    """`rows` marked for broadcast when they were counted and are at most `most`; otherwise as they are, to be joined by a shuffle.
+
+    Meant for rows of a few numbers. The count stops at `most` + 1.
+    """
+    return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.llm.chunking import chunk_cuts
-from claimloom.llm.common import SPACE, Stages, blocks
+from claimloom.llm.common import SPACE, Stages, blocks, checked
 
 LEAST, BITS, MOST = 512, 10, 8192
 _CHUNK = pa.struct([("digest", pa.binary()), ("check", pa.binary()), ("bytes", pa.int64())])
@@ -98,6 +98,9 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     """
     stages = Stages(docs.sparkSession)
     found = stages.keep("found", exact_dedup(docs).select("doc_id", "keep_id", "text_sha256", "kept"))
+    if not found.groupBy("doc_id").count().where("count > 1").head(1):
+        gone = stages.keep("gone", found.where("NOT kept").select(F.col("doc_id").alias("__gone")))
+        return docs.join(checked(gone), F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
     key = F.struct(F.col("doc_id").cast("long").alias("id"), normalised_sha256(F.col("text").cast("string")).alias("sha"))
     mine = F.struct(F.col("doc_id").alias("id"), F.col("text_sha256").alias("sha"))
     same = found.where("doc_id <=> keep_id").groupBy(mine.alias("__key")).agg(F.count(F.lit(1)).alias("__rows"))

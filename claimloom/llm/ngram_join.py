@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import Stages, blocks, components, lists, mix, salted, semi_join, shingles
+from claimloom.llm.common import Stages, blocks, checked, components, lists, mix, salted, shingles
 
 GROUPS = 64
 LEAF = 128
@@ -221,7 +221,8 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, share: tuple[int, int] =
 
     nodes = shared.select("node").distinct()
     texts = sets.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    points = semi_join(docs, texts, "doc_id").mapInArrow(
+    texts = stages.keep("texts", texts.select("doc_id").distinct())
+    points = docs.join(checked(texts), "doc_id", "left_semi").mapInArrow(
         partial(_points, words=words), "node long, n long, shingles array<long>, counts array<int>"
     )
     points = points.groupBy("node").agg(*[F.any_value(c).alias(c) for c in ("n", "shingles", "counts")])
@@ -274,4 +275,5 @@ def keep_one_of_each(docs: DataFrame, words: int = 5, share: tuple[int, int] = (
     """
     joined = ngram_jaccard_join(docs, words, share)
     gone = joined.where("component_id < doc_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    gone = Stages(docs.sparkSession).keep("gone", gone)
+    return docs.join(checked(gone), F.col("doc_id") == F.col("gone_id"), "left_anti")

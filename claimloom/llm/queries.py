@@ -2,18 +2,30 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
+from claimloom.llm.embedding_join import embedding_near_dedup
 from claimloom.llm.exact_dedup import exact_dedup
 from claimloom.llm.ngram_join import ngram_jaccard_join
+from claimloom.llm.language_id import language_id
 from claimloom.llm.mixing import mix_sources
 from claimloom.llm.packing import pack
+from claimloom.llm.quality import quality
 from claimloom.llm.sharding import hilbert_shards
 from claimloom.llm.substring_dedup import repeats_by_document
+from claimloom.llm.toxicity import toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(_documents(spark, sf_dir))
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(_documents(spark, sf_dir), words=3, share=(90, 100))
 
@@ -30,10 +42,22 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats_by_document(_documents(spark, sf_dir))
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_near_dedup(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(_documents(spark, sf_dir), _labels(spark, sf_dir))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_documents(spark, sf_dir))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(_documents(spark, sf_dir), _labels(spark, sf_dir))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_documents(spark, sf_dir))
 
