@@ -298,12 +298,16 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> dict
             totals[h] += np.frombuffer(zlib.decompress(row[0]), np.int32).reshape(totals[h].shape)
         for row in half.groupBy("label").count().collect():
             sizes[h, row["label"]] = row["count"]
+    if not sizes.sum(0).all():  # labelled documents of a class that are not in docs
+        return None
     odds = log_odds(totals.sum(0), sizes.sum(0))
     crossed = [log_odds(totals[1 - h], sizes[1 - h]) for h in (0, 1)]
     shared = [spark.sparkContext.broadcast(x) for x in crossed]
     picked = pd.concat(
         half.mapInArrow(partial(_picked, odds=shared[h]), "label int, text string").toPandas().sort_values(["text", "label"]).assign(half=h) for h, half in enumerate(halves)
     )
+    if picked.empty:
+        return None
     model = train(picked["text"].tolist(), picked["label"].to_numpy(np.float32), picked["half"].to_numpy(), crossed)
     sent = spark.sparkContext.broadcast(model)
     kind = "doc_id long, label int, a double, b double, c double, d double"
