@@ -10,12 +10,14 @@ def positive(column: str) -> str:
     return f"({column} > 0 AND {column} < double('Infinity'))"
 
 
-def within(column: str, bounds: tuple[int, int]) -> str:
+def within(column: str, bounds: tuple) -> str:
     return f"({column} BETWEEN {bounds[0]} AND {bounds[1]})"
 
 
 def one_of(column: str, values: tuple[str, ...]) -> str:
-    return f"({column} IN ({', '.join(repr(value) for value in values)}))"
+    """Membership; nothing is a member of an empty set."""
+    quoted = ", ".join("'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'" for value in values)
+    return f"({column} IN ({quoted}))" if values else "false"
 
 
 def violated(rule: str) -> str:

@@ -1,21 +1,19 @@
 """Eight data-quality checks on raw claims, as rows, as a summary and as a gate.
 
-One pass folds the claims to one row per (days_supply, claim_status) and yields every count, extreme and list of
-values; a second pass reads claim_id alone for the number of distinct ids, so the shuffle by claim_id carries nothing
-but the id, and a run that has stored its de-duplicated claims counts those instead. Every check is an expression over the one row of metrics, and asking for a single check lets Spark drop
-the columns it does not need.
+One pass folds the claims to one row per (days_supply, claim_status) and yields every count and extreme; a second pass
+reads claim_id alone for the number of distinct ids, so the shuffle by claim_id carries nothing but the id, and a run
+that has stored its de-duplicated claims counts those instead. Every check is an expression over the one row of
+metrics, and asking for a single check lets Spark drop the columns it does not need. Details state facts of fixed size;
+the values found, however many, are rows of `found_values_by_check`.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.functions.columns import date_of, keep_first
+from claimloom.functions.columns import date_of
 from claimloom.functions.rules import DAYS_SUPPLY_RANGE, ROW_COUNT_RANGE, one_of, positive, violated, within
 from claimloom.schema import VALID_STATUSES
 
-# Longest value list spelled out in a detail text; `found_values` returns the complete one.
-LISTED_VALUES = 100
-
 
 class DataQualityError(ValueError):
     """Raised by the gate; names the failed checks."""
@@ -52,18 +50,9 @@ _CONTRIBUTIONS = """stack(3,
 ) AS (kind, day, status)"""
 
 
-def _listed(kind: str, value: str, text: str) -> str:
-    """SQL for the values of a kind as one text, sorted, NULL last, shortened past LISTED_VALUES."""
-    item = f"IF(kind = '{kind}', struct({value} IS NULL AS missing, {value}, nvl({text}, 'None') AS shown), NULL)"
-    items = f"array_sort(collect_list({item}))"
-    shown = f"array_join(slice({items}.shown, 1, {LISTED_VALUES}), ', ')"
-    return f"concat('[', {shown}, IF(size({items}) > {LISTED_VALUES}, ', ...', ''), ']')"
-
-
 def dq_metrics(raw: DataFrame, with_ids: bool = True, deduped: DataFrame | None = None) -> DataFrame:
     """One row with everything the checks look at.
 
-    The values found are made distinct and cut to the smallest that fit into a text before they meet in one task.
     `deduped` holds one stored row per claim_id of `raw`; its ids are then counted without shuffling them again.
     """
     bad_days = f"IF({violated(within('days_supply', DAYS_SUPPLY_RANGE))}, n, 0)"
@@ -77,14 +66,10 @@ def dq_metrics(raw: DataFrame, with_ids: bool = True, deduped: DataFrame | None
         .groupBy("kind", "day", "status")
         .agg(*_named({c: f"sum({c})" for c in sums} | {c: f"{f}({c})" for c, f in extremes.items()}))
     )
-    kept = keep_first(groups, ["kind"], ["day", "status"], LISTED_VALUES + 1)
-    metrics = kept.agg(
+    metrics = groups.agg(
         *_named({c: f"coalesce(sum({c}) FILTER (WHERE kind = 'total'), 0)" for c in sums}),
         *_named({c: f"{f}({c}) FILTER (WHERE kind = 'total')" for c, f in extremes.items()}),
-        *_named({
-            "days": _listed("day", "day", "string(day)"),
-            "statuses": _listed("status", "status", "concat(\"'\", status, \"'\")"),
-        }),
+        *_named({"days": "count(day)", "min_day": "min(day)", "max_day": "max(day)", "statuses": "count(status)"}),
     )
     if with_ids:
         ids = raw.agg(F.countDistinct("claim_id")) if deduped is None else deduped.agg(F.count("claim_id"))
@@ -100,7 +85,7 @@ def _two_decimals(value: str) -> str:
 CHECKS = {
     "row_count": (
         "Row count in valid range",
-        within("n", ROW_COUNT_RANGE),
+        within("n", ("{low}", "{high}")),
         "concat('(', format_number(n, 0), ' rows)')",
     ),
     "null_claim_id": (
@@ -126,12 +111,13 @@ CHECKS = {
     "days_supply": (
         "days_supply between 1-365",
         "bad_days = 0",
-        "concat('(values: ', days, ')')",
+        "concat('(', days, ' distinct values, min=', nvl(string(min_day), 'nan'), ', max=', nvl(string(max_day), 'nan'), "
+        "', ', bad_days, ' rows outside)')",
     ),
     "claim_status": (
         "claim_status values valid",
         "bad_statuses = 0",
-        "concat('(found: ', statuses, ')')",
+        "concat('(', statuses, ' distinct values, ', bad_statuses, ' rows unexpected)')",
     ),
     "service_date": (
         "service_date is parseable",
@@ -141,24 +127,33 @@ CHECKS = {
 }
 
 
-def dq_check(raw: DataFrame, key: str) -> DataFrame:
-    """One check as one row (check, passed, detail)."""
+RowRange = tuple[int, int]
+
+
+def _check(key: str, rows: RowRange) -> tuple[str, str, str]:
     name, passed, detail = CHECKS[key]
+    return name, passed.replace("{low}", str(int(rows[0]))).replace("{high}", str(int(rows[1]))), detail
+
+
+def dq_check(raw: DataFrame, key: str, rows: RowRange = ROW_COUNT_RANGE) -> DataFrame:
+    """One check as one row (check, passed, detail). `rows` is the accepted batch size, both ends included."""
+    name, passed, detail = _check(key, rows)
     metrics = dq_metrics(raw, with_ids=key == "duplicate_claim_id")
     return metrics.selectExpr(f"'{name}' AS check", f"{passed} AS passed", f"{detail} AS detail")
 
 
-def report_of(metrics: DataFrame) -> DataFrame:
+def report_of(metrics: DataFrame, rows: RowRange = ROW_COUNT_RANGE) -> DataFrame:
     """All eight checks as rows, from the row of metrics."""
-    rows = ", ".join(
-        f"struct('{name}' AS check, {passed} AS passed, {detail} AS detail)" for name, passed, detail in CHECKS.values()
+    checks = (_check(key, rows) for key in CHECKS)
+    structs = ", ".join(
+        f"struct('{name}' AS check, {passed} AS passed, {detail} AS detail)" for name, passed, detail in checks
     )
-    return metrics.selectExpr(f"inline(array({rows}))")
+    return metrics.selectExpr(f"inline(array({structs}))")
 
 
-def dq_report(raw: DataFrame) -> DataFrame:
+def dq_report(raw: DataFrame, rows: RowRange = ROW_COUNT_RANGE) -> DataFrame:
     """All eight checks as rows. Only reports, whatever the outcome."""
-    return report_of(dq_metrics(raw))
+    return report_of(dq_metrics(raw), rows)
 
 
 def dq_summary(report: DataFrame) -> DataFrame:
@@ -174,7 +169,7 @@ def dq_gate(report: DataFrame) -> None:
     """Stop the run when a check of the report failed (a report has eight rows)."""
     failed = [row["check"] for row in report.where(~F.col("passed")).collect()]
     if failed:
-        raise DataQualityError(f"Data quality failed - {len(failed)} check(s) failed: {failed}")
+        raise DataQualityError(f"the batch was stopped by {len(failed)} of its checks: {', '.join(failed)}")
 
 
 def unexpected_statuses(raw: DataFrame, valid: tuple[str, ...] = VALID_STATUSES) -> DataFrame:
@@ -182,9 +177,18 @@ def unexpected_statuses(raw: DataFrame, valid: tuple[str, ...] = VALID_STATUSES)
 
     The valid set is a handful of literals, so the difference is a filter below the distinct, not an anti-join.
     """
-    return raw.where(violated(one_of("claim_status", valid))).select("claim_status").distinct()
+    accepted = F.col("claim_status").isin(*valid) if valid else F.lit(False)
+    return raw.where(~F.coalesce(accepted, F.lit(False))).select("claim_status").distinct()
 
 
 def found_values(raw: DataFrame, column: str) -> DataFrame:
     """All distinct values of a column in order, NULL last."""
     return raw.select(column).distinct().orderBy(F.col(column).asc_nulls_last())
+
+
+def found_values_by_check(raw: DataFrame) -> DataFrame:
+    """Every value that the days_supply and claim_status checks met: rows (check, value, claims), NULL included."""
+    pairs = raw.groupBy("days_supply", "claim_status").agg(F.count(F.lit(1)).alias("n"))
+    days, status = CHECKS["days_supply"][0], CHECKS["claim_status"][0]
+    values = pairs.selectExpr("n", f"stack(2, '{days}', string(days_supply), '{status}', claim_status) AS (check, value)")
+    return values.groupBy("check", "value").agg(F.sum("n").alias("claims"))

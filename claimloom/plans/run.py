@@ -1,17 +1,19 @@
 """The daily run: check, clean, build the star schema, load it, audit it, answer the questions."""
 
+import re
 from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from claimloom.functions.rules import ROW_COUNT_RANGE
 from claimloom.operators.audit import audit_counts, row_count
 from claimloom.operators.clean import judged_claims
 from claimloom.operators.load import Sink, load_star, read_star
-from claimloom.operators.quality import dq_gate, dq_metrics, report_of
+from claimloom.operators.quality import dq_gate, dq_metrics, found_values_by_check, report_of
 from claimloom.operators.star import build_star
 from claimloom.plans.analytics import answer_all
-from claimloom.plans.sizing import fit_session
+from claimloom.plans.sizing import PARTITION_BYTES, fitted
 from claimloom.schema import CLEAN_CLAIMS
 from claimloom.sources.files import size_of
 
@@ -21,6 +23,7 @@ class RunResult:
     """Everything a run produced; all frames read stored files."""
 
     quality: DataFrame
+    found_values: DataFrame
     star: dict[str, DataFrame]
     rejected: DataFrame
     load_report: DataFrame
@@ -39,6 +42,9 @@ def run(
     salt: str | None = None,
     primary: Sink | None = None,
     stage_raw: bool = True,
+    input_bytes: int = 0,
+    row_count_range: tuple[int, int] = ROW_COUNT_RANGE,
+    partition_bytes: int = PARTITION_BYTES,
 ) -> RunResult:
     """Run the batch on `raw` and write everything below `out`.
 
@@ -48,6 +54,8 @@ def run(
     read that copy: they agree on the chosen rows and nothing is shuffled by claim twice.
     The checks look at the raw values; that copy only spares them a second shuffle of all ids, so it is written
     first. Nothing is built or loaded when a check failed, unless the run is not `strict`.
+    `row_count_range` is the accepted batch size, both ends included: give a larger one for larger batches.
+    `partition_bytes` is the input aimed at per shuffle partition; `input_bytes` tells the size of claims not staged.
     Give every run its own `out`, and readers see all tables change at once when they are pointed to it.
     """
     now = datetime.now()
@@ -56,31 +64,35 @@ def run(
 
     if stage_raw:
         raw = _stored(raw, f"{out}/raw_claims")
-        fit_session(spark, size_of(spark, f"{out}/raw_claims"))
-    judged = _stored(judged_claims(raw, run_ts, salt), f"{out}/judged_claims")
-
-    metrics = _stored(dq_metrics(raw, deduped=judged), f"{out}/dq_metrics")
-    quality = _stored(report_of(metrics), f"{out}/dq_report")
-    if strict:
-        dq_gate(quality)
-
-    cleaned = judged.where("reason = ''").select(*CLEAN_CLAIMS.names)
-    rejected = judged.where("reason <> ''")
-
-    report = load_star(spark, build_star(cleaned), f"{out}/warehouse", primary)
-    star = read_star(spark, f"{out}/warehouse")
-
-    counts = {"raw": metrics.select("n")}
-    for stage, stored in {"deduped": judged, "rejected": rejected, **star}.items():
-        counts[stage] = row_count(stored)
-    return RunResult(
-        quality=quality,
-        star=star,
-        rejected=rejected,
-        load_report=_stored(report, f"{out}/load_report"),
-        audit=_stored(audit_counts(counts, run_date), f"{out}/audit"),
-        answers=answer_all(star),
-    )
+        input_bytes = size_of(spark, f"{out}/raw_claims")
+    with fitted(spark, input_bytes, partition_bytes):
+        judged = _stored(judged_claims(raw, run_ts, salt), f"{out}/judged_claims")
+        metrics = _stored(dq_metrics(raw, deduped=judged), f"{out}/dq_metrics")
+        quality = _stored(report_of(metrics, row_count_range), f"{out}/dq_report")
+        found = _stored(found_values_by_check(raw), f"{out}/dq_found_values")
+        if strict:
+            dq_gate(quality)
+
+        cleaned = judged.where("reason = ''").select(*CLEAN_CLAIMS.names)
+        rejected = judged.where("reason <> ''")
+        report = load_star(spark, build_star(cleaned), f"{out}/warehouse", primary)
+        star = read_star(spark, f"{out}/warehouse")
+
+        counts = {"raw": metrics.select("n")}
+        for stage, stored in {"deduped": judged, "rejected": rejected, **star}.items():
+            counts[stage] = row_count(stored)
+        return RunResult(
+            quality=quality,
+            found_values=found,
+            star=star,
+            rejected=rejected,
+            load_report=_stored(report, f"{out}/load_report"),
+            audit=_stored(audit_counts(counts, run_date), f"{out}/audit"),
+            answers={
+                title: _stored(answer, f"{out}/answers/{re.sub('[^a-z0-9]+', '_', title.lower())}")
+                for title, answer in answer_all(star).items()
+            },
+        )
 
 
 def _stored(df: DataFrame, path: str) -> DataFrame:

@@ -1,39 +1,43 @@
-"""Shuffle and scan sizes for the amount of input at hand."""
+"""Shuffle width for the amount of input at hand."""
+
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 MIB = 1024 * 1024
 
-# Input bytes aimed at per shuffle partition, and the widest shuffle asked for: beyond it the map output index,
-# map tasks times partitions, costs the driver more than larger, spilling partitions cost the executors.
+# Input bytes aimed at per shuffle partition.
 PARTITION_BYTES = 256 * MIB
-WIDEST_SHUFFLE = 20_000
-
-# From this input size on, scan tasks read larger pieces.
-LARGE_INPUT_BYTES = 1024 * 1024 * MIB
-LARGE_SCAN_BYTES = 512 * MIB
-
 
 ADAPTIVE = "spark.sql.adaptive.enabled"
 INITIAL_WIDTH = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 FIXED_WIDTH = "spark.sql.shuffle.partitions"
-SCAN_BYTES = "spark.sql.files.maxPartitionBytes"
 
 
-def shuffle_width(input_bytes: int) -> int:
-    return min(-(-input_bytes // PARTITION_BYTES), WIDEST_SHUFFLE)
+def shuffle_width(input_bytes: int, partition_bytes: int = PARTITION_BYTES) -> int:
+    return -(-input_bytes // partition_bytes)
 
 
-def fit_session(spark: SparkSession, input_bytes: int) -> None:
-    """Widen shuffles and enlarge scan pieces for an input.
+@contextmanager
+def fitted(spark: SparkSession, input_bytes: int, partition_bytes: int = PARTITION_BYTES) -> Iterator[None]:
+    """Shuffles wide enough for an input, while the block runs; the session's settings are as before afterwards.
 
     Under adaptive execution only the starting width is set, and partitions that turn out small are merged. A wider
-    shuffle or a scan size chosen by the user is left alone.
+    shuffle chosen by the user is left alone.
     """
-    own = spark.conf.getAll
-    adaptive = spark.conf.get(ADAPTIVE) == "true"
-    width = int(own.get(INITIAL_WIDTH, 0) if adaptive else 0) or int(spark.conf.get(FIXED_WIDTH))
-    if shuffle_width(input_bytes) > width:
-        spark.conf.set(INITIAL_WIDTH if adaptive else FIXED_WIDTH, str(shuffle_width(input_bytes)))
-    if input_bytes >= LARGE_INPUT_BYTES and SCAN_BYTES not in own:
-        spark.conf.set(SCAN_BYTES, str(LARGE_SCAN_BYTES))
+    name = INITIAL_WIDTH if spark.conf.get(ADAPTIVE) == "true" else FIXED_WIDTH
+    before = spark.conf.get(name, None) if name in spark.conf.getAll else None
+    width = int(before or spark.conf.get(FIXED_WIDTH))
+    wanted = shuffle_width(input_bytes, partition_bytes)
+    if wanted <= width:
+        yield
+        return
+    spark.conf.set(name, str(wanted))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)

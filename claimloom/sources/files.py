@@ -1,6 +1,5 @@
 """Claims in CSV and Parquet files, and the shared folder that holds intermediate files."""
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -8,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from claimloom.functions.columns import date_of
 from claimloom.schema import RAW_CLAIMS
 
 # Same dialect both ways: quotes are doubled, surrounding spaces are data, an empty field is NULL.
@@ -43,15 +43,19 @@ def write_parquet(claims: DataFrame, path: str) -> None:
 
 
 def write_by_day(claims: DataFrame, root: str) -> None:
-    """One folder per service_date. The rebalance keeps a day together when it is small, so that days do not
-    scatter over tiny files, and splits it over several tasks when it is large."""
-    claims.hint("rebalance", F.col("service_date")).write.partitionBy("service_date").mode("overwrite").parquet(root)
+    """One folder `day=<date>` per parsed service date, and one for claims whose date is missing or no date, so dirty
+    texts make no folders. The rebalance keeps a day together when it is small, so that days do not scatter over tiny
+    files; adaptive execution splits a large one over several tasks."""
+    dated = claims.withColumn("day", F.expr(date_of("service_date")))
+    dated.hint("rebalance", F.col("day")).write.partitionBy("day").mode("overwrite").parquet(root)
 
 
 def read_day(spark: SparkSession, root: str, day: str) -> DataFrame:
-    """Claims of one service date; only that folder is listed and read."""
-    claims = spark.read.schema(RAW_CLAIMS).parquet(root).where(F.col("service_date") == day)
-    return claims.select(*RAW_CLAIMS.names)
+    """Claims of one service date (yyyy-MM-dd); only that folder is listed and read."""
+    folder = f"{root}/day={day}"
+    if not has_data(spark, folder):
+        return spark.createDataFrame([], RAW_CLAIMS)
+    return spark.read.schema(RAW_CLAIMS).option("basePath", root).parquet(folder).select(*RAW_CLAIMS.names)
 
 
 def _path(spark: SparkSession, text: str):
@@ -89,10 +93,7 @@ def load_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame]
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder below `spark.checkpoint.dir`, which every executor can reach."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="claimloom-")
+    """A new folder that every executor can reach, below `spark.checkpoint.dir` or, where that is unset, below the
+    warehouse. Whoever set the folder removes what is in it; nothing here is read by a later call."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/claimloom/{uuid.uuid4().hex}"

@@ -1,6 +1,6 @@
 """Run the daily batch: `spark-submit daily_run.py --raw <csv> --out <folder>`.
 
-The raw CSV is loaded when it exists; otherwise invented claims are built, stored there and used.
+The answers, reports and tables are stored below `--out`; the short ones are printed too.
 """
 
 import argparse
@@ -9,19 +9,22 @@ from datetime import datetime
 
 from pyspark.sql import SparkSession
 
+from claimloom.functions.rules import ROW_COUNT_RANGE
 from claimloom.operators.load import Sink, jdbc_sink
 from claimloom.plans.run import RunResult, run
-from claimloom.plans.sizing import fit_session
-from claimloom.sources import files, jdbc, synthetic
+from claimloom.plans.sizing import PARTITION_BYTES
+from claimloom.sources import files, jdbc
 
 WAREHOUSES = {"postgres": jdbc.postgres_options, "snowflake": jdbc.snowflake_options}
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    parser.add_argument("--raw", required=True, help="CSV with raw claims, built when absent")
+    parser.add_argument("--raw", required=True, help="CSV with raw claims")
     parser.add_argument("--out", required=True, help="folder for the tables and reports of this run")
-    parser.add_argument("--rows", type=int, default=synthetic.DEFAULT_ROWS, help="claims to invent when --raw is absent")
+    parser.add_argument("--least-rows", type=int, default=ROW_COUNT_RANGE[0], help="smallest batch accepted")
+    parser.add_argument("--most-rows", type=int, default=ROW_COUNT_RANGE[1], help="largest batch accepted")
+    parser.add_argument("--partition-bytes", type=int, default=PARTITION_BYTES, help="input per shuffle partition")
     parser.add_argument("--date", type=datetime.fromisoformat, help="run date, today by default")
     parser.add_argument("--report-only", action="store_true", help="go on when a quality check failed")
     parser.add_argument("--warehouse", choices=WAREHOUSES, help="also load the tables over JDBC")
@@ -39,21 +42,24 @@ def _primary(args: argparse.Namespace) -> Sink | None:
 def main(argv: list[str] | None = None) -> RunResult:
     args = _arguments(argv)
     spark = SparkSession.builder.appName("claims").getOrCreate()
-    raw = files.load_or_build(spark, args.raw, lambda: synthetic.synthetic_claims(spark, args.rows))
-    fit_session(spark, files.size_of(spark, args.raw))
+    if not files.has_data(spark, args.raw):
+        raise FileNotFoundError(f"no raw claims at {args.raw}")
     result = run(
         spark,
-        raw,
+        files.read_csv(spark, args.raw),
         args.out,
         run_date=args.date.date() if args.date else None,
         strict=not args.report_only,
         primary=_primary(args),
+        row_count_range=(args.least_rows, args.most_rows),
+        partition_bytes=args.partition_bytes,
     )
     for title, frame in {"Quality": result.quality, "Load": result.load_report, "Audit": result.audit, **result.answers}.items():
         print(title)
-        frame.show(100, truncate=False)
+        frame.show(frame.count(), truncate=False)
     return result
 
 
 if __name__ == "__main__":
-    main()
+    failed = main().load_report.where("NOT ok").count()
+    raise SystemExit(1 if failed else 0)

@@ -121,14 +121,16 @@ CHECKS = {
     "days_supply": """
         SELECT 'days_supply between 1-365' AS "check",
                coalesce(bool_and(coalesce(days_supply BETWEEN 1 AND 365, false)), true) AS passed,
-               '(values: [' || (SELECT string_agg(CAST(d AS VARCHAR), ', ' ORDER BY d)
-                                FROM (SELECT DISTINCT days_supply AS d FROM raw)) || '])' AS detail FROM raw""",
+               '(' || count(DISTINCT days_supply) || ' distinct values, min=' || coalesce(CAST(min(days_supply) AS VARCHAR), 'nan')
+                   || ', max=' || coalesce(CAST(max(days_supply) AS VARCHAR), 'nan') || ', '
+                   || count(*) FILTER (NOT coalesce(days_supply BETWEEN 1 AND 365, false)) || ' rows outside)' AS detail FROM raw""",
     "claim_status": """
         SELECT 'claim_status values valid' AS "check",
                coalesce(bool_and(coalesce(claim_status IN ('PAID', 'ADJUDICATED', 'REVERSED', 'PENDING'), false)), true)
                    AS passed,
-               '(found: [' || (SELECT string_agg('''' || s || '''', ', ' ORDER BY s)
-                               FROM (SELECT DISTINCT claim_status AS s FROM raw)) || '])' AS detail FROM raw""",
+               '(' || count(DISTINCT claim_status) || ' distinct values, '
+                   || count(*) FILTER (NOT coalesce(claim_status IN ('PAID', 'ADJUDICATED', 'REVERSED', 'PENDING'), false))
+                   || ' rows unexpected)' AS detail FROM raw""",
     "service_date": """
         SELECT 'service_date is parseable' AS "check",
                count(*) = count(try_strptime(service_date, '%Y-%m-%d')) AS passed,
@@ -139,43 +141,6 @@ CHECKS = {
 _REPORT = "\nUNION ALL".join(CHECKS.values())
 
 
-def _draw(start: int, digits: int, choices: int) -> str:
-    return f"(CAST('0x' || substr(digest, {start}, {digits}) AS BIGINT) % {choices})"
-
-
-def _pad(number: str, width: int) -> str:
-    text = f"CAST({number} AS VARCHAR)"
-    return f"lpad({text}, CAST(greatest(length({text}), {width}) AS INTEGER), '0')"
-
-
-# Invented claims numbered by the order keys; lists are indexed from 1.
-SYNTHETIC = f"""
-digests AS (SELECT o_orderkey AS number, sha256('42:' || CAST(o_orderkey AS VARCHAR)) AS digest FROM orders),
-drawn AS (SELECT *, {_draw(1, 6, 15)} + 1 AS drug, {_draw(53, 6, 100)} AS percent FROM digests),
-synthetic AS (
-    SELECT 'CLM' || {_pad('number', 8)} AS claim_id,
-           'MBR' || {_pad(_draw(15, 6, 15000) + ' + 1', 6)} AS member_id,
-           ['00002143301', '00069154041', '00310015130', '00456345063', '00143988401', '00074577490', '00169368712',
-            '00088221905', '00378395193', '00093221056', '00378718193', '00904584061', '00071015523', '00003089121',
-            '00054327099'][drug] AS ndc_code,
-           ['Insulin Glargine', 'Apixaban', 'Atorvastatin', 'Metformin', 'Lisinopril', 'Adalimumab', 'Semaglutide',
-            'Rivaroxaban', 'Amlodipine', 'Omeprazole', 'Metoprolol', 'Gabapentin', 'Rosuvastatin', 'Apremilast',
-            'Oxycodone'][drug] AS drug_name,
-           ['DIABETES', 'ANTICOAGULANT', 'CHOLESTEROL', 'DIABETES', 'HYPERTENSION', 'IMMUNOLOGY', 'DIABETES',
-            'ANTICOAGULANT', 'HYPERTENSION', 'GASTROINTESTINAL', 'CARDIOLOGY', 'NEUROLOGY', 'CHOLESTEROL',
-            'IMMUNOLOGY', 'PAIN'][drug] AS drug_class,
-           CAST({_draw(21, 10, 9000000000)} + 1000000000 AS VARCHAR) AS npi_number,
-           '2024-' || {_pad(_draw(7, 4, 12) + ' + 1', 2)} || '-' || {_pad(_draw(11, 4, 28) + ' + 1', 2)} AS service_date,
-           CAST({_draw(31, 8, 799001)} + 1000 AS DOUBLE) / 100 AS claim_amount,
-           CAST([30, 60, 90, 180][{_draw(39, 4, 4)} + 1] AS DOUBLE) AS quantity,
-           CAST([30, 60, 90][{_draw(43, 4, 3)} + 1] AS INTEGER) AS days_supply,
-           'PLAN_' || {_pad(_draw(47, 3, 25) + ' + 1', 3)} AS plan_id,
-           ['FL', 'TX', 'CA', 'NY', 'IL', 'PA', 'OH', 'GA', 'NC', 'MI', 'WA', 'AZ', 'MA', 'TN', 'IN', 'MO', 'MD', 'WI',
-            'CO', 'MN'][{_draw(50, 3, 20)} + 1] AS member_state,
-           CASE WHEN percent < 80 THEN 'PAID' WHEN percent < 92 THEN 'ADJUDICATED' ELSE 'REVERSED' END AS claim_status
-    FROM drawn
-)"""
-
 _RAW_COLUMNS = (
     "claim_id, member_id, ndc_code, drug_name, drug_class, npi_number, service_date, claim_amount, quantity, "
     "days_supply, plan_id, member_state, claim_status"
@@ -283,12 +248,11 @@ QUERIES: dict[str, str] = {
     ),
     "days_supply_values": _with((RAW,), "SELECT DISTINCT days_supply FROM raw ORDER BY days_supply"),
     "claim_status_values": _with((RAW,), "SELECT DISTINCT claim_status FROM raw ORDER BY claim_status"),
-    "synthetic_claims": _with((SYNTHETIC,), "SELECT * FROM synthetic"),
-    "synthetic_claims_profile": _with(
-        (SYNTHETIC,),
-        f"""
-        SELECT drug_class, claim_status, count(*) AS claims, CAST(sum(quantity) AS DOUBLE) AS total_quantity,
-               CAST(sum(days_supply) AS BIGINT) AS total_days, {_total()} AS total_amount
-        FROM synthetic GROUP BY drug_class, claim_status""",
+    "dq_found_values": _with(
+        (RAW,),
+        """
+        SELECT 'days_supply between 1-365' AS "check", CAST(days_supply AS VARCHAR) AS value, count(*) AS claims
+        FROM raw GROUP BY days_supply
+        UNION ALL SELECT 'claim_status values valid', claim_status, count(*) FROM raw GROUP BY claim_status""",
     ),
 }

@@ -13,8 +13,8 @@ from claimloom.operators.star import build_star
 from claimloom.plans import analytics, sizing
 from claimloom.plans.run import run
 from claimloom.schema import LOAD_ORDER, STAR
+from claimloom.sources import files
 from claimloom.sources.jdbc import postgres_options
-from claimloom.sources.synthetic import synthetic_claims
 
 
 def rows(df):
@@ -70,20 +70,33 @@ def test_fact_is_not_loaded_after_a_dimension_failed(spark, star, tmp_path):
     ]
 
 
-def test_whole_run(spark, tmp_path):
-    raw = synthetic_claims(spark, 3_000)
-    result = run(spark, raw, f"{tmp_path}/a", run_ts=RUN_TS)
+def good_claims(spark, claims, count):
+    """Valid claims that differ in id, provider and status."""
+    changed = {"claim_id": "concat('CLM', id)", "npi_number": "string(1000000000 + id % 40)", "claim_status": "element_at(array('PAID', 'REVERSED', 'PENDING'), int(id % 3) + 1)"}
+    return claims({}).crossJoin(spark.range(count)).selectExpr(*[f"{changed.get(c, c)} AS {c}" for c in claims({}).columns])
+
+
+def test_whole_run(spark, claims, tmp_path):
+    raw = good_claims(spark, claims, 3_000)
+    before = dict(spark.conf.getAll)
+    result = run(spark, raw, f"{tmp_path}/a", run_ts=RUN_TS, partition_bytes=1_000)
+    assert dict(spark.conf.getAll) == before
     assert all(row["passed"] for row in result.quality.collect())
-    assert [tuple(r) for r in result.audit.collect()] == [
-        (3_000, 3_000, 0, 15, result.star["dim_provider"].count(), 336, 3_000, date(2024, 5, 1))
-    ]
+    assert [tuple(r) for r in result.audit.collect()] == [(3_000, 3_000, 0, 1, 40, 1, 3_000, date(2024, 5, 1))]
     assert set(result.answers) == set(analytics.QUESTIONS)
-    assert len(result.answers["Claims by quarter"].collect()) == 4
+    assert rows(spark.read.parquet(f"{tmp_path}/a/answers/claims_by_quarter")) == rows(result.answers["Claims by quarter"])
+    assert result.found_values.count() == 4
     again = run(spark, raw.repartition(5), f"{tmp_path}/b", run_ts=RUN_TS, stage_raw=False)
     for name in LOAD_ORDER:
         assert rows(again.star[name]) == rows(result.star[name])
 
 
+def test_row_range_of_a_run(spark, claims, tmp_path):
+    run(spark, claims({}, {}), f"{tmp_path}/a", run_ts=RUN_TS, row_count_range=(1, 2))
+    with pytest.raises(DataQualityError, match="1 of its checks: quantity is positive"):
+        run(spark, claims({"quantity": 0.0}), f"{tmp_path}/b", run_ts=RUN_TS, row_count_range=(1, 2))
+
+
 def test_dirty_run(spark, claims, tmp_path):
     raw = claims({"claim_id": "A"}, {"claim_id": "A", "quantity": 60.0}, {"claim_amount": -1.0}, {"days_supply": 999}, {})
     with pytest.raises(DataQualityError):
@@ -97,45 +110,26 @@ def test_dirty_run(spark, claims, tmp_path):
         assert rows(answer) == rows(unsaved[title])
 
 
-def settings(session):
-    names = (sizing.INITIAL_WIDTH, sizing.FIXED_WIDTH, sizing.SCAN_BYTES)
-    return tuple(session.conf.getAll.get(name) for name in names)
-
-
-@pytest.fixture
-def session(spark):
-    return spark.newSession()
-
-
-TIB = 1024 * 1024 * sizing.MIB
-
-
-@pytest.mark.parametrize(
-    ("size", "width", "scan"),
-    [(1_000, None, None), (TIB // 16, "256", None), (2 * TIB, "8192", "536870912"), (100 * TIB, "20000", "536870912")],
-)
-def test_session_fits_the_input(session, size, width, scan):
-    session.conf.set(sizing.FIXED_WIDTH, "200")
-    sizing.fit_session(session, size)
-    assert settings(session) == (width, "200", scan)
-
-
-def test_session_without_adaptive_execution(session):
-    session.conf.set(sizing.ADAPTIVE, "false")
+@pytest.mark.parametrize(("adaptive", "name"), [("true", sizing.INITIAL_WIDTH), ("false", sizing.FIXED_WIDTH)])
+def test_width_fits_the_input_and_is_put_back(spark, adaptive, name):
+    session = spark.newSession()
+    session.conf.set(sizing.ADAPTIVE, adaptive)
     session.conf.set(sizing.FIXED_WIDTH, "200")
-    sizing.fit_session(session, TIB // 16)
-    assert settings(session) == (None, "256", None)
-
-
-def test_choices_of_the_user_stay(session):
-    session.conf.set(sizing.INITIAL_WIDTH, "30000")
-    session.conf.set(sizing.SCAN_BYTES, "1g")
-    sizing.fit_session(session, 100 * TIB)
-    assert settings(session)[::2] == ("30000", "1g")
-
-
-def test_daily_run_script(spark, tmp_path, capsys):
-    argv = ["--raw", f"{tmp_path}/raw", "--out", f"{tmp_path}/out", "--rows", "1500", "--date", "2024-05-01"]
+    before = dict(session.conf.getAll)
+    for size, width in ((1_000, before.get(name)), (2**36, "256"), (100 * 2**40, "409600")):
+        with sizing.fitted(session, size):
+            assert session.conf.getAll.get(name) == width
+        assert dict(session.conf.getAll) == before
+    session.conf.set(name, "500000")
+    with sizing.fitted(session, 100 * 2**40):
+        assert session.conf.get(name) == "500000"
+
+
+def test_daily_run_script(spark, claims, tmp_path, capsys):
+    argv = ["--raw", f"{tmp_path}/raw", "--out", f"{tmp_path}/out", "--date", "2024-05-01"]
+    with pytest.raises(FileNotFoundError):
+        daily_run.main(argv)
+    files.write_csv(good_claims(spark, claims, 1_500), f"{tmp_path}/raw")
     first = daily_run.main(argv)
     printed = capsys.readouterr().out
     assert all(title in printed for title in analytics.QUESTIONS)
@@ -145,10 +139,11 @@ def test_daily_run_script(spark, tmp_path, capsys):
     assert {name: rows(table.drop("etl_processed_at")) for name, table in again.star.items()} == expected
 
 
-def test_daily_run_reports_a_missing_warehouse(spark, tmp_path):
+def test_daily_run_reports_a_missing_warehouse(spark, claims, tmp_path):
+    files.write_csv(good_claims(spark, claims, 1_000), f"{tmp_path}/raw")
     config = tmp_path / "config.json"
     config.write_text('{"database": {"host": "nowhere", "port": 1, "name": "n", "user": "u", "password": "p"}}')
-    result = daily_run.main(["--raw", f"{tmp_path}/raw", "--out", f"{tmp_path}/out", "--rows", "1000",
+    result = daily_run.main(["--raw", f"{tmp_path}/raw", "--out", f"{tmp_path}/out",
                              "--warehouse", "postgres", "--config", str(config)])
     assert result.load_report.where("sink = 'primary' AND ok").count() == 0
     assert len(result.answers["Claims by status"].collect()) == 3
