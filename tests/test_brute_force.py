@@ -11,7 +11,7 @@ import pytest
 from conftest import RUN_TS, TEMPLATE
 
 from claimloom.operators.clean import clean_claims, dedup_claims, rejected_claims
-from claimloom.operators.quality import CHECKS, dq_metrics, dq_report, unexpected_statuses
+from claimloom.operators.quality import CHECKS, dq_metrics, dq_report, found_values_by_check, unexpected_statuses
 from claimloom.operators.star import build_star
 from claimloom.plans import analytics
 from claimloom.schema import COPY_ORDER, VALID_STATUSES
@@ -176,8 +176,12 @@ def test_checks(claims, batch):
     assert report["duplicate_claim_id"]["detail"] == f"({len(ids)} unique out of 400)"
     assert report["claim_amount"]["detail"] == f"(min={min(amounts):.2f}, max={max(amounts):.2f})"
     assert report["quantity"]["detail"] == "(min=0.0)"
-    assert report["days_supply"]["detail"] == "(values: [0, 1, 30, 60, 90, 365, 366, None])"
-    assert report["claim_status"]["detail"] == "(found: [' paid ', 'PAID', 'REVERSED', 'VOID', None])"
+    outside = sum(r["days_supply"] is None or not 1 <= r["days_supply"] <= 365 for r in batch)
+    assert report["days_supply"]["detail"] == f"(7 distinct values, min=0, max=366, {outside} rows outside)"
+    invalid = sum(r["claim_status"] not in VALID_STATUSES for r in batch)
+    assert report["claim_status"]["detail"] == f"(4 distinct values, {invalid} rows unexpected)"
+    values = Counter((CHECKS[k][0], None if r[k] is None else str(r[k])) for r in batch for k in ("days_supply", "claim_status"))
+    assert {(r["check"], r["value"]): r["claims"] for r in found_values_by_check(raw).collect()} == values
     assert report["service_date"]["detail"] == f"({undated} unparseable dates)"
     assert dq_metrics(raw, deduped=dedup_claims(raw)).first() == dq_metrics(raw).first()
     found = {r["claim_status"] for r in batch} - set(VALID_STATUSES)
