@@ -11,8 +11,8 @@ held by a packed tree with four levels:
 3. Leaves. The points of a cell are sorted by group, size and coordinates and packed in leaves with their box.
 4. Points.
 
-Joined are only sets that share a cell, first each with the least of its cell (linear in the cell), then, for cells
-that still hold several groups, leaf with leaf: pairs of leaves whose boxes bound the overlap too low, or which lie
+Joined are only sets that share a cell, first each with the least of one cell and then with those of its other cells from which it is
+still apart (linear in the cells), then, for cells that still hold several groups, leaf with leaf: pairs of leaves whose boxes bound the overlap too low, or which lie
 in one group, go; then pairs of points; what remains is verified on the shingles. No pair inside a group that is already
 connected is looked at, so a large group of copies costs no square. Nothing is capped.
 
@@ -236,14 +236,26 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, share: tuple[int, int] =
         both = both.select("a", "b", F.size(F.array_intersect("shingles_a", "shingles_b")).cast("long").alias("common"), "n_a", "n_b")
         return both.where(f"{den} * common >= {num} * (n_a + n_b - common)").select("a", "b")
 
-    # Each set with the least of its cell.
-    starred = shared.where("node > head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
-    bound = "aggregate(zip_with(counts_a, counts_b, (x, y) -> least(x, y)), 0L, (s, x) -> s + x)"
-    starred = starred.join(of("b", "n", "counts"), "b").join(of("a", "n", "counts"), "a")
-    starred = starred.where(f"{den + num} * {bound} >= {num} * (n_a + n_b)").select("a", "b")
-    links = stages.keep("links", verified(starred))
+    def bounded(pairs: DataFrame) -> DataFrame:
+        total = "aggregate(zip_with(counts_a, counts_b, (x, y) -> least(x, y)), 0L, (s, x) -> s + x)"
+        both = pairs.join(of("b", "n", "counts"), "b").join(of("a", "n", "counts"), "a")
+        return both.where(f"{den + num} * {total} >= {num} * (n_a + n_b)").select("a", "b")
+
+    # Each set with the least head of all its cells: one pair of each, which connects most of a group of copies.
+    nearest = shared.groupBy(F.col("node").alias("b")).agg(F.min("head").alias("a")).where("a < b")
+    links = stages.keep("links", verified(bounded(nearest)))
     groups = components(stages, links, "groups")
 
+    # Each set with the other heads of its cells, as far as they are not connected yet.
+    def comp_of(side: str) -> DataFrame:
+        return groups.select(F.col("node").alias(side), F.col("comp").alias(f"comp_{side}"))
+
+    starred = shared.where("node > head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
+    starred = starred.join(nearest, ["a", "b"], "left_anti").join(comp_of("a"), "a", "left").join(comp_of("b"), "b", "left")
+    starred = starred.where("NOT coalesce(comp_a = comp_b, false)").select("a", "b")
+    links = links.union(stages.keep("others", verified(bounded(starred))))
+    groups = components(stages, links, "starred")
+
     # Cells that still hold several groups, leaf with leaf.
     rest = shared.join(groups, "node", "left").select("cell", "node", F.coalesce("comp", "node").alias("comp"))
     several = rest.groupBy("cell").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("cell")
@@ -258,7 +270,7 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, share: tuple[int, int] =
     pairs = met.mapInArrow(partial(_leaf_pairs, share=share), "a long, b long").where("a < b").distinct()
     links = links.union(stages.keep("more", verified(pairs)))
     groups = components(stages, links, "all")
-    stages.drop("shared", "points", "leaves", "links", "more")
+    stages.drop("shared", "points", "leaves", "links", "others", "more", "texts")
 
     rooted = sets.join(groups, "node", "left").select("doc_id", "n", F.coalesce("comp", "node").alias("root"))
     least = rooted.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("component"))
