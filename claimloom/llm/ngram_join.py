@@ -126,7 +126,22 @@ def _points(batches, words: int):
         own = [value[ends[r] - size[r] : ends[r]] for r in fresh]
         counts = [np.bincount((x >> np.uint64(26)).astype(np.int64) % GROUPS, minlength=GROUPS).astype(np.int32) for x in own]
         columns = [pa.array(node[fresh]), pa.array(size[fresh].astype(np.int64)), lists(size[fresh], np.concatenate(own).view(np.int64))]
-        yield pa.RecordBatch.from_arrays([*columns, lists(np.full(len(fresh), GROUPS), np.concatenate(counts))], ["node", "n", "shingles", "counts"])
+        brief = [x.astype(np.uint8).tobytes() if x.max() < 256 else None for x in counts]
+        columns += [lists(np.full(len(fresh), GROUPS), np.concatenate(counts)), pa.array(brief, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["node", "n", "shingles", "counts", "brief"])
+
+
+def _bounded(batches, share: tuple[int, int]):
+    """Pairs (a, b, n_a, n_b, brief_a, brief_b) whose bound reaches the needed overlap; large sets without brief counts pass."""
+    num, den = share
+    for batch in batches:
+        known = np.flatnonzero(batch.column(4).is_valid().to_numpy(False) & batch.column(5).is_valid().to_numpy(False))
+        keep = np.ones(batch.num_rows, bool)
+        if len(known):
+            a, b = (np.frombuffer(b"".join(batch.column(k).take(pa.array(known)).to_pylist()), np.uint8).reshape(-1, GROUPS) for k in (4, 5))
+            sizes = batch.column(2).to_numpy()[known] + batch.column(3).to_numpy()[known]
+            keep[known] = np.minimum(a, b).sum(1, dtype=np.int64) * (den + num) >= num * sizes
+        yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(keep)) for k in (0, 1)], ["a", "b"])
 
 
 _LEAF_FIELDS = "cell long, leaf long, least_n long, comp_low long, comp_high long, nodes array<long>, comps array<long>, sizes array<long>, points binary"
@@ -216,16 +231,19 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, share: tuple[int, int] =
     # Sets that share a cell with another set.
     named = docs.where("doc_id IS NOT NULL").mapInArrow(partial(_cells, words=words, share=share), "node long, n long, cells array<long>")
     named = named.select(F.explode("cells").alias("cell"), "node", "n")
-    shared = named.selectExpr("cell", "node", "n", "min(node) OVER (PARTITION BY cell) AS head", "max(node) OVER (PARTITION BY cell) AS tail")
-    shared = stages.keep("shared", shared.where("head < tail").select("cell", "node", "head"))
+    shared = named.selectExpr("cell", "node", "n", "min(struct(node, n)) OVER (PARTITION BY cell) AS least", "max(node) OVER (PARTITION BY cell) AS tail")
+    # Two sets of very different sizes are not similar, so a head is of use only to sets of about its size.
+    fits = f"{den} * least(n, least.n) >= {num} * greatest(n, least.n)"
+    shared = shared.where("least.node < tail").selectExpr("cell", "node", "least.node AS head", f"{fits} AS fits")
+    shared = stages.keep("shared", shared)
 
     nodes = shared.select("node").distinct()
     texts = sets.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     texts = stages.keep("texts", texts.select("doc_id").distinct())
     points = docs.join(checked(texts), "doc_id", "left_semi").mapInArrow(
-        partial(_points, words=words), "node long, n long, shingles array<long>, counts array<int>"
+        partial(_points, words=words), "node long, n long, shingles array<long>, counts array<int>, brief binary"
     )
-    points = points.groupBy("node").agg(*[F.any_value(c).alias(c) for c in ("n", "shingles", "counts")])
+    points = points.groupBy("node").agg(*[F.any_value(c).alias(c) for c in ("n", "shingles", "counts", "brief")])
     points = stages.keep("points", points)
 
     def of(side: str, *names: str) -> DataFrame:
@@ -237,12 +255,12 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, share: tuple[int, int] =
         return both.where(f"{den} * common >= {num} * (n_a + n_b - common)").select("a", "b")
 
     def bounded(pairs: DataFrame) -> DataFrame:
-        total = "aggregate(zip_with(counts_a, counts_b, (x, y) -> least(x, y)), 0L, (s, x) -> s + x)"
-        both = pairs.join(of("b", "n", "counts"), "b").join(of("a", "n", "counts"), "a")
-        return both.where(f"{den + num} * {total} >= {num} * (n_a + n_b)").select("a", "b")
+        both = pairs.join(of("b", "n", "brief"), "b").join(of("a", "n", "brief"), "a")
+        both = both.select("a", "b", "n_a", "n_b", "brief_a", "brief_b")
+        return both.mapInArrow(partial(_bounded, share=share), "a long, b long")
 
     # Each set with the least head of all its cells: one pair of each, which connects most of a group of copies.
-    nearest = shared.groupBy(F.col("node").alias("b")).agg(F.min("head").alias("a")).where("a < b")
+    nearest = shared.where("fits").groupBy(F.col("node").alias("b")).agg(F.min("head").alias("a")).where("a < b")
     links = stages.keep("links", verified(bounded(nearest)))
     groups = components(stages, links, "groups")
 
@@ -250,7 +268,7 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, share: tuple[int, int] =
     def comp_of(side: str) -> DataFrame:
         return groups.select(F.col("node").alias(side), F.col("comp").alias(f"comp_{side}"))
 
-    starred = shared.where("node > head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
+    starred = shared.where("fits AND node > head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
     starred = starred.join(nearest, ["a", "b"], "left_anti").join(comp_of("a"), "a", "left").join(comp_of("b"), "b", "left")
     starred = starred.where("NOT coalesce(comp_a = comp_b, false)").select("a", "b")
     links = links.union(stages.keep("others", verified(bounded(starred))))
