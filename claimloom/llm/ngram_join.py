@@ -127,10 +127,16 @@ def _points(batches, words: int):
         counts = [np.bincount((x >> np.uint64(26)).astype(np.int64) % GROUPS, minlength=GROUPS).astype(np.int32) for x in own]
         columns = [pa.array(node[fresh]), pa.array(size[fresh].astype(np.int64)), lists(size[fresh], np.concatenate(own).view(np.int64))]
         brief = [x.astype(np.uint8).tobytes() if x.max() < 256 else None for x in counts]
-        columns += [lists(np.full(len(fresh), GROUPS), np.concatenate(counts)), pa.array(brief, pa.binary())]
+        full = [b or x.astype("<i4").tobytes() for b, x in zip(brief, counts, strict=True)]
+        columns += [pa.array(full, pa.binary()), pa.array(brief, pa.binary())]
         yield pa.RecordBatch.from_arrays(columns, ["node", "n", "shingles", "counts", "brief"])
 
 
+def _coordinates(blob: bytes, rows: int) -> np.ndarray:
+    """Counts of several sets: one byte each, or four where a set has larger ones."""
+    return np.frombuffer(blob, np.uint8 if len(blob) == GROUPS * rows else "<i4").reshape(rows, GROUPS)
+
+
 def _bounded(batches, share: tuple[int, int]):
     """Pairs (a, b, n_a, n_b, brief_a, brief_b) whose bound reaches the needed overlap; large sets without brief counts pass."""
     num, den = share
@@ -158,10 +164,12 @@ def _leaves(batches):
             for at in range(low, high, LEAF):
                 part = rows.slice(at, min(LEAF, high - at))
                 nodes, comps, sizes = (part[c].to_numpy() for c in ("node", "comp", "n"))
-                counts = part["counts"].combine_chunks().flatten().to_numpy().astype("<i4")
+                raw = part["counts"].to_pylist()
+                brief = all(len(x) == GROUPS for x in raw)
+                points = b"".join(x if brief else _coordinates(x, 1).astype("<i4").tobytes() for x in raw)
                 yield {
                     "cell": int(cell[at]), "leaf": int(nodes[0]), "least_n": int(sizes.min()), "comp_low": int(comps.min()), "comp_high": int(comps.max()),
-                    "nodes": nodes.tolist(), "comps": comps.tolist(), "sizes": sizes.tolist(), "points": counts.tobytes(),
+                    "nodes": nodes.tolist(), "comps": comps.tolist(), "sizes": sizes.tolist(), "points": points,
                 }
 
     schema = None
@@ -189,14 +197,10 @@ def _leaf_pairs(batches, share: tuple[int, int]):
     """Pairs of points of two leaves that lie in different groups and whose bound reaches the needed overlap."""
     num, den = share
 
-    def narrow(blob: bytes) -> np.ndarray:
-        x = np.frombuffer(blob, "<i4").reshape(-1, GROUPS)
-        return x.astype(np.uint8) if x.size and x.max() < 256 else x
-
     for batch in batches:
         found_a, found_b = [], []
         for row in batch.to_pylist():
-            a, b = narrow(row["points"]), narrow(row["points_b"])
+            a, b = _coordinates(row["points"], len(row["nodes"])), _coordinates(row["points_b"], len(row["nodes_b"]))
             box = int(np.minimum(a.max(0), b.max(0)).sum(dtype=np.int64))
             if box * (den + num) < num * (row["least_n"] + row["least_n_b"]):
                 continue
@@ -241,7 +245,7 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, share: tuple[int, int] =
     texts = sets.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     texts = stages.keep("texts", texts.select("doc_id").distinct())
     points = docs.join(checked(texts), "doc_id", "left_semi").mapInArrow(
-        partial(_points, words=words), "node long, n long, shingles array<long>, counts array<int>, brief binary"
+        partial(_points, words=words), "node long, n long, shingles array<long>, counts binary, brief binary"
     )
     points = points.groupBy("node").agg(*[F.any_value(c).alias(c) for c in ("n", "shingles", "counts", "brief")])
     points = stages.keep("points", points)
@@ -278,8 +282,9 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, share: tuple[int, int] =
     rest = shared.join(groups, "node", "left").select("cell", "node", F.coalesce("comp", "node").alias("comp"))
     several = rest.groupBy("cell").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("cell")
     rest = rest.join(several, "cell").join(points.select("node", "n", "counts"), "node")
-    leading = [F.col("counts")[i] for i in range(4)]
-    rest = rest.repartitionByRange("cell", "comp", "n", *leading, "node").sortWithinPartitions("cell", "comp", "n", *leading, "node")
+    # Counts sort by their bytes, so by one coordinate after the other.
+    order = ["cell", "comp", "n", "counts", "node"]
+    rest = rest.repartitionByRange(*order).sortWithinPartitions(*order)
     leaves = stages.keep("leaves", rest.select("cell", "node", "comp", "n", "counts").mapInArrow(_leaves, _LEAF_FIELDS))
     other = leaves.select(F.col("cell").alias("cell_b"), *[F.col(c).alias(f"{c}_b") for c in leaves.columns if c != "cell"])
     met = leaves.join(other, (F.col("cell") == F.col("cell_b")) & (F.col("leaf") <= F.col("leaf_b")))
