@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 1 << 20
+#: Spark's setting that removes shuffle files when the execution that wrote them ends.
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 class Stages:
@@ -24,8 +26,16 @@ class Stages:
         self.root = f"{root.rstrip('/')}/llm-stages/{uuid.uuid4().hex}"
 
     def keep(self, name: str, df: DataFrame) -> DataFrame:
-        path = f"{self.root}/{name}"
-        df.write.parquet(path)
+        """Writes the table and reads it back. Shuffle files of the write go with its end, since only the table is read later."""
+        path, before = f"{self.root}/{name}", self.spark.conf.get(RELEASE, None)
+        self.spark.conf.set(RELEASE, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            if before is None:
+                self.spark.conf.unset(RELEASE)
+            else:
+                self.spark.conf.set(RELEASE, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
