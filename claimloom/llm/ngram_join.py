@@ -9,7 +9,8 @@ held by a packed tree with four levels:
    agree in a whole slice. The content of a slice names the cell; empty slices count only for the few sets that
    fill too few slices to be sure of a common one.
 3. Leaves. The points of a cell are sorted by group, size and coordinates and packed in leaves with their box.
-4. Points.
+4. Points. 64 counts say little of a large set, whose counts are all much alike, so before a pair's shingles are fetched the same bound is
+   taken on finer points: groups in a power of two, 2 to 4 shingles to a group, halved to those of the smaller set.
 
 Joined are only sets that share a cell, first each with the least of one cell and then with those of its other cells from which it is
 still apart (linear in the cells), then, for cells that still hold several groups, leaf with leaf: pairs of leaves whose boxes bound the overlap too low, or which lie
@@ -23,10 +24,11 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import Stages, blocks, checked, components, lists, mix, salted, shingles
+from claimloom.llm.common import BLOCK_BYTES, Stages, blocks, checked, components, lists, mix, salted, shingles
 
 GROUPS = 64
 LEAF = 128
@@ -126,10 +128,28 @@ def _points(batches, words: int):
         own = [value[ends[r] - size[r] : ends[r]] for r in fresh]
         counts = [np.bincount((x >> np.uint64(26)).astype(np.int64) % GROUPS, minlength=GROUPS).astype(np.int32) for x in own]
         columns = [pa.array(node[fresh]), pa.array(size[fresh].astype(np.int64)), lists(size[fresh], np.concatenate(own).view(np.int64))]
-        brief = [x.astype(np.uint8).tobytes() if x.max() < 256 else None for x in counts]
-        full = [b or x.astype("<i4").tobytes() for b, x in zip(brief, counts, strict=True)]
-        columns += [pa.array(full, pa.binary()), pa.array(brief, pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, ["node", "n", "shingles", "counts", "brief"])
+        full = [x.astype(np.uint8 if x.max() < 256 else "<i4").tobytes() for x in counts]
+        columns += [pa.array(full, pa.binary()), pa.array([fine_counts(x) for x in own], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["node", "n", "shingles", "counts", "fine"])
+
+
+def fine_counts(value: np.ndarray) -> bytes | None:
+    """Counts of a set in a power of two of groups, one byte each; None where one does not fit."""
+    bits = max(4, (len(value) // 4).bit_length())
+    counts = np.bincount((value >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else None
+
+
+def overlap_bounds(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """Sum of coordinate minima of each two fine points; both lists hold points of one length each."""
+
+    def matrix(points: pa.Array) -> np.ndarray:
+        return np.frombuffer(b"".join(points.to_pylist()), np.uint8).reshape(len(points), -1)
+
+    x, y = matrix(a), matrix(b)
+    width = min(x.shape[1], y.shape[1])
+    x, y = (p if p.shape[1] == width else p.reshape(len(p), width, -1).sum(2, dtype=np.uint16) for p in (x, y))
+    return np.minimum(x, y).sum(1, dtype=np.int64)
 
 
 def _coordinates(blob: bytes, rows: int) -> np.ndarray:
@@ -138,15 +158,20 @@ def _coordinates(blob: bytes, rows: int) -> np.ndarray:
 
 
 def _bounded(batches, share: tuple[int, int]):
-    """Pairs (a, b, n_a, n_b, brief_a, brief_b) whose bound reaches the needed overlap; large sets without brief counts pass."""
+    """Pairs (a, b, n_a, n_b, fine_a, fine_b) whose bound reaches the needed overlap; those without fine counts pass."""
     num, den = share
     for batch in batches:
-        known = np.flatnonzero(batch.column(4).is_valid().to_numpy(False) & batch.column(5).is_valid().to_numpy(False))
         keep = np.ones(batch.num_rows, bool)
-        if len(known):
-            a, b = (np.frombuffer(b"".join(batch.column(k).take(pa.array(known)).to_pylist()), np.uint8).reshape(-1, GROUPS) for k in (4, 5))
-            sizes = batch.column(2).to_numpy()[known] + batch.column(3).to_numpy()[known]
-            keep[known] = np.minimum(a, b).sum(1, dtype=np.int64) * (den + num) >= num * sizes
+        lengths = [pc.fill_null(pc.binary_length(batch.column(k)), 0).to_numpy(False).astype(np.int64) for k in (4, 5)]
+        known = np.flatnonzero((lengths[0] > 0) & (lengths[1] > 0))
+        kind = (lengths[0] << 32) + lengths[1]
+        for one in np.unique(kind[known]):
+            rows = known[kind[known] == one]
+            step = max(1, BLOCK_BYTES // int(max(one >> 32, one & 0xFFFFFFFF)))
+            for part in (rows[at : at + step] for at in range(0, len(rows), step)):
+                sizes = batch.column(2).to_numpy()[part] + batch.column(3).to_numpy()[part]
+                bound = overlap_bounds(*(batch.column(k).take(pa.array(part)) for k in (4, 5)))
+                keep[part] = bound * (den + num) >= num * sizes
         yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(keep)) for k in (0, 1)], ["a", "b"])
 
 
@@ -245,9 +270,9 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, share: tuple[int, int] =
     texts = sets.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     texts = stages.keep("texts", texts.select("doc_id").distinct())
     points = docs.join(checked(texts), "doc_id", "left_semi").mapInArrow(
-        partial(_points, words=words), "node long, n long, shingles array<long>, counts binary, brief binary"
+        partial(_points, words=words), "node long, n long, shingles array<long>, counts binary, fine binary"
     )
-    points = points.groupBy("node").agg(*[F.any_value(c).alias(c) for c in ("n", "shingles", "counts", "brief")])
+    points = points.groupBy("node").agg(*[F.any_value(c).alias(c) for c in ("n", "shingles", "counts", "fine")])
     points = stages.keep("points", points)
 
     def of(side: str, *names: str) -> DataFrame:
@@ -259,8 +284,8 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, share: tuple[int, int] =
         return both.where(f"{den} * common >= {num} * (n_a + n_b - common)").select("a", "b")
 
     def bounded(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(of("b", "n", "brief"), "b").join(of("a", "n", "brief"), "a")
-        both = both.select("a", "b", "n_a", "n_b", "brief_a", "brief_b")
+        both = pairs.join(of("b", "n", "fine"), "b").join(of("a", "n", "fine"), "a")
+        both = both.select("a", "b", "n_a", "n_b", "fine_a", "fine_b")
         return both.mapInArrow(partial(_bounded, share=share), "a long, b long")
 
     # Each set with the least head of all its cells: one pair of each, which connects most of a group of copies.
@@ -291,7 +316,7 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, share: tuple[int, int] =
     met = met.where("NOT (comp_low = comp_high AND comp_low_b = comp_high_b AND comp_low = comp_low_b)")
     met = met.select("least_n", "least_n_b", *[f"{c}{s}" for c in ("nodes", "comps", "sizes", "points") for s in ("", "_b")])
     pairs = met.mapInArrow(partial(_leaf_pairs, share=share), "a long, b long").where("a < b").distinct()
-    links = links.union(stages.keep("more", verified(pairs)))
+    links = links.union(stages.keep("more", verified(bounded(pairs))))
     groups = components(stages, links, "all")
     stages.drop("shared", "points", "leaves", "links", "others", "more", "texts")
 

@@ -5,13 +5,14 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from claimloom.llm import ngram_join
 from claimloom.llm.chunking import WINDOW, chunk_cuts, gear_hashes
 from claimloom.llm.embedding_join import embedding_near_dedup
 from claimloom.llm.exact_dedup import drop_copies, exact_dedup
-from claimloom.llm.ngram_join import keep_one_of_each, ngram_jaccard_join
+from claimloom.llm.ngram_join import fine_counts, keep_one_of_each, ngram_jaccard_join, overlap_bounds
 from claimloom.llm.substring_dedup import cut_passages, repeats_by_document
 
 SPACES = re.compile("[\x20\x09-\x0d]+")
@@ -149,3 +150,15 @@ def test_embedding_join(spark):
     assert got[480].component_id == got[0].component_id
     assert len(got) == len(rows)
     assert embedding_near_dedup(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_finer_points_bound_the_overlap_from_above():
+    rng = np.random.default_rng(5)
+    for n, m, common in [(1, 1, 1), (40, 45, 38), (700, 900, 0), (2000, 4100, 1500), (5000, 5000, 4999)]:
+        values = rng.permutation(np.unique(rng.integers(0, 1 << 63, n + m, dtype=np.uint64) * np.uint64(2)))[: n + m - common]
+        a, b = values[:n], values[n - common : n - common + m]
+        bound = overlap_bounds(pa.array([fine_counts(a)]), pa.array([fine_counts(b)]))[0]
+        assert common <= bound <= min(n, m)
+        if n > 500 and common == 0:
+            assert bound < 0.889 * n
+    assert fine_counts(np.arange(5000, dtype=np.uint64)) is None  # one group holds all: no byte holds the count
