@@ -149,6 +149,21 @@ _RAW_COLUMNS = (
 # A day with claims in the tables; see read_day in the registered query.
 SCANNED_DAY = "1996-03-13"
 
+# Asked as it stands here of the loaded tables, too.
+WAREHOUSE_QUESTION = """
+    SELECT drug_class, claim_status, count(*) AS claims
+    FROM fact_claims JOIN dim_drug USING (drug_key) GROUP BY drug_class, claim_status"""
+
+_AUDIT = _with(
+    (*_STAR,),
+    """
+    SELECT (SELECT count(*) FROM raw) AS raw_rows, (SELECT count(*) FROM deduped) AS deduped_rows,
+           (SELECT count(*) FROM deduped) - (SELECT count(*) FROM cleaned) AS rejected_rows,
+           (SELECT count(*) FROM dim_drug) AS dim_drug_rows, (SELECT count(*) FROM dim_provider) AS dim_provider_rows,
+           (SELECT count(*) FROM dim_date) AS dim_date_rows, (SELECT count(*) FROM fact_claims) AS fact_claims_rows,
+           DATE '2024-01-01' AS run_date""",
+)
+
 QUERIES: dict[str, str] = {
     "claims_dedup": _with((RAW, DEDUPED), "SELECT * FROM deduped"),
     "claims_clean": _with(_CLEAN, "SELECT * FROM cleaned"),
@@ -237,15 +252,9 @@ QUERIES: dict[str, str] = {
               UNION ALL SELECT 'fact_claims', count(*) FROM fact_claims)
         CROSS JOIN (VALUES ('backup'), ('primary')) AS sinks(sink)""",
     ),
-    "audit_counts": _with(
-        (*_STAR,),
-        """
-        SELECT (SELECT count(*) FROM raw) AS raw_rows, (SELECT count(*) FROM deduped) AS deduped_rows,
-               (SELECT count(*) FROM deduped) - (SELECT count(*) FROM cleaned) AS rejected_rows,
-               (SELECT count(*) FROM dim_drug) AS dim_drug_rows, (SELECT count(*) FROM dim_provider) AS dim_provider_rows,
-               (SELECT count(*) FROM dim_date) AS dim_date_rows, (SELECT count(*) FROM fact_claims) AS fact_claims_rows,
-               DATE '2024-01-01' AS run_date""",
-    ),
+    "audit_counts": _AUDIT,
+    "daily_run": _AUDIT,
+    "warehouse_sql": _with(_STAR, WAREHOUSE_QUESTION),
     "days_supply_values": _with((RAW,), "SELECT DISTINCT days_supply FROM raw ORDER BY days_supply"),
     "claim_status_values": _with((RAW,), "SELECT DISTINCT claim_status FROM raw ORDER BY claim_status"),
     "dq_found_values": _with(
