@@ -260,10 +260,12 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, share: tuple[int, int] =
     # Sets that share a cell with another set.
     named = docs.where("doc_id IS NOT NULL").mapInArrow(partial(_cells, words=words, share=share), "node long, n long, cells array<long>")
     named = named.select(F.explode("cells").alias("cell"), "node", "n")
-    shared = named.selectExpr("cell", "node", "n", "min(struct(node, n)) OVER (PARTITION BY cell) AS least", "max(node) OVER (PARTITION BY cell) AS tail")
+    # Folded map-side and joined back, as a window would hold all sets of a hot cell in one task; the join can be split there.
+    heads = named.groupBy("cell").agg(F.min(F.struct("node", "n")).alias("least"), F.max("node").alias("tail"))
+    heads = stages.keep("heads", heads.where("least.node < tail").selectExpr("cell", "least.node AS head", "least.n AS head_n"))
     # Two sets of very different sizes are not similar, so a head is of use only to sets of about its size.
-    fits = f"{den} * least(n, least.n) >= {num} * greatest(n, least.n)"
-    shared = shared.where("least.node < tail").selectExpr("cell", "node", "least.node AS head", f"{fits} AS fits")
+    fits = f"{den} * least(n, head_n) >= {num} * greatest(n, head_n)"
+    shared = named.join(heads, "cell").selectExpr("cell", "node", "head", f"{fits} AS fits")
     shared = stages.keep("shared", shared)
 
     nodes = shared.select("node").distinct()
@@ -318,7 +320,7 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, share: tuple[int, int] =
     pairs = met.mapInArrow(partial(_leaf_pairs, share=share), "a long, b long").where("a < b").distinct()
     links = links.union(stages.keep("more", verified(bounded(pairs))))
     groups = components(stages, links, "all")
-    stages.drop("shared", "points", "leaves", "links", "others", "more", "texts")
+    stages.drop("heads", "shared", "points", "leaves", "links", "others", "more", "texts")
 
     rooted = sets.join(groups, "node", "left").select("doc_id", "n", F.coalesce("comp", "node").alias("root"))
     least = rooted.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("component"))
