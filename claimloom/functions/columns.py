@@ -27,8 +27,11 @@ def zero_padded(number: str, width: int) -> str:
 
 
 def exact(name: str) -> Column:
-    """Amount as a decimal, so that a sum does not depend on the order of the rows."""
-    return F.col(name).cast("decimal(38,6)")
+    """Accepted amount (see AMOUNT_RANGE) as a decimal, so that a sum does not depend on the order of the rows.
+
+    Spark widens sums by ten digits, which leaves room for 10^12 rows of the largest amount.
+    """
+    return F.col(name).cast("decimal(20,6)")
 
 
 def money(total: Column) -> Column:

@@ -3,6 +3,8 @@
 # Accepted range of days_supply and of the batch size.
 DAYS_SUPPLY_RANGE = (1, 365)
 ROW_COUNT_RANGE = (1_000, 10_000_000)
+# Accepted amounts: below a cent or above this, exact sums could lose digits or overflow.
+AMOUNT_RANGE = (0.01, 1e12)
 
 
 def positive(column: str) -> str:
@@ -11,6 +13,7 @@ def positive(column: str) -> str:
 
 
 def within(column: str, bounds: tuple) -> str:
+    """Both ends included. NaN, which sorts above infinity, is outside."""
     return f"({column} BETWEEN {bounds[0]} AND {bounds[1]})"
 
 
@@ -27,7 +30,7 @@ def violated(rule: str) -> str:
 
 # Rules a de-duplicated claim must pass, by the name given as reject reason.
 ACCEPTANCE = {
-    "claim_amount": positive("claim_amount"),
+    "claim_amount": within("claim_amount", AMOUNT_RANGE),
     "quantity": positive("quantity"),
     "days_supply": within("days_supply", DAYS_SUPPLY_RANGE),
 }

@@ -8,6 +8,8 @@ from claimloom.schema import LOAD_ORDER, LOAD_REPORT, STAR
 
 # Writes one table, replacing what is there.
 Sink = Callable[[DataFrame, str], None]
+# Counts the rows of one table where a sink put it.
+Rows = Callable[[str], int]
 
 
 def parquet_sink(root: str) -> Sink:
@@ -26,6 +28,20 @@ def jdbc_sink(options: dict[str, str]) -> Sink:
     return write
 
 
+def parquet_rows(spark: SparkSession, root: str) -> Rows:
+    return lambda name: spark.read.schema(STAR[name]).parquet(f"{root}/{name}").count()
+
+
+def jdbc_rows(spark: SparkSession, options: dict[str, str]) -> Rows:
+    """Counted in the database, through a query of one row."""
+
+    def rows(name: str) -> int:
+        query = f"SELECT count(*) AS n FROM {name}"
+        return int(spark.read.format("jdbc").options(**options).option("query", query).load().first()[0])
+
+    return rows
+
+
 def read_star(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The stored tables, with declared schemas."""
     return {name: spark.read.schema(STAR[name]).parquet(f"{root}/{name}") for name in LOAD_ORDER}
@@ -37,12 +53,15 @@ def register_views(star: dict[str, DataFrame]) -> None:
         table.createOrReplaceTempView(name)
 
 
-def load_star(spark: SparkSession, tables: dict[str, DataFrame], root: str, primary: Sink | None = None) -> DataFrame:
+def load_star(
+    spark: SparkSession, tables: dict[str, DataFrame], root: str, primary: Sink | None = None, primary_rows: Rows | None = None
+) -> DataFrame:
     """Store the tables under `root`, copy them to `primary`, and return one status row per table and sink.
 
     The Parquet copy comes first and feeds the primary sink, so no table is computed twice. It must succeed; a
     failure of the primary sink is reported instead of raised, and stops that sink so that the fact never lands
-    without its dimensions. Dimensions are loaded before the fact.
+    without its dimensions. Dimensions are loaded before the fact. `primary_rows` counts in the primary sink; a count
+    other than that of the copy is a failure, and without it the rows are unknown (NULL).
     """
     keep = parquet_sink(root)
     for name in LOAD_ORDER:
@@ -53,11 +72,14 @@ def load_star(spark: SparkSession, tables: dict[str, DataFrame], root: str, prim
 
     error = None
     for name in LOAD_ORDER if primary else ():
+        found = 0
         if error is None:
             try:
                 primary(stored[name], name)
+                found = primary_rows(name) if primary_rows else None
+                if found not in (None, rows[name]):
+                    error = f"{name}: {found} of {rows[name]} rows arrived"
             except Exception as failure:  # noqa: BLE001 - any sink failure is a status, not a crash
                 error = f"{name}: {failure}"
-        loaded = error is None
-        status.append((name, "primary", rows[name] if loaded else 0, loaded, error))
+        status.append((name, "primary", found, error is None, error))
     return spark.createDataFrame(status, LOAD_REPORT)

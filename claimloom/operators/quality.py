@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.functions.columns import date_of
-from claimloom.functions.rules import DAYS_SUPPLY_RANGE, ROW_COUNT_RANGE, one_of, positive, violated, within
+from claimloom.functions.rules import AMOUNT_RANGE, DAYS_SUPPLY_RANGE, ROW_COUNT_RANGE, one_of, positive, violated, within
 from claimloom.schema import VALID_STATUSES
 
 
@@ -32,7 +32,7 @@ def _profile(raw: DataFrame) -> DataFrame:
     measures = {
         "n": "count(1)",
         "null_ids": "count_if(claim_id IS NULL)",
-        "bad_amounts": f"count_if({violated(positive('claim_amount'))})",
+        "bad_amounts": f"count_if({violated(within('claim_amount', AMOUNT_RANGE))})",
         "min_amount": f"min({without_nan('claim_amount')})",
         "max_amount": f"max({without_nan('claim_amount')})",
         "bad_quantities": f"count_if({violated(positive('quantity'))})",
@@ -165,9 +165,11 @@ def dq_summary(report: DataFrame) -> DataFrame:
     )
 
 
-def dq_gate(report: DataFrame) -> None:
-    """Stop the run when a check of the report failed (a report has eight rows)."""
+def dq_gate(report: DataFrame, corrupt: DataFrame | None = None) -> None:
+    """Stop the run when a check of the report failed (a report has eight rows) or a record is corrupt."""
     failed = [row["check"] for row in report.where(~F.col("passed")).collect()]
+    if corrupt is not None and corrupt.head(1):
+        failed.append("Records have all fields")
     if failed:
         raise DataQualityError(f"the batch was stopped by {len(failed)} of its checks: {', '.join(failed)}")
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from claimloom.functions.rules import ROW_COUNT_RANGE
 from claimloom.operators.audit import audit_counts, row_count
 from claimloom.operators.clean import judged_claims
-from claimloom.operators.load import Sink, load_star, read_star
+from claimloom.operators.load import Rows, Sink, load_star, read_star
 from claimloom.operators.quality import dq_gate, dq_metrics, found_values_by_check, report_of
 from claimloom.operators.star import build_star
 from claimloom.plans.analytics import answer_all
@@ -41,6 +41,8 @@ def run(
     strict: bool = True,
     salt: str | None = None,
     primary: Sink | None = None,
+    primary_rows: Rows | None = None,
+    corrupt: DataFrame | None = None,
     stage_raw: bool = True,
     input_bytes: int = 0,
     row_count_range: tuple[int, int] = ROW_COUNT_RANGE,
@@ -54,6 +56,8 @@ def run(
     read that copy: they agree on the chosen rows and nothing is shuffled by claim twice.
     The checks look at the raw values; that copy only spares them a second shuffle of all ids, so it is written
     first. Nothing is built or loaded when a check failed, unless the run is not `strict`.
+    `corrupt` are records of the source that could not be read as claims: they are stored and counted in the audit, and
+    one of them stops a strict run.
     `row_count_range` is the accepted batch size, both ends included: give a larger one for larger batches.
     `partition_bytes` is the input aimed at per shuffle partition; `input_bytes` tells the size of claims not staged.
     Give every run its own `out`, and readers see all tables change at once when they are pointed to it.
@@ -70,15 +74,19 @@ def run(
         metrics = _stored(dq_metrics(raw, deduped=judged), f"{out}/dq_metrics")
         quality = _stored(report_of(metrics, row_count_range), f"{out}/dq_report")
         found = _stored(found_values_by_check(raw), f"{out}/dq_found_values")
+        if corrupt is not None:
+            corrupt = _stored(corrupt, f"{out}/corrupt_records")
         if strict:
-            dq_gate(quality)
+            dq_gate(quality, corrupt)
 
         cleaned = judged.where("reason = ''").select(*CLEAN_CLAIMS.names)
         rejected = judged.where("reason <> ''")
-        report = load_star(spark, build_star(cleaned), f"{out}/warehouse", primary)
+        report = load_star(spark, build_star(cleaned), f"{out}/warehouse", primary, primary_rows)
         star = read_star(spark, f"{out}/warehouse")
 
         counts = {"raw": metrics.select("n")}
+        if corrupt is not None:
+            counts["corrupt"] = row_count(corrupt)
         for stage, stored in {"deduped": judged, "rejected": rejected, **star}.items():
             counts[stage] = row_count(stored)
         return RunResult(

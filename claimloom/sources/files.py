@@ -3,34 +3,68 @@
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimloom.functions.columns import date_of
 from claimloom.schema import RAW_CLAIMS
 
-# Same dialect both ways: quotes are doubled, surrounding spaces are data, an empty field is NULL.
+# Same dialect both ways: quotes are doubled, surrounding spaces are data, an empty field is NULL, and `""` is the empty text.
 CSV_DIALECT = {
     "header": True,
     "escape": '"',
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
 }
-_CSV_TYPES = {T.IntegerType(): T.DoubleType()}
+CORRUPT = "corrupt_record"
+# Stands for empty fields inside the reader, where the default would take quoted empty texts for NULL too.
+NO_TEXT = "\x00NULL"
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Raw claims from CSV; a malformed number becomes NULL and is caught by the checks.
+def _records(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+    """All fields as text, and the whole record where it has too few or too many fields."""
+    written = T.StructType([T.StructField(name, T.StringType()) for name in [*RAW_CLAIMS.names, CORRUPT]])
+    options = {**CSV_DIALECT, "mode": "PERMISSIVE", "multiLine": multi_line, "columnNameOfCorruptRecord": CORRUPT, "nullValue": NO_TEXT}
+    # All columns are parsed whatever is selected, as fields can only be counted then.
+    return spark.read.schema(written).options(**options, columnPruning=False).csv(path)
 
-    Whole numbers may be written with decimals (`30.0`), as exports of columns with gaps do.
+
+def _is_corrupt(null: str) -> str:
+    """Condition on the record; the second half is always true, as Spark refuses queries on that column alone."""
+    return f"{CORRUPT} IS {null} AND length(concat_ws('', claim_id)) >= 0"
+
+
+def _typed(field: T.StructField) -> Column:
+    value = F.col(field.name)
+    if field.dataType == T.IntegerType():
+        number = value.try_cast("double")
+        return F.when(number == F.floor(number), number.try_cast("int")).alias(field.name)
+    return value.try_cast(field.dataType).alias(field.name)
+
+
+def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Raw claims from the records with the right number of fields; `corrupt_records` has the others.
+
+    A malformed number becomes NULL and is caught by the checks. Whole numbers may be written with decimals (`30.0`),
+    as exports of columns with gaps do; a fraction of a day is malformed. `multi_line` accepts line breaks inside
+    quotes; a file is then one task, so large inputs should come as many files. Without it files are split, and
+    records with line breaks are corrupt.
     """
-    written = T.StructType([T.StructField(f.name, _CSV_TYPES.get(f.dataType, f.dataType)) for f in RAW_CLAIMS])
-    claims = spark.read.schema(written).options(**CSV_DIALECT, mode="PERMISSIVE").csv(path)
-    return claims.select(*[F.col(f.name).try_cast(f.dataType) for f in RAW_CLAIMS]).toDF(*RAW_CLAIMS.names)
+    return _records(spark, path, multi_line).where(_is_corrupt("NULL")).select(*[_typed(f) for f in RAW_CLAIMS])
+
+
+def corrupt_records(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Text of the records that `read_csv` leaves out."""
+    return _records(spark, path, multi_line).where(_is_corrupt("NOT NULL")).select(CORRUPT)
 
 
-def write_csv(claims: DataFrame, path: str) -> None:
+def write_csv(claims: DataFrame, path: str, multi_line: bool = True) -> None:
+    """Writes what `read_csv` reads back with the same `multi_line`; without it, a text with a line break is an error."""
+    if not multi_line:
+        texts = [f.name for f in claims.schema if f.dataType == T.StringType()]
+        broken = {name: F.raise_error(F.lit(f"line break in {name}")).cast("string") for name in texts}
+        claims = claims.withColumns({n: F.when(F.col(n).rlike("[\\r\\n]"), e).otherwise(F.col(n)) for n, e in broken.items()})
     claims.write.options(**CSV_DIALECT).mode("overwrite").csv(path)
 
 

@@ -10,7 +10,7 @@ from datetime import datetime
 from pyspark.sql import SparkSession
 
 from claimloom.functions.rules import ROW_COUNT_RANGE
-from claimloom.operators.load import Sink, jdbc_sink
+from claimloom.operators.load import jdbc_rows, jdbc_sink
 from claimloom.plans.run import RunResult, run
 from claimloom.plans.sizing import PARTITION_BYTES
 from claimloom.sources import files, jdbc
@@ -28,15 +28,20 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--date", type=datetime.fromisoformat, help="run date, today by default")
     parser.add_argument("--report-only", action="store_true", help="go on when a quality check failed")
     parser.add_argument("--warehouse", choices=WAREHOUSES, help="also load the tables over JDBC")
+    parser.add_argument("--connections", type=int, help="open connections while loading")
+    parser.add_argument("--batch-rows", type=int, help="rows per insert")
+    parser.add_argument("--single-line", action="store_true", help="split CSV files; line breaks inside fields are corrupt then")
     parser.add_argument("--config", help="JSON file with the `database` or `snowflake` section")
     return parser.parse_args(argv)
 
 
-def _primary(args: argparse.Namespace) -> Sink | None:
+def _connection(args: argparse.Namespace) -> dict[str, str] | None:
     if args.warehouse is None:
         return None
     with open(args.config, encoding="utf-8") as file:
-        return jdbc_sink(WAREHOUSES[args.warehouse](json.load(file)))
+        options = WAREHOUSES[args.warehouse](json.load(file))
+    given = {"numPartitions": args.connections, "batchsize": args.batch_rows}
+    return options | {name: str(value) for name, value in given.items() if value}
 
 
 def main(argv: list[str] | None = None) -> RunResult:
@@ -44,13 +49,16 @@ def main(argv: list[str] | None = None) -> RunResult:
     spark = SparkSession.builder.appName("claims").getOrCreate()
     if not files.has_data(spark, args.raw):
         raise FileNotFoundError(f"no raw claims at {args.raw}")
+    connection = _connection(args)
     result = run(
         spark,
-        files.read_csv(spark, args.raw),
+        files.read_csv(spark, args.raw, not args.single_line),
         args.out,
         run_date=args.date.date() if args.date else None,
         strict=not args.report_only,
-        primary=_primary(args),
+        primary=jdbc_sink(connection) if connection else None,
+        primary_rows=jdbc_rows(spark, connection) if connection else None,
+        corrupt=files.corrupt_records(spark, args.raw, not args.single_line),
         row_count_range=(args.least_rows, args.most_rows),
         partition_bytes=args.partition_bytes,
     )

@@ -70,6 +70,14 @@ def test_source_tables_are_pruned_and_lines_never_broadcast(spark):
     assert "l_shipdate" not in text and "p_name" not in text
 
 
+@pytest.mark.parametrize("name", ["top_drug_classes", "top_drugs", "top_states", "claims_by_quarter", "audit_counts", "dq_report"])
+def test_registered_queries_read_lines_once(spark, name):
+    import __spark_entry__
+
+    text = plan(__spark_entry__.queries()[name](spark, "/root/testdata/sf0.001"))
+    assert "lineitem" not in text and not re.search(r"Exchange hashpartitioning\(claim_id#.*Partial", text)
+
+
 def test_branches_share_the_shuffle_by_claim(spark):
     star = build_star(clean_claims(claims_from_tables(spark, "/root/testdata/sf0.001"), RUN_TS))
     answer = analytics.top_states(star)

@@ -27,7 +27,8 @@ def star(claims):
 
 
 def test_load_to_both_sinks(spark, star, tmp_path):
-    report = load.load_star(spark, star, f"{tmp_path}/copy", load.parquet_sink(f"{tmp_path}/primary"))
+    report = load.load_star(spark, star, f"{tmp_path}/copy", load.parquet_sink(f"{tmp_path}/primary"),
+                            load.parquet_rows(spark, f"{tmp_path}/primary"))
     counts = dict(zip(LOAD_ORDER, (2, 1, 1, 3)))
     assert [tuple(r) for r in report.collect()] == [
         (name, sink, counts[name], True, None) for sink in ("backup", "primary") for name in LOAD_ORDER
@@ -147,3 +148,36 @@ def test_daily_run_reports_a_missing_warehouse(spark, claims, tmp_path):
                              "--warehouse", "postgres", "--config", str(config)])
     assert result.load_report.where("sink = 'primary' AND ok").count() == 0
     assert len(result.answers["Claims by status"].collect()) == 3
+
+
+def test_rows_of_the_primary_are_counted_there(spark, claims, tmp_path):
+    star = build_star(clean_claims(claims({}, {}), RUN_TS))
+
+    def half(table, name):
+        (table.limit(1) if name == "fact_claims" else table).write.parquet(f"{tmp_path}/half/{name}")
+
+    report = load.load_star(spark, star, f"{tmp_path}/copy", half, load.parquet_rows(spark, f"{tmp_path}/half"))
+    last = report.where("sink = 'primary' AND table = 'fact_claims'").first()
+    assert (last["rows"], last["ok"], last["error"]) == (1, False, "fact_claims: 1 of 2 rows arrived")
+    unknown = load.load_star(spark, star, f"{tmp_path}/copy", load.parquet_sink(f"{tmp_path}/other"))
+    assert unknown.where("sink = 'primary' AND ok AND rows IS NULL").count() == 4
+
+
+def test_corrupt_records_stop_a_strict_run_and_are_stored(spark, claims, tmp_path):
+    corrupt = spark.createDataFrame([("a,b",)], "corrupt_record string")
+    with pytest.raises(DataQualityError, match="Records have all fields"):
+        run(spark, claims({}), f"{tmp_path}/strict", run_ts=RUN_TS, corrupt=corrupt, row_count_range=(1, 10))
+    result = run(spark, claims({}), f"{tmp_path}/report", run_ts=RUN_TS, corrupt=corrupt, strict=False)
+    assert result.audit.first()["corrupt_rows"] == 1
+    assert spark.read.parquet(f"{tmp_path}/report/corrupt_records").count() == 1
+
+
+def test_amounts_that_would_overflow_are_rejected_and_counted(spark, claims, tmp_path):
+    raw = claims(*[{"claim_amount": x} for x in (1e33, *[1e31] * 20, 0.001, 1e12, 1e12, 0.01)])
+    result = run(spark, raw, str(tmp_path), run_ts=RUN_TS, strict=False)
+    assert {r["reason"] for r in result.rejected.collect()} == {"claim_amount"}
+    audit = result.audit.first()
+    assert (audit["rejected_rows"], audit["fact_claims_rows"]) == (22, 3)
+    assert result.quality.where("check = 'claim_amount is positive' AND NOT passed").count() == 1
+    star = analytics.pipeline_summary(result.star).first()
+    assert (star["total_claims"], star["total_amount"]) == (3, 2e12 + 0.01)

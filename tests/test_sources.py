@@ -39,6 +39,33 @@ def test_malformed_csv_numbers_become_null(spark, claims, tmp_path):
     assert (back["C"]["claim_amount"], back["C"]["quantity"], back["C"]["days_supply"]) == (5.0, 60.0, 90)
 
 
+BROKEN = {"drug_name": 'two "quoted"\nlines, and\r\nmore', "drug_class": "", "plan_id": None}
+
+
+def test_line_breaks_quotes_separators_and_empty_texts_come_back(spark, claims, tmp_path):
+    raw, path = claims(BROKEN, {}, {"member_state": 'a "b", c'}), str(tmp_path / "csv")
+    files.write_csv(raw, path)
+    assert rows(files.read_csv(spark, path)) == rows(raw)
+    assert files.corrupt_records(spark, path).count() == 0
+    with pytest.raises(Exception, match="line break in drug_name"):
+        files.write_csv(raw, str(tmp_path / "flat"), multi_line=False)
+    flat = raw.where("plan_id IS NOT NULL")
+    files.write_csv(flat, str(tmp_path / "split"), multi_line=False)
+    assert rows(files.read_csv(spark, str(tmp_path / "split"), multi_line=False)) == rows(flat)
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_records_with_other_numbers_of_fields_are_corrupt(spark, tmp_path, multi_line):
+    path = tmp_path / "some.csv"
+    good = "A,M,007,d,c,1,2024-01-01,5,30,30.7,P,FL,PAID"
+    path.write_text("\n".join([",".join(RAW_CLAIMS.names), good, good + ",x,y", "A,M,007,d,c", ""]))
+    read = files.read_csv(spark, str(path), multi_line)
+    assert [(r["claim_id"], r["days_supply"]) for r in read.collect()] == [("A", None)]
+    assert read.select("claim_id").count() == 1
+    found = {r[0].strip() for r in files.corrupt_records(spark, str(path), multi_line).collect()}
+    assert found == {good + ",x,y", "A,M,007,d,c"}
+
+
 def test_load_or_build(spark, claims, tmp_path):
     path, built = str(tmp_path / "claims"), []
 
