@@ -9,6 +9,7 @@ from claimloom.llm.language_id import language_id
 from claimloom.llm.mixing import mix_sources
 from claimloom.llm.packing import pack
 from claimloom.llm.quality import quality
+from claimloom.llm.quality_rules import quality_rules, rules_sql
 from claimloom.llm.sharding import hilbert_shards
 from claimloom.llm.substring_dedup import repeats_by_document
 from claimloom.llm.toxicity import toxicity
@@ -62,6 +63,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_documents(spark, sf_dir))
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(_documents(spark, sf_dir))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
@@ -73,4 +78,5 @@ ORACLE_SQL = {
                doc_id = min(doc_id) OVER same AS kept, sha256(body) AS text_sha256
         FROM plain WINDOW same AS (PARTITION BY body)
     """,
+    "op13_quality_rules": rules_sql(),
 }
