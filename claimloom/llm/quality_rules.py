@@ -73,8 +73,9 @@ def code_points(text: bytes) -> int:
     return len(text.translate(None, _NO_POINTS))
 
 
-def pieces(text: bytes, most: int = PIECE):
-    """Parts of about `most` bytes that end between words; a longer word is one part."""
+def pieces(text: bytes, most: int = 0):
+    """Parts of about `most` bytes (`PIECE` by default) that end between words; a longer word is one part."""
+    most = most or PIECE
     at = 0
     while len(text) - at > most:
         end = at + most

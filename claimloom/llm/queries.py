@@ -6,6 +6,7 @@ from claimloom.llm.embedding_join import embedding_near_dedup
 from claimloom.llm.exact_dedup import exact_dedup
 from claimloom.llm.ngram_join import ngram_jaccard_join
 from claimloom.llm.language_id import language_id
+from claimloom.llm.lexical_search import SEARCH_SQL, lexical_search
 from claimloom.llm.merkle import MANIFEST_SQL, verified_manifest
 from claimloom.llm.mixing import mix_sources
 from claimloom.llm.packing import pack
@@ -64,6 +65,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_documents(spark, sf_dir))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), k=10)
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verified_manifest(_documents(spark, sf_dir))
 
@@ -83,6 +88,7 @@ ORACLE_SQL = {
                doc_id = min(doc_id) OVER same AS kept, sha256(body) AS text_sha256
         FROM plain WINDOW same AS (PARTITION BY body)
     """,
+    "op11_lexical_search": SEARCH_SQL,
     "op12_merkle_manifest": MANIFEST_SQL,
     "op13_quality_rules": rules_sql(),
 }
