@@ -7,9 +7,10 @@ term's occurrences tf and falls with the document's length:
 
 1. Sketches. A document's terms are hashed to coordinates, and each coordinate holds the largest impact of its terms. As an impact
    grows with tf, and nothing else in it differs within a document, the largest tf is stored: the sketch needs neither N nor
-   L and serves all queries. Its width is a power of two, `LOAD` times the distinct terms or more, so long documents are no denser.
-2. Bounds. A batch of items is looked up in all sketches at once: impacts of the coordinates times weights of the items' terms there, one
-   matrix product for a block of sketches. A term's own coordinate holds at least its impact, so no score exceeds its bound.
+   L and serves all queries. Its width is a power of two, `LOAD` times the distinct terms or more, so long documents are no denser; only
+   coordinates that are not zero are stored. Denser sketches bound too loosely: with 4 in place of 1024 most pairs had to be scored.
+2. Bounds. A batch of items is looked up in all sketches at once: impacts of the coordinates times weights of the items' terms there,
+   summed by document for a block of sketches. A term's own coordinate holds at least its impact, so no score exceeds its bound.
 3. Rescoring by descending bound: the `first` documents of highest bound of each item are scored from their texts. The k-th best score
    is the threshold, and then every document whose bound reaches it is scored; no other can be among the k best. That round is
    never cut.
@@ -34,11 +35,11 @@ from claimloom.llm.common import Stages, lists
 from claimloom.llm.quality_rules import pieces
 
 #: Coordinates for each distinct term, at least.
-LOAD = 4
+LOAD = 1024
 #: Pairs of item and term in a batch, about; a batch has at most so many distinct terms.
 BATCH = 8192
 #: Documents scored in the first round for each item.
-FIRST = 32
+FIRST = 16
 #: Candidate documents that are broadcast; more are joined by a shuffle.
 MOST_SENT = 20_000
 #: Numbers in a block of bounds.
@@ -60,15 +61,17 @@ def _texts(batch: pa.RecordBatch, at: int):
     return ((x.as_py() or "").encode() for x in batch.column(at))
 
 
-def sketch(tf: dict[bytes, int]) -> tuple[int, bytes]:
-    """Width, and the largest tf at each coordinate: one byte each, or four where one does not fit."""
-    width = 1 << max(6, (LOAD * len(tf) - 1).bit_length())
-    held = np.zeros(width, np.int64)
-    np.maximum.at(held, coordinates(tf, width), np.fromiter(tf.values(), np.int64, len(tf)))
-    return width, held.astype(np.uint8 if held.max() < 256 else "<u4").tobytes()
+def sketch(tf: dict[bytes, int]) -> tuple[int, bytes, bytes]:
+    """Width, the coordinates that are not zero, and the largest tf at each: one byte each, or four where one does not fit."""
+    width = 1 << (LOAD * len(tf) - 1).bit_length()
+    at, place = np.unique(coordinates(tf, width), return_inverse=True)
+    held = np.zeros(len(at), np.int64)
+    np.maximum.at(held, place, np.fromiter(tf.values(), np.int64, len(tf)))
+    return width, at.astype("<u4").tobytes(), held.astype(np.uint8 if held.max() < 256 else "<u4").tobytes()
 
 
 def coordinates(terms, width: int) -> np.ndarray:
+    """Hashed coordinates; a width beyond the 2 ** 32 values of the hash is no wider."""
     return np.fromiter(map(crc32, terms), np.int64, len(terms)) & (width - 1)
 
 
@@ -80,13 +83,13 @@ def _sketches(batches):
             with_terms = np.flatnonzero([bool(tf) for tf in tfs])
             made = [sketch(tfs[i]) for i in with_terms]
             columns = [part.column(0).take(pa.array(with_terms)), pa.array([tfs[i].total() for i in with_terms], pa.int64())]
-            columns += [pa.array([w for w, _ in made], pa.int64()), pa.array([s for _, s in made], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "width", "sketch"])
+            columns += [pa.array([x[k] for x in made], kind) for k, kind in enumerate((pa.int64(), pa.binary(), pa.binary()))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "width", "coordinates", "largest"])
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, width, sketch) of each row of (doc_id, text) with a term; n is the number of terms with their repeats."""
-    return docs.mapInArrow(_sketches, "doc_id long, n long, width long, sketch binary")
+    """(doc_id, n, width, coordinates, largest) of each row of (doc_id, text) with a term; n is the number of terms with their repeats."""
+    return docs.mapInArrow(_sketches, "doc_id long, n long, width long, coordinates binary, largest binary")
 
 
 def _item_terms(batches):
@@ -132,25 +135,43 @@ class Batch:
         return at, held
 
 
+def _numbers(column: pa.Array, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).astype(np.int64)
+
+
 def bounds(batch: pa.RecordBatch, items: Batch, made: dict):
-    """Blocks of (row numbers, bounds of these rows for each item) of (doc_id, n, width, sketch)."""
+    """Blocks of (row numbers, bounds of these rows for each item) of sketches; rows whose bounds are all 0 may be left out."""
     width = batch.column(2).to_numpy()
-    length = pc.binary_length(batch.column(3)).to_numpy()
+    held = pc.binary_length(batch.column(3)).to_numpy().astype(np.int64) // 4
+    wide = pc.binary_length(batch.column(4)).to_numpy() // held
     m = items.lengths(batch.column(1).to_pylist())
-    for w in np.unique(width):
+    for kind in np.unique(width * 8 + wide):
+        w = int(kind) >> 3
         if w not in made:
             if len(made) >= 4:
                 made.clear()
-            made[w] = items.weights(int(w))
+            made[w] = items.weights(w)
         at, weight = made[w]
-        for one in np.unique(length[width == w]):
-            rows = np.flatnonzero((width == w) & (length == one))
-            step = max(1, BLOCK // max(1, len(at), weight.shape[1]))
-            for part in (rows[i : i + step] for i in range(0, len(rows), step)):
-                blob = b"".join(batch.column(3).take(pa.array(part)).to_pylist())
-                tf = np.frombuffer(blob, np.uint8 if one == w else "<u4").reshape(len(part), -1)[:, at].astype(np.int64)
-                impact = 1_000_000_000 * tf // (1000 * tf + 8 * m[part][:, None])
-                yield part, impact.astype(np.float64) @ weight  # whole numbers far below 2 ** 53: exact
+        if not len(at):
+            continue
+        rows = np.flatnonzero(width * 8 + wide == kind)
+        own = batch.take(pa.array(rows))
+        place = _numbers(own.column(3), "<u4")
+        found = np.minimum(np.searchsorted(at, place), len(at) - 1)
+        met = np.flatnonzero(at[found] == place)  # coordinates that an item looks up
+        row = np.repeat(np.arange(len(rows)), held[rows])[met]
+        tf = _numbers(own.column(4), "u1" if kind & 7 == 1 else "<u4")[met]
+        impact = (1_000_000_000 * tf // (1000 * tf + 8 * m[rows][row])).astype(np.float64)
+        starts = np.flatnonzero(np.diff(row, prepend=-1))
+        step = max(1, BLOCK // weight.shape[1])
+        low = 0
+        while low < len(starts):  # whole rows, about `step` coordinates at once
+            high = max(low + 1, int(np.searchsorted(starts, starts[low] + step)))
+            ends = starts[high] if high < len(starts) else len(row)
+            part = slice(starts[low], ends)
+            values = impact[part, None] * weight[found[met[part]]]  # whole numbers far below 2 ** 53: exact
+            yield rows[row[starts[low:high]]], np.add.reduceat(values, starts[low:high] - starts[low], axis=0)
+            low = high
 
 
 def _highest(batches, items: Batch, first: int):

@@ -76,8 +76,10 @@ def test_ties_of_many_copies_go_by_doc_id(spark, frame):
     assert [r.doc_id for r in sorted(got, key=lambda r: r.rank)] == list(range(1, 11)) and len({r.score for r in got}) == 1
 
 
-@pytest.mark.parametrize("vocabulary", [30, 3000])
-def test_bounds_are_no_less_than_scores(vocabulary):
+@pytest.mark.parametrize(("vocabulary", "load"), [(30, 1), (3000, 1), (3000, 1024)])
+def test_bounds_are_no_less_than_scores(vocabulary, load, monkeypatch):
+    monkeypatch.setattr(search, "LOAD", load)
+    monkeypatch.setattr(search, "BLOCK", 2000)
     rng = np.random.default_rng(vocabulary)
     words = [f"w{i}".encode() for i in range(vocabulary)]
     texts = [b" ".join(words[j] for j in rng.integers(0, vocabulary, rng.integers(1, 900))) for _ in range(60)] + [b"w1 " * 400]
@@ -85,15 +87,17 @@ def test_bounds_are_no_less_than_scores(vocabulary):
     df = Counter(t for tf in tfs for t in tf)
     items = Batch([list(rng.choice(vocabulary, 20, replace=False)) for _ in range(9)], words, {i: df[w] for i, w in enumerate(words)}, len(texts), sum(tf.total() for tf in tfs))
     made = [sketch(tf) for tf in tfs]
-    batch = pa.RecordBatch.from_arrays([pa.array(range(61)), pa.array([tf.total() for tf in tfs]), pa.array([w for w, _ in made]), pa.array([s for _, s in made], pa.binary())], ["doc_id", "n", "width", "sketch"])
-    seen = set()
+    batch = pa.RecordBatch.from_arrays([pa.array(range(61)), pa.array([tf.total() for tf in tfs]), *[pa.array([x[k] for x in made]) for k in range(3)]], ["doc_id", "n", "width", "coordinates", "largest"])
+    seen, tight = set(), 0
     for rows, bound in bounds(batch, items, {}):
         for row, values in zip(rows, bound, strict=True):
             m = int(items.lengths([tfs[row].total()])[0])
             scores = np.array([items.score(q, tfs[row], m) for q in range(9)])
             assert (values >= scores).all() and (values < 2**53).all()
             seen.add(int(row))
-    assert seen == set(range(61))
+            tight += (values == scores).all()
+    assert all(items.score(q, tfs[i], 10) == 0 for i in set(range(61)) - seen for q in range(9))
+    assert len(seen) > 40 and (load == 1 or tight > 40)
 
 
 def test_long_texts_are_read_in_pieces(monkeypatch):
