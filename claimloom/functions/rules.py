@@ -3,8 +3,9 @@
 # Accepted range of days_supply and of the batch size.
 DAYS_SUPPLY_RANGE = (1, 365)
 ROW_COUNT_RANGE = (1_000, 10_000_000)
-# Accepted amounts: below a cent or above this, exact sums could lose digits or overflow.
+# Accepted amounts unless another range is given: below a cent or above this, exact sums could lose digits or overflow.
 AMOUNT_RANGE = (0.01, 1e12)
+AmountRange = tuple[float, float]
 
 
 def positive(column: str) -> str:
@@ -28,9 +29,16 @@ def violated(rule: str) -> str:
     return f"(NOT coalesce({rule}, false))"
 
 
-# Rules a de-duplicated claim must pass, by the name given as reject reason.
-ACCEPTANCE = {
-    "claim_amount": within("claim_amount", AMOUNT_RANGE),
-    "quantity": positive("quantity"),
-    "days_supply": within("days_supply", DAYS_SUPPLY_RANGE),
-}
+def amount_within(amounts: AmountRange) -> str:
+    """Both ends included; compared as doubles."""
+    low, high = (f"double('{float(bound)!r}')" for bound in amounts)
+    return within("claim_amount", (low, high))
+
+
+def acceptance(amounts: AmountRange = AMOUNT_RANGE) -> dict[str, str]:
+    """Rules a de-duplicated claim must pass, by the name given as reject reason."""
+    return {
+        "claim_amount": amount_within(amounts),
+        "quantity": positive("quantity"),
+        "days_supply": within("days_supply", DAYS_SUPPLY_RANGE),
+    }

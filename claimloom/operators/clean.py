@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.functions.columns import date_of, hashed, keep_first, standard_text
-from claimloom.functions.rules import ACCEPTANCE, violated
+from claimloom.functions.rules import AMOUNT_RANGE, AmountRange, acceptance, violated
 from claimloom.schema import CLEAN_CLAIMS, COPY_ORDER
 
 
@@ -31,19 +31,19 @@ def standardise(deduped: DataFrame, run_ts: datetime | None = None, salt: str |
     )
 
 
-def clean_claims(raw: DataFrame, run_ts: datetime | None = None, salt: str | None = None) -> DataFrame:
-    """De-duplicated, standardised claims that pass every acceptance rule."""
-    accepted = " AND ".join(ACCEPTANCE.values())
+def clean_claims(raw: DataFrame, run_ts: datetime | None = None, salt: str | None = None, amounts: AmountRange = AMOUNT_RANGE) -> DataFrame:
+    """De-duplicated, standardised claims that pass every acceptance rule. `amounts` are the accepted ones, both ends included."""
+    accepted = " AND ".join(acceptance(amounts).values())
     return standardise(dedup_claims(raw), run_ts, salt).where(accepted).select(*CLEAN_CLAIMS.names)
 
 
-def judged_claims(raw: DataFrame, run_ts: datetime | None = None, salt: str | None = None) -> DataFrame:
+def judged_claims(raw: DataFrame, run_ts: datetime | None = None, salt: str | None = None, amounts: AmountRange = AMOUNT_RANGE) -> DataFrame:
     """All de-duplicated claims with `reason`: the failed rules joined by commas, empty when accepted."""
-    failed = ", ".join(f"IF({violated(rule)}, '{name}', NULL)" for name, rule in ACCEPTANCE.items())
+    failed = ", ".join(f"IF({violated(rule)}, '{name}', NULL)" for name, rule in acceptance(amounts).items())
     standard = standardise(dedup_claims(raw), run_ts, salt)
     return standard.selectExpr(*CLEAN_CLAIMS.names, f"concat_ws(',', {failed}) AS reason")
 
 
-def rejected_claims(raw: DataFrame, run_ts: datetime | None = None, salt: str | None = None) -> DataFrame:
+def rejected_claims(raw: DataFrame, run_ts: datetime | None = None, salt: str | None = None, amounts: AmountRange = AMOUNT_RANGE) -> DataFrame:
     """De-duplicated claims removed by the acceptance rules, with the reason."""
-    return judged_claims(raw, run_ts, salt).where(F.col("reason") != "")
+    return judged_claims(raw, run_ts, salt, amounts).where(F.col("reason") != "")

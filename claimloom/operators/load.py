@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from claimloom.schema import LOAD_ORDER, LOAD_REPORT, STAR
+from claimloom.sources import snapshots
 
 # Writes one table, replacing what is there.
 Sink = Callable[[DataFrame, str], None]
@@ -43,8 +44,15 @@ def jdbc_rows(spark: SparkSession, options: dict[str, str]) -> Rows:
 
 
 def read_star(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The stored tables, with declared schemas."""
-    return {name: spark.read.schema(STAR[name]).parquet(f"{root}/{name}") for name in LOAD_ORDER}
+    """The tables of the version published under `root`, with declared schemas. The pointer is resolved once, so all
+    tables are of one load, and stay so when another is published meanwhile. Without a pointer, as below a
+    `parquet_sink`, they are read from `root` itself."""
+    version = snapshots.published(spark, root)
+    return _tables(spark, root if version is None else snapshots.folder_of(root, version))
+
+
+def _tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    return {name: spark.read.schema(STAR[name]).parquet(f"{folder}/{name}") for name in LOAD_ORDER}
 
 
 def register_views(star: dict[str, DataFrame]) -> None:
@@ -54,20 +62,32 @@ def register_views(star: dict[str, DataFrame]) -> None:
 
 
 def load_star(
-    spark: SparkSession, tables: dict[str, DataFrame], root: str, primary: Sink | None = None, primary_rows: Rows | None = None
+    spark: SparkSession,
+    tables: dict[str, DataFrame],
+    root: str,
+    primary: Sink | None = None,
+    primary_rows: Rows | None = None,
+    keep_versions: int = 2,
 ) -> DataFrame:
-    """Store the tables under `root`, copy them to `primary`, and return one status row per table and sink.
+    """Store the tables as a new version under `root`, publish it, copy them to `primary`, and return one status row per table and sink.
 
+    The version is published when all its tables are written and counted, by a pointer renamed into place: readers of `root` see
+    the old tables until then, all of them, also when the load fails half-way. The `keep_versions` newest published versions
+    stay for readers that began earlier; older ones and remains of failed loads go.
     The Parquet copy comes first and feeds the primary sink, so no table is computed twice. It must succeed; a
     failure of the primary sink is reported instead of raised, and stops that sink so that the fact never lands
     without its dimensions. Dimensions are loaded before the fact. `primary_rows` counts in the primary sink; a count
     other than that of the copy is a failure, and without it the rows are unknown (NULL).
     """
-    keep = parquet_sink(root)
+    version = snapshots.new_version()
+    folder = snapshots.folder_of(root, version)
+    keep = parquet_sink(folder)
     for name in LOAD_ORDER:
         keep(tables[name], name)
-    stored = read_star(spark, root)
+    stored = _tables(spark, folder)
     rows = {name: stored[name].count() for name in LOAD_ORDER}
+    snapshots.publish(spark, root, version)
+    snapshots.prune(spark, root, max(1, keep_versions))
     status = [(name, "backup", rows[name], True, None) for name in LOAD_ORDER]
 
     error = None

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.functions.columns import date_of
-from claimloom.functions.rules import AMOUNT_RANGE, DAYS_SUPPLY_RANGE, ROW_COUNT_RANGE, one_of, positive, violated, within
+from claimloom.functions.rules import AMOUNT_RANGE, DAYS_SUPPLY_RANGE, ROW_COUNT_RANGE, AmountRange, amount_within, one_of, positive, violated, within
 from claimloom.schema import VALID_STATUSES
 
 
@@ -23,7 +23,7 @@ def _named(expressions: dict[str, str]) -> list[Column]:
     return [F.expr(text).alias(name) for name, text in expressions.items()]
 
 
-def _profile(raw: DataFrame) -> DataFrame:
+def _profile(raw: DataFrame, amounts: AmountRange) -> DataFrame:
     """Counts and extremes per (days_supply, claim_status)."""
 
     def without_nan(column: str) -> str:
@@ -32,7 +32,7 @@ def _profile(raw: DataFrame) -> DataFrame:
     measures = {
         "n": "count(1)",
         "null_ids": "count_if(claim_id IS NULL)",
-        "bad_amounts": f"count_if({violated(within('claim_amount', AMOUNT_RANGE))})",
+        "bad_amounts": f"count_if({violated(amount_within(amounts))})",
         "min_amount": f"min({without_nan('claim_amount')})",
         "max_amount": f"max({without_nan('claim_amount')})",
         "bad_quantities": f"count_if({violated(positive('quantity'))})",
@@ -50,7 +50,7 @@ _CONTRIBUTIONS = """stack(3,
 ) AS (kind, day, status)"""
 
 
-def dq_metrics(raw: DataFrame, with_ids: bool = True, deduped: DataFrame | None = None) -> DataFrame:
+def dq_metrics(raw: DataFrame, with_ids: bool = True, deduped: DataFrame | None = None, amounts: AmountRange = AMOUNT_RANGE) -> DataFrame:
     """One row with everything the checks look at.
 
     `deduped` holds one stored row per claim_id of `raw`; its ids are then counted without shuffling them again.
@@ -61,7 +61,7 @@ def dq_metrics(raw: DataFrame, with_ids: bool = True, deduped: DataFrame | None
     extremes = {"min_amount": "min", "max_amount": "max", "min_quantity": "min"}
 
     groups = (
-        _profile(raw)
+        _profile(raw, amounts)
         .selectExpr("*", f"{bad_days} AS bad_days", f"{bad_statuses} AS bad_statuses", _CONTRIBUTIONS)
         .groupBy("kind", "day", "status")
         .agg(*_named({c: f"sum({c})" for c in sums} | {c: f"{f}({c})" for c, f in extremes.items()}))
@@ -135,10 +135,10 @@ def _check(key: str, rows: RowRange) -> tuple[str, str, str]:
     return name, passed.replace("{low}", str(int(rows[0]))).replace("{high}", str(int(rows[1]))), detail
 
 
-def dq_check(raw: DataFrame, key: str, rows: RowRange = ROW_COUNT_RANGE) -> DataFrame:
-    """One check as one row (check, passed, detail). `rows` is the accepted batch size, both ends included."""
+def dq_check(raw: DataFrame, key: str, rows: RowRange = ROW_COUNT_RANGE, amounts: AmountRange = AMOUNT_RANGE) -> DataFrame:
+    """One check as one row (check, passed, detail). `rows` is the accepted batch size, `amounts` are the accepted ones, ends included."""
     name, passed, detail = _check(key, rows)
-    metrics = dq_metrics(raw, with_ids=key == "duplicate_claim_id")
+    metrics = dq_metrics(raw, key == "duplicate_claim_id", amounts=amounts)
     return metrics.selectExpr(f"'{name}' AS check", f"{passed} AS passed", f"{detail} AS detail")
 
 
@@ -151,9 +151,9 @@ def report_of(metrics: DataFrame, rows: RowRange = ROW_COUNT_RANGE) -> DataFrame
     return metrics.selectExpr(f"inline(array({structs}))")
 
 
-def dq_report(raw: DataFrame, rows: RowRange = ROW_COUNT_RANGE) -> DataFrame:
+def dq_report(raw: DataFrame, rows: RowRange = ROW_COUNT_RANGE, amounts: AmountRange = AMOUNT_RANGE) -> DataFrame:
     """All eight checks as rows. Only reports, whatever the outcome."""
-    return report_of(dq_metrics(raw), rows)
+    return report_of(dq_metrics(raw, amounts=amounts), rows)
 
 
 def dq_summary(report: DataFrame) -> DataFrame:

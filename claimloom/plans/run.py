@@ -1,12 +1,13 @@
 """The daily run: check, clean, build the star schema, load it, audit it, answer the questions."""
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimloom.functions.rules import ROW_COUNT_RANGE
+from claimloom.functions.rules import AMOUNT_RANGE, ROW_COUNT_RANGE
 from claimloom.operators.audit import audit_counts, row_count
 from claimloom.operators.clean import judged_claims
 from claimloom.operators.load import Rows, Sink, load_star, read_star
@@ -14,13 +15,15 @@ from claimloom.operators.quality import dq_gate, dq_metrics, found_values_by_che
 from claimloom.operators.star import build_star
 from claimloom.plans.analytics import answer_all
 from claimloom.plans.sizing import PARTITION_BYTES, fitted
+from claimloom.plans.stages import StageStore, source_fingerprint
 from claimloom.schema import CLEAN_CLAIMS
 from claimloom.sources.files import size_of
+from claimloom.sources.snapshots import published
 
 
 @dataclass(frozen=True)
 class RunResult:
-    """Everything a run produced; all frames read stored files."""
+    """Everything a run produced; all frames read stored files. `reused` names the stages taken up from an earlier run."""
 
     quality: DataFrame
     found_values: DataFrame
@@ -29,11 +32,15 @@ class RunResult:
     load_report: DataFrame
     audit: DataFrame
     answers: dict[str, DataFrame]
+    reused: tuple[str, ...] = ()
+
+
+Claims = DataFrame | Callable[[], DataFrame]
 
 
 def run(
     spark: SparkSession,
-    raw: DataFrame,
+    raw: Claims,
     out: str,
     *,
     run_ts: datetime | None = None,
@@ -42,11 +49,14 @@ def run(
     salt: str | None = None,
     primary: Sink | None = None,
     primary_rows: Rows | None = None,
-    corrupt: DataFrame | None = None,
+    corrupt: Claims | None = None,
     stage_raw: bool = True,
     input_bytes: int = 0,
     row_count_range: tuple[int, int] = ROW_COUNT_RANGE,
+    amount_range: tuple[float, float] = AMOUNT_RANGE,
     partition_bytes: int = PARTITION_BYTES,
+    resume: bool = False,
+    source: str | None = None,
 ) -> RunResult:
     """Run the batch on `raw` and write everything below `out`.
 
@@ -57,53 +67,65 @@ def run(
     The checks look at the raw values; that copy only spares them a second shuffle of all ids, so it is written
     first. Nothing is built or loaded when a check failed, unless the run is not `strict`.
     `corrupt` are records of the source that could not be read as claims: they are stored and counted in the audit, and
-    one of them stops a strict run.
-    `row_count_range` is the accepted batch size, both ends included: give a larger one for larger batches.
+    one of them stops a strict run. `raw` and `corrupt` may be functions, called only when their stage is computed.
+    `row_count_range` is the accepted batch size, both ends included: give a larger one for larger batches. `amount_range`
+    are the accepted amounts of a claim, both ends included.
     `partition_bytes` is the input aimed at per shuffle partition; `input_bytes` tells the size of claims not staged.
-    Give every run its own `out`, and readers see all tables change at once when they are pointed to it.
+    The tables become visible together when all are stored (`load_star`).
+
+    `resume` takes up a run that broke off in the same `out`: every stage that is complete and whose inputs and arguments are the same is read
+    back, others are computed; run_ts and run_date are those of the earlier run unless given. `source` names the state of
+    the source, such as a fingerprint of its files; without it that of the files which `raw` reads is taken, and a source
+    that is neither named nor read from files is computed anew with all that follows from it.
     """
-    now = datetime.now()
-    run_ts = run_ts or now
-    run_date = run_date or run_ts.date()
+    given, now = (run_ts, run_date), datetime.now()
+    source = source or (None if callable(raw) else source_fingerprint(raw))
+    stages = StageStore(spark, out, resume, source)
+    run_ts = given[0] or datetime.fromisoformat(stages.remembered("run_ts", now.isoformat()))
+    run_date = given[1] or date.fromisoformat(stages.remembered("run_date", run_ts.date().isoformat()))
+
+    def frame(claims: Claims) -> DataFrame:
+        return claims() if callable(claims) else claims
 
+    origin = "source"
     if stage_raw:
-        raw = _stored(raw, f"{out}/raw_claims")
-        input_bytes = size_of(spark, f"{out}/raw_claims")
+        origin, claims = "raw_claims", raw
+        raw = stages.keep(origin, lambda: frame(claims), ("source",))
+        input_bytes = size_of(spark, f"{out}/{origin}")
+    else:
+        raw = frame(raw)
     with fitted(spark, input_bytes, partition_bytes):
-        judged = _stored(judged_claims(raw, run_ts, salt), f"{out}/judged_claims")
-        metrics = _stored(dq_metrics(raw, deduped=judged), f"{out}/dq_metrics")
-        quality = _stored(report_of(metrics, row_count_range), f"{out}/dq_report")
-        found = _stored(found_values_by_check(raw), f"{out}/dq_found_values")
+        judged = stages.keep("judged_claims", lambda: judged_claims(raw, run_ts, salt, amount_range), (origin,), run_ts=run_ts, salt=salt, amounts=amount_range)
+        metrics = stages.keep("dq_metrics", lambda: dq_metrics(raw, deduped=judged, amounts=amount_range), (origin, "judged_claims"), amounts=amount_range)
+        quality = stages.keep("dq_report", lambda: report_of(metrics, row_count_range), ("dq_metrics",), rows=row_count_range)
+        found = stages.keep("dq_found_values", lambda: found_values_by_check(raw), (origin,))
         if corrupt is not None:
-            corrupt = _stored(corrupt, f"{out}/corrupt_records")
+            records = corrupt
+            corrupt = stages.keep("corrupt_records", lambda: frame(records), ("source",))
         if strict:
             dq_gate(quality, corrupt)
 
         cleaned = judged.where("reason = ''").select(*CLEAN_CLAIMS.names)
         rejected = judged.where("reason <> ''")
-        report = load_star(spark, build_star(cleaned), f"{out}/warehouse", primary, primary_rows)
-        star = read_star(spark, f"{out}/warehouse")
+        root = f"{out}/warehouse"
+        report = stages.keep(
+            "load_report",
+            lambda: load_star(spark, build_star(cleaned), root, primary, primary_rows),
+            ("judged_claims",),
+            complete=lambda rows: published(spark, root) is not None and not rows.where("NOT ok").head(1),
+            primary=primary is not None,
+        )
+        star = read_star(spark, root)
 
         counts = {"raw": metrics.select("n")}
         if corrupt is not None:
             counts["corrupt"] = row_count(corrupt)
         for stage, stored in {"deduped": judged, "rejected": rejected, **star}.items():
             counts[stage] = row_count(stored)
-        return RunResult(
-            quality=quality,
-            found_values=found,
-            star=star,
-            rejected=rejected,
-            load_report=_stored(report, f"{out}/load_report"),
-            audit=_stored(audit_counts(counts, run_date), f"{out}/audit"),
-            answers={
-                title: _stored(answer, f"{out}/answers/{re.sub('[^a-z0-9]+', '_', title.lower())}")
-                for title, answer in answer_all(star).items()
-            },
-        )
-
-
-def _stored(df: DataFrame, path: str) -> DataFrame:
-    """Write and read back: later steps start from files, whatever executors are lost meanwhile."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+        loaded = ("load_report", "dq_metrics", *(("corrupt_records",) if corrupt is not None else ()))
+        audit = stages.keep("audit", lambda: audit_counts(counts, run_date), loaded, run_date=run_date)
+        answers = {
+            title: stages.keep(f"answers/{re.sub('[^a-z0-9]+', '_', title.lower())}", lambda answer=answer: answer, ("load_report",))
+            for title, answer in answer_all(star).items()
+        }
+        return RunResult(quality, found, star, rejected, report, audit, answers, tuple(stages.reused))

@@ -1,7 +1,10 @@
 """Claims in CSV and Parquet files, and the shared folder that holds intermediate files."""
 
+import hashlib
+import re
 import uuid
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,22 +79,52 @@ def write_parquet(claims: DataFrame, path: str) -> None:
     claims.write.mode("overwrite").parquet(path)
 
 
-def write_by_day(claims: DataFrame, root: str) -> None:
-    """One folder `day=<date>` per parsed service date, and one for claims whose date is missing or no date, so dirty
-    texts make no folders. The rebalance keeps a day together when it is small, so that days do not scatter over tiny
-    files; adaptive execution splits a large one over several tasks."""
-    dated = claims.withColumn("day", F.expr(date_of("service_date")))
-    dated.hint("rebalance", F.col("day")).write.partitionBy("day").mode("overwrite").parquet(root)
+def write_by_day(claims: DataFrame, root: str, batch: str = "all", emptied: tuple[str, ...] = ()) -> None:
+    """Stores a batch of claims by service date; other days and batches stay as they are.
+
+    One folder `day=<date>` per parsed service date. A day that occurs in the batch is replaced whole, so writing a batch again changes
+    nothing, and a batch must bring all claims of its days. A day listed in `emptied` (yyyy-MM-dd) that has no claims in the batch
+    loses those it had. Claims without a date, or with a text that is none, go to `day=undated-<batch>`, and are
+    replaced by batch, as days cannot tell them apart. Batch names are letters, digits, `-`, `_` and `.`.
+
+    The rebalance keeps a day together when it is small, so that days do not scatter over tiny files; adaptive execution
+    splits a large one over several tasks.
+    """
+    if not re.fullmatch(r"[A-Za-z0-9._-]+", batch):
+        raise ValueError(f"not a name of a batch: {batch!r}")
+    undated = f"undated-{batch}"
+    spark = claims.sparkSession
+    watched = [f"{root}/day={day}" for day in (*(date.fromisoformat(day).isoformat() for day in emptied), undated)]
+    before = {folder: names_in(spark, folder) for folder in watched}
+    dated = claims.withColumn("day", F.coalesce(F.expr(date_of("service_date")).cast("string"), F.lit(undated)))
+    writer = dated.hint("rebalance", F.col("day")).write.partitionBy("day").mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").parquet(root)
+    for folder, names in before.items():
+        # Every write names its files anew: what is still there was not replaced, so the batch has no such claims.
+        if names and names_in(spark, folder) == names:
+            delete(spark, folder)
 
 
 def read_day(spark: SparkSession, root: str, day: str) -> DataFrame:
     """Claims of one service date (yyyy-MM-dd); only that folder is listed and read."""
     folder = f"{root}/day={day}"
-    if not has_data(spark, folder):
+    if not names_in(spark, folder):
         return spark.createDataFrame([], RAW_CLAIMS)
     return spark.read.schema(RAW_CLAIMS).option("basePath", root).parquet(folder).select(*RAW_CLAIMS.names)
 
 
+def read_days(spark: SparkSession, root: str) -> DataFrame:
+    """Claims of all days, and those without a date."""
+    if not names_in(spark, root):
+        return spark.createDataFrame([], RAW_CLAIMS)
+    return spark.read.schema(RAW_CLAIMS).parquet(root).select(*RAW_CLAIMS.names)
+
+
+def days_stored(spark: SparkSession, root: str) -> list[str]:
+    """Dates (yyyy-MM-dd) that have a folder."""
+    return [name.removeprefix("day=") for name in names_in(spark, root) if name.startswith("day=") and not name.startswith("day=undated-")]
+
+
 def _path(spark: SparkSession, text: str):
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(text)
@@ -116,6 +149,60 @@ def size_of(spark: SparkSession, text: str) -> int:
     return fs.getContentSummary(path).getLength()
 
 
+def names_in(spark: SparkSession, text: str) -> list[str]:
+    """Names in a folder, hidden ones left out; none where there is no folder."""
+    path, fs = _path(spark, text)
+    if not fs.exists(path):
+        return []
+    names = (status.getPath().getName() for status in fs.listStatus(path))
+    return sorted(name for name in names if name[0] not in "._")
+
+
+def delete(spark: SparkSession, text: str) -> None:
+    path, fs = _path(spark, text)
+    fs.delete(path, True)
+
+
+def write_small(spark: SparkSession, text: str, content: str) -> None:
+    """Writes a small file beside its place and renames it: readers see the old content or the new."""
+    jvm = spark.sparkContext._jvm
+    path, fs = _path(spark, text)
+    path = fs.makeQualified(path)
+    draft = jvm.org.apache.hadoop.fs.Path(path.getParent(), f".{path.getName()}.{uuid.uuid4().hex}")
+    out = fs.create(draft, True)
+    out.write(bytearray(content.encode()))
+    out.close()
+    renames = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(renames, 1)
+    options[0] = renames.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(path.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(draft, path, options)
+
+
+def read_small(spark: SparkSession, text: str) -> str | None:
+    """Content of a small file, None where there is none."""
+    path, fs = _path(spark, text)
+    if not fs.exists(path):
+        return None
+    source = fs.open(path)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
+def fingerprint(spark: SparkSession, *paths: str) -> str:
+    """Changes when a file below the paths is added, removed or written anew: hash of names, lengths and times."""
+    found = []
+    for text in paths:
+        path, fs = _path(spark, text)
+        if fs.exists(path):
+            walk = fs.listFiles(path, True)
+            while walk.hasNext():
+                status = walk.next()
+                found.append(f"{status.getPath()} {status.getLen()} {status.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(found)).encode()).hexdigest()
+
+
 def load_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
     """Claims from the CSV at `path`; when there is none, build them, store them there and read them back.
 

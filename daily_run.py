@@ -9,12 +9,13 @@ from datetime import datetime
 
 from pyspark.sql import SparkSession
 
-from claimloom.functions.rules import ROW_COUNT_RANGE
+from claimloom.functions.rules import AMOUNT_RANGE, ROW_COUNT_RANGE
 from claimloom.operators.load import jdbc_rows, jdbc_sink
 from claimloom.plans.run import RunResult, run
 from claimloom.plans.sizing import PARTITION_BYTES
 from claimloom.sources import files, jdbc
 
+PRINTED_ROWS = 20
 WAREHOUSES = {"postgres": jdbc.postgres_options, "snowflake": jdbc.snowflake_options}
 
 
@@ -24,6 +25,9 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--out", required=True, help="folder for the tables and reports of this run")
     parser.add_argument("--least-rows", type=int, default=ROW_COUNT_RANGE[0], help="smallest batch accepted")
     parser.add_argument("--most-rows", type=int, default=ROW_COUNT_RANGE[1], help="largest batch accepted")
+    parser.add_argument("--least-amount", type=float, default=AMOUNT_RANGE[0], help="smallest amount accepted")
+    parser.add_argument("--most-amount", type=float, default=AMOUNT_RANGE[1], help="largest amount accepted")
+    parser.add_argument("--resume", action="store_true", help="take up a run that broke off in the same folder")
     parser.add_argument("--partition-bytes", type=int, default=PARTITION_BYTES, help="input per shuffle partition")
     parser.add_argument("--date", type=datetime.fromisoformat, help="run date, today by default")
     parser.add_argument("--report-only", action="store_true", help="go on when a quality check failed")
@@ -52,19 +56,23 @@ def main(argv: list[str] | None = None) -> RunResult:
     connection = _connection(args)
     result = run(
         spark,
-        files.read_csv(spark, args.raw, not args.single_line),
+        lambda: files.read_csv(spark, args.raw, not args.single_line),
         args.out,
         run_date=args.date.date() if args.date else None,
         strict=not args.report_only,
         primary=jdbc_sink(connection) if connection else None,
         primary_rows=jdbc_rows(spark, connection) if connection else None,
-        corrupt=files.corrupt_records(spark, args.raw, not args.single_line),
+        corrupt=lambda: files.corrupt_records(spark, args.raw, not args.single_line),
+        resume=args.resume,
+        source=f"{args.single_line} {files.fingerprint(spark, args.raw)}",
+        amount_range=(args.least_amount, args.most_amount),
         row_count_range=(args.least_rows, args.most_rows),
         partition_bytes=args.partition_bytes,
     )
     for title, frame in {"Quality": result.quality, "Load": result.load_report, "Audit": result.audit, **result.answers}.items():
         print(title)
-        frame.show(frame.count(), truncate=False)
+        frame.show(PRINTED_ROWS, truncate=False)
+    print(f"All rows are stored below {args.out}")
     return result
 
 

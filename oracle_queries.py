@@ -48,7 +48,7 @@ standard AS (
 
 CLEANED = """
 cleaned AS (
-    SELECT * FROM standard WHERE claim_amount > 0 AND quantity > 0 AND days_supply BETWEEN 1 AND 365
+    SELECT * FROM standard WHERE claim_amount BETWEEN 0.01 AND 1e12 AND quantity > 0 AND days_supply BETWEEN 1 AND 365
 )"""
 
 DIM_DRUG = """
@@ -112,7 +112,7 @@ CHECKS = {
                    AS detail FROM raw""",
     "claim_amount": """
         SELECT 'claim_amount is positive' AS "check",
-               coalesce(bool_and(coalesce(claim_amount > 0, false)), true) AS passed,
+               coalesce(bool_and(coalesce(claim_amount BETWEEN 0.01 AND 1e12, false)), true) AS passed,
                '(min=' || printf('%.2f', min(claim_amount)) || ', max=' || printf('%.2f', max(claim_amount)) || ')'
                    AS detail FROM raw""",
     "quantity": """
@@ -171,7 +171,7 @@ QUERIES: dict[str, str] = {
         (RAW, DEDUPED, STANDARD),
         """
         SELECT * FROM (
-            SELECT *, concat_ws(',', CASE WHEN claim_amount > 0 THEN NULL ELSE 'claim_amount' END,
+            SELECT *, concat_ws(',', CASE WHEN claim_amount BETWEEN 0.01 AND 1e12 THEN NULL ELSE 'claim_amount' END,
                                 CASE WHEN quantity > 0 THEN NULL ELSE 'quantity' END,
                                 CASE WHEN days_supply BETWEEN 1 AND 365 THEN NULL ELSE 'days_supply' END) AS reason
             FROM standard)
@@ -242,6 +242,7 @@ QUERIES: dict[str, str] = {
     "csv_roundtrip": _with((RAW,), "SELECT * FROM raw"),
     "parquet_roundtrip": _with((RAW,), "SELECT * FROM raw"),
     "partitioned_day_scan": _with((RAW,), f"SELECT {_RAW_COLUMNS} FROM raw WHERE service_date = '{SCANNED_DAY}'"),
+    "day_replay": _with((RAW,), f"SELECT {_RAW_COLUMNS} FROM raw"),
     "load_report": _with(
         _STAR,
         """

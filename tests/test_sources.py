@@ -90,10 +90,58 @@ def test_day_folders(spark, claims, tmp_path):
     assert rows(files.read_day(spark, root, "2024-01-02")) == rows(raw.where("service_date = '2024-01-02'"))
     assert files.read_day(spark, root, "2024-01-03").count() == 0
     assert rows(files.read_parquet(spark, root).select(*RAW_CLAIMS.names)) == rows(raw)
-    assert len(list((tmp_path / "days").glob("day=*"))) == 3
+    assert {x.name for x in (tmp_path / "days").glob("day=*")} == {"day=2024-01-01", "day=2024-01-02", "day=undated-all"}
     assert all("/day=2024-01-02/" in file for file in files.read_day(spark, root, "2024-01-02").inputFiles())
 
 
+def dated(claims, *days, **change):
+    return claims(*[{"service_date": day, **change} for day in days])
+
+
+def test_a_day_replaces_itself_alone(spark, claims, tmp_path):
+    root = str(tmp_path / "days")
+    first, second = dated(claims, "2024-01-01", "2024-01-01", None), dated(claims, "2024-01-02", "no date")
+    files.write_by_day(first, root, "one")
+    before = sorted(map(str, (tmp_path / "days" / "day=2024-01-01").iterdir()))
+    files.write_by_day(second, root, "two")
+    assert sorted(map(str, (tmp_path / "days" / "day=2024-01-01").iterdir())) == before
+    assert rows(files.read_days(spark, root)) == rows(first.union(second))
+    files.write_by_day(first, root, "one")
+    assert rows(files.read_days(spark, root)) == rows(first.union(second))
+    assert files.days_stored(spark, root) == ["2024-01-01", "2024-01-02"]
+    corrected = dated(claims, "2024-01-01", quantity=90.0)
+    files.write_by_day(corrected, root, "one")
+    assert rows(files.read_day(spark, root, "2024-01-01")) == rows(corrected)
+    # The undated claim of the first batch went with its replay, that of the second stays.
+    assert rows(files.read_days(spark, root)) == rows(corrected.union(second))
+
+
+def test_a_day_that_lost_its_claims_is_emptied_by_name(spark, claims, tmp_path):
+    root = str(tmp_path / "days")
+    files.write_by_day(dated(claims, "2024-01-01", "2024-01-02"), root)
+    files.write_by_day(dated(claims, "2024-01-02"), root, emptied=("2024-01-01", "2024-01-02", "2024-01-09"))
+    assert files.days_stored(spark, root) == ["2024-01-02"]
+    assert files.read_day(spark, root, "2024-01-01").count() == 0 and files.read_days(spark, root).count() == 1
+    files.write_by_day(dated(claims, "2024-01-02").limit(0), root)
+    assert files.days_stored(spark, root) == ["2024-01-02"]
+    for wrong in ({"batch": "a/b"}, {"emptied": ("2024-13-01",)}, {"emptied": ("../x",)}):
+        with pytest.raises(ValueError):
+            files.write_by_day(dated(claims, "2024-01-02"), root, **wrong)
+    assert files.read_days(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_small_files_are_replaced_whole(spark, tmp_path):
+    path = f"{tmp_path}/folder/name"
+    assert files.read_small(spark, path) is None
+    for text in ("one", "zwei \u00e9"):
+        files.write_small(spark, path, text)
+        assert files.read_small(spark, path) == text
+    assert files.names_in(spark, f"{tmp_path}/folder") == ["name"]
+    one = files.fingerprint(spark, f"{tmp_path}/folder")
+    files.write_small(spark, path, "longer than before")
+    assert files.fingerprint(spark, f"{tmp_path}/folder") != one == one
+
+
 def test_shared_dir_is_new_and_below_the_checkpoint_folder(spark):
     one, two = files.shared_dir(spark), files.shared_dir(spark)
     assert one != two
