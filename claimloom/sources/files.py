@@ -213,8 +213,20 @@ def load_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame]
     return read_csv(spark, path)
 
 
+def shared_root(spark: SparkSession) -> str:
+    """`spark.checkpoint.dir` or, where that is unset, the warehouse. The default warehouse is a folder of one machine, so on a
+    cluster a fallback to local files is an error."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    root = spark.conf.get("spark.sql.warehouse.dir")
+    path, fs = _path(spark, root)
+    if fs.makeQualified(path).toUri().getScheme() == "file" and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share: the warehouse is on the local disk")
+    return root.rstrip("/")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder that every executor can reach, below `spark.checkpoint.dir` or, where that is unset, below the
-    warehouse. Whoever set the folder removes what is in it; nothing here is read by a later call."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root.rstrip('/')}/claimloom/{uuid.uuid4().hex}"
+    """A new folder that every executor can reach. Whoever set the shared folder removes what is in it; nothing here is read
+    by a later call."""
+    return f"{shared_root(spark)}/claimloom/{uuid.uuid4().hex}"
