@@ -1,13 +1,18 @@
 """What the operators share: staged tables, blocks of UTF-8 bytes, word hashes, connected components."""
 
+import ctypes
+import sys
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimloom.sources.files import shared_root
+
 BLOCK_BYTES = 1 << 20
 #: Spark's setting that removes shuffle files when the execution that wrote them ends.
 RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -21,9 +26,8 @@ class Stages:
     """
 
     def __init__(self, spark: SparkSession):
-        root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
         self.spark = spark
-        self.root = f"{root.rstrip('/')}/llm-stages/{uuid.uuid4().hex}"
+        self.root = f"{shared_root(spark)}/llm-stages/{uuid.uuid4().hex}"
 
     def keep(self, name: str, df: DataFrame) -> DataFrame:
         """Writes the table and reads it back. Shuffle files of the write go with its end, since only the table is read later."""
@@ -53,6 +57,23 @@ def checked(rows: DataFrame, most: int = 500_000) -> DataFrame:
     return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows
 
 
+def with_neutral_names(docs: DataFrame, used: tuple[str, ...], work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What `work` makes of `docs`, which must have the same columns. It sees the columns in `used` under their own names and
+    all others under names that nothing else has, so columns of any name can be carried through."""
+    neutral = [name if name.lower() in used else f"carried column {i}" for i, name in enumerate(docs.columns)]
+    return work(docs.toDF(*neutral)).toDF(*docs.columns)
+
+
+def give_back_memory() -> None:
+    """Returns freed memory of a worker to the system, as workers live on after their tasks."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library
+            pass
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all strings in a row, and where each begins and ends; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -81,6 +102,7 @@ def blocks(
             part = offsets[begin : end + 1]
             yield batch.slice(begin, end - begin), data[part[0] : part[-1]], part - part[0]
             begin = end
+    give_back_memory()
 
 
 # Bytes that end a word, by contract: tab to carriage return, and space.
@@ -127,13 +149,42 @@ def _powers(base: int, count: int) -> np.ndarray:
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each data[start:end], by differences of one running polynomial."""
+    """64-bit hash of each data[start:end], by differences of one running polynomial.
+
+    Texts of certain forms collide under it whatever its base, so it names features only; identities are `span_digests`.
+    """
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE[data] * _powers(_STEP, len(data)), out=total[1:])
     value = (total[ends] - total[starts]) * _powers(_UNDO, len(data) + 1)[starts]
     return mix(value + (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
+#: Eight bytes are read at once up to this length; longer spans end in one call of a library for each.
+_STEPS = 64
+
+
+def span_digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit digest of each data[start:end]: eight bytes at a time are mixed in by a bijection, so equal lengths up to eight bytes never
+    collide, and longer spans do so by chance alone. Different seeds give independent digests."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    left = (ends - starts).astype(np.int64)
+    value = mix(left.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + salted(1009 + seed, 1)[0])
+    live = np.flatnonzero(left > 0)
+    at, left = starts[live], left[live]
+    for _ in range(_STEPS):
+        if not len(live):
+            return value
+        piece, brief = eight[at], left < 8
+        piece[brief] &= (np.uint64(1) << (left[brief] * 8).astype(np.uint64)) - np.uint64(1)
+        value[live] = mix(value[live] ^ piece)
+        more = left > 8
+        live, at, left = live[more], at[more] + 8, left[more] - 8
+    rest = [xxhash.xxh3_64_intdigest(data[a : a + n].tobytes(), seed) for a, n in zip(at, left, strict=True)]
+    value[live] = mix(value[live] ^ np.array(rest, np.uint64))
+    return value
+
+
 def shingles(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct hashed shingles of each document: (document numbers, hashes), sorted by both.
 
@@ -143,7 +194,7 @@ def shingles(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndar
     starts, ends, doc = runs(~SPACE[data], offsets)
     if not len(starts):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    word, rows = span_hashes(data, starts, ends), len(offsets) - 1
+    word, rows = span_digests(data, starts, ends), len(offsets) - 1
     count = np.bincount(doc, minlength=rows)
     first = np.cumsum(count) - count
     times = salted(23, words)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.llm.chunking import chunk_cuts
-from claimloom.llm.common import SPACE, Stages, blocks, checked
+from claimloom.llm.common import SPACE, Stages, blocks, checked, with_neutral_names
 
 LEAST, BITS, MOST = 512, 10, 8192
 _CHUNK = pa.struct([("digest", pa.binary()), ("check", pa.binary()), ("bytes", pa.int64())])
@@ -96,6 +96,10 @@ def drop_copies(docs: DataFrame) -> DataFrame:
 
     A row stays when its (doc_id, text) was chosen. Where rows repeat that pair, one of them stays.
     """
+    return with_neutral_names(docs, ("doc_id", "text"), _without_copies)
+
+
+def _without_copies(docs: DataFrame) -> DataFrame:
     stages = Stages(docs.sparkSession)
     found = stages.keep("found", exact_dedup(docs).select("doc_id", "keep_id", "text_sha256", "kept"))
     if not found.groupBy("doc_id").count().where("count > 1").head(1):

@@ -6,10 +6,12 @@ are not sorted as a whole: rows are summed by source and key bucket, the buckets
 remainder ends is sorted. One more document, the one that comes nearest, closes the gap.
 """
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import Stages
+from claimloom.llm.common import Stages, with_neutral_names
 
 WEIGHTS = (3, 1, 2)
 SHARE_PERCENT = 150
@@ -113,6 +115,10 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, percent: in
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """`docs` as the mix has them: a document taken twice is two rows, one not taken is none. Documents without words go."""
+    return with_neutral_names(docs, ("doc_id", "source", "text"), partial(_mixed, **options))
+
+
+def _mixed(docs: DataFrame, **options) -> DataFrame:
     stages = Stages(docs.sparkSession)
     taken = mix_sources(docs, **options).where("taken > 0")
     # Rows that repeat a doc_id: their draws are shared out by size, so each row joins one draw of its own size.

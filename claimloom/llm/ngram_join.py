@@ -2,36 +2,40 @@
 
 A set is a point of 64 group counts: shingles are hashed to groups. The sum of coordinate minima of two points (or
 of the upper corners of two boxes) bounds the overlap of the sets (or of any two sets in the boxes). Points are
-held by a packed tree with four levels:
+held by a packed tree:
 
 1. Size bands. Similar sets differ little in size, so a set lies in its band and, near the upper end, in the next.
 2. Cells. In a band whose sets may differ in D shingles at most, shingles are dealt to more than D slices, so similar sets
    agree in a whole slice. The content of a slice names the cell; empty slices count only for the few sets that
-   fill too few slices to be sure of a common one.
-3. Leaves. The points of a cell are sorted by group, size and coordinates and packed in leaves with their box.
-4. Points. 64 counts say little of a large set, whose counts are all much alike, so before a pair's shingles are fetched the same bound is
-   taken on finer points: groups in a power of two, 2 to 4 shingles to a group, halved to those of the smaller set.
-
-Joined are only sets that share a cell, first each with the least of one cell and then with those of its other cells from which it is
-still apart (linear in the cells), then, for cells that still hold several groups, leaf with leaf: pairs of leaves whose boxes bound the overlap too low, or which lie
-in one group, go; then pairs of points; what remains is verified on the shingles. No pair inside a group that is already
-connected is looked at, so a large group of copies costs no square. Nothing is capped.
-
-Shingles and sets are known by 64-bit hashes.
+   fill too few slices to be sure of a common one. Of cells with the same sets one is kept; a cell of two sets is a pair of its own.
+3. Inner boxes and leaves. The points of a cell are sorted by group, size and coordinates and packed in leaves, and `FANOUT` leaves in an
+   inner box. Pairs of inner boxes are bounded, then pairs of leaves below those that are left.
+4. Points, first by their 64 counts. These say little of a large set, whose counts are all much alike, so the same bound is then
+   taken on finer points: groups in a power of two, 2 to 4 shingles to a group, halved to those of the smaller set. Only pairs that pass
+   leave the task.
+
+Before the descent each set is compared with the least of one cell and then with those of its other cells from which it is
+still apart (linear in the cells). Boxes that lie in one connected group go: no pair inside such a group is
+looked at, so a large group of copies costs no square. What remains is verified on the shingles. Nothing is capped.
+
+Shingles are known by 64-bit digests. So are sets, by sums of their shingles' digests; a second such number tells whether two sets
+share the first one, and then all sets are named anew with another salt.
 """
 
+from itertools import count
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import BLOCK_BYTES, Stages, blocks, checked, components, lists, mix, salted, shingles
+from claimloom.llm.common import BLOCK_BYTES, Stages, blocks, checked, components, lists, mix, salted, shingles, with_neutral_names
 
 GROUPS = 64
 LEAF = 128
+FANOUT = 16
 BAND = 1.5
 
 
@@ -62,22 +66,15 @@ def band_plan(share: tuple[int, int]) -> list[tuple[int, int]]:
     return plan
 
 
-def set_ids(doc: np.ndarray, value: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+def set_ids(doc: np.ndarray, value: np.ndarray, rows: int, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Size and 64-bit id of each row's set."""
     total = np.zeros(len(value) + 1, np.uint64)
-    np.cumsum(mix(value + np.uint64(77)), out=total[1:])
+    np.cumsum(mix(value + np.uint64(77 + salt)), out=total[1:])
     size = np.bincount(doc, minlength=rows)
     ends = np.cumsum(size)
     return size, mix(total[ends] - total[ends - size] + size.astype(np.uint64)).view(np.int64)
 
 
-def _sets(batches, words: int):
-    for rows, data, offsets in blocks(batches):
-        doc, value = shingles(data, offsets, words)
-        size, node = set_ids(doc, value, len(offsets) - 1)
-        yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(size.astype(np.int64)), pa.array(node)], ["doc_id", "n", "node"])
-
-
 def cells(size: int, value: np.ndarray, band: int, plan: tuple[int, int]) -> np.ndarray:
     """Names of the cells in which a set lies, in one band."""
     most, slices = plan
@@ -89,38 +86,42 @@ def cells(size: int, value: np.ndarray, band: int, plan: tuple[int, int]) -> np.
     return name if np.count_nonzero(filled) <= most else name[filled]
 
 
-def _cells(batches, words: int, share: tuple[int, int]):
-    """(node, n, cells); a set is sent once by each task, however many copies the task reads."""
+def _sets(batches, words: int, share: tuple[int, int], salt: int):
+    """(doc_id, n, node, check, cells); a task names the cells of a set once, however many copies it reads."""
     num, den = share
     starts, plan, seen = np.array(band_starts()), band_plan(share), set()
-    for _, data, offsets in blocks(batches):
+    for rows, data, offsets in blocks(batches):
         doc, value = shingles(data, offsets, words)
-        size, node = set_ids(doc, value, len(offsets) - 1)
-        ends = np.cumsum(size)
-        out: list[tuple[int, int, np.ndarray]] = []
-        for row in np.flatnonzero(size):
+        size, node = set_ids(doc, value, len(offsets) - 1, salt)
+        check = set_ids(doc, value, len(offsets) - 1, salt + (1 << 32))[1]
+        ends, known = np.cumsum(size), rows.column(0).is_valid().to_numpy(False)
+        found: list[np.ndarray] = []
+        named = np.zeros(len(size), bool)
+        for row in np.flatnonzero(known & (size > 0)):
             if (key := int(node[row])) in seen:
                 continue
             seen.add(key)
+            named[row] = True
             n, own = int(size[row]), value[ends[row] - size[row] : ends[row]]
             band = int(np.searchsorted(starts, n, "right")) - 1
             names = [cells(n, own, band, plan[band])]
             while starts[band + 1] * num <= n * den:
                 band += 1
                 names.append(cells(n, own, band, plan[band]))
-            out.append((key, n, np.concatenate(names).view(np.int64)))
-        if out:
-            columns = [pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())]
-            columns.append(lists(np.array([len(x[2]) for x in out]), np.concatenate([x[2] for x in out])))
-            yield pa.RecordBatch.from_arrays(columns, ["node", "n", "cells"])
+            found.append(np.concatenate(names).view(np.int64))
+        counts = np.zeros(len(size), np.int64)
+        counts[named] = [len(x) for x in found]
+        held = lists(counts, np.concatenate(found) if found else np.zeros(0, np.int64))
+        columns = [rows.column(0), pa.array(size.astype(np.int64)), pa.array(node), pa.array(check), held]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "node", "check", "cells"])
 
 
-def _points(batches, words: int):
-    """(node, n, shingles, counts): the sets themselves and their group counts."""
+def _points(batches, words: int, salt: int):
+    """(node, n, shingles, counts, fine): the sets themselves and their group counts."""
     seen = set()
     for _, data, offsets in blocks(batches):
         doc, value = shingles(data, offsets, words)
-        size, node = set_ids(doc, value, len(offsets) - 1)
+        size, node = set_ids(doc, value, len(offsets) - 1, salt)
         ends = np.cumsum(size)
         fresh = [r for r in np.flatnonzero(size) if not (int(node[r]) in seen or seen.add(int(node[r])))]
         if not fresh:
@@ -157,47 +158,66 @@ def _coordinates(blob: bytes, rows: int) -> np.ndarray:
     return np.frombuffer(blob, np.uint8 if len(blob) == GROUPS * rows else "<i4").reshape(rows, GROUPS)
 
 
+def _reaches(a: pa.Array, b: pa.Array, sizes: np.ndarray, share: tuple[int, int]) -> np.ndarray:
+    """Whether the bound on fine counts reaches the needed overlap of sets with these sizes in sum; True where a set has no fine counts."""
+    num, den = share
+    keep = np.ones(len(a), bool)
+    lengths = [pc.fill_null(pc.binary_length(x), 0).to_numpy(False).astype(np.int64) for x in (a, b)]
+    known = np.flatnonzero((lengths[0] > 0) & (lengths[1] > 0))
+    kind = (lengths[0] << 32) + lengths[1]
+    for one in np.unique(kind[known]):
+        rows = known[kind[known] == one]
+        step = max(1, BLOCK_BYTES // int(max(one >> 32, one & 0xFFFFFFFF)))
+        for part in (rows[at : at + step] for at in range(0, len(rows), step)):
+            bound = overlap_bounds(a.take(pa.array(part)), b.take(pa.array(part)))
+            keep[part] = bound * (den + num) >= num * sizes[part]
+    return keep
+
+
 def _bounded(batches, share: tuple[int, int]):
     """Pairs (a, b, n_a, n_b, fine_a, fine_b) whose bound reaches the needed overlap; those without fine counts pass."""
-    num, den = share
     for batch in batches:
-        keep = np.ones(batch.num_rows, bool)
-        lengths = [pc.fill_null(pc.binary_length(batch.column(k)), 0).to_numpy(False).astype(np.int64) for k in (4, 5)]
-        known = np.flatnonzero((lengths[0] > 0) & (lengths[1] > 0))
-        kind = (lengths[0] << 32) + lengths[1]
-        for one in np.unique(kind[known]):
-            rows = known[kind[known] == one]
-            step = max(1, BLOCK_BYTES // int(max(one >> 32, one & 0xFFFFFFFF)))
-            for part in (rows[at : at + step] for at in range(0, len(rows), step)):
-                sizes = batch.column(2).to_numpy()[part] + batch.column(3).to_numpy()[part]
-                bound = overlap_bounds(*(batch.column(k).take(pa.array(part)) for k in (4, 5)))
-                keep[part] = bound * (den + num) >= num * sizes
+        keep = _reaches(batch.column(4), batch.column(5), batch.column(2).to_numpy() + batch.column(3).to_numpy(), share)
         yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(keep)) for k in (0, 1)], ["a", "b"])
 
 
-_LEAF_FIELDS = "cell long, leaf long, least_n long, comp_low long, comp_high long, nodes array<long>, comps array<long>, sizes array<long>, points binary"
+_LEAF = {
+    "cell": pa.int64(), "inner": pa.int64(), "leaf": pa.int64(), "least_n": pa.int64(), "comp_low": pa.int64(), "comp_high": pa.int64(), "box": pa.list_(pa.int64()),
+    "nodes": pa.list_(pa.int64()), "comps": pa.list_(pa.int64()), "sizes": pa.list_(pa.int64()), "points": pa.binary(), "fines": pa.list_(pa.binary()),
+}
+_LEAF_FIELDS = (
+    "cell long, inner long, leaf long, least_n long, comp_low long, comp_high long, box array<long>, "
+    "nodes array<long>, comps array<long>, sizes array<long>, points binary, fines array<binary>"
+)
+_HELD = ("nodes", "comps", "sizes", "points", "fines")
 
 
 def _leaves(batches):
-    """Packs consecutive rows of a cell (cell, comp, n, node, counts), which come sorted, into leaves."""
-    held: list[pa.RecordBatch] = []
+    """Packs consecutive rows of a cell (cell, comp, n, node, counts, fine), which come sorted, into leaves, and tells the inner box of each."""
+    last_cell, number, inner = None, 0, 0
 
     def packed(rows: pa.Table):
+        nonlocal last_cell, number, inner
         cell = rows["cell"].to_numpy()
         cuts = np.flatnonzero(cell[1:] != cell[:-1]) + 1
         for low, high in zip([0, *cuts], [*cuts, len(cell)], strict=True):
             for at in range(low, high, LEAF):
                 part = rows.slice(at, min(LEAF, high - at))
                 nodes, comps, sizes = (part[c].to_numpy() for c in ("node", "comp", "n"))
+                number = 0 if cell[at] != last_cell else number + 1
+                last_cell = cell[at]
+                inner = int(nodes[0]) if number % FANOUT == 0 else inner
                 raw = part["counts"].to_pylist()
                 brief = all(len(x) == GROUPS for x in raw)
                 points = b"".join(x if brief else _coordinates(x, 1).astype("<i4").tobytes() for x in raw)
                 yield {
-                    "cell": int(cell[at]), "leaf": int(nodes[0]), "least_n": int(sizes.min()), "comp_low": int(comps.min()), "comp_high": int(comps.max()),
-                    "nodes": nodes.tolist(), "comps": comps.tolist(), "sizes": sizes.tolist(), "points": points,
+                    "cell": int(cell[at]), "inner": inner, "leaf": int(nodes[0]), "least_n": int(sizes.min()),
+                    "comp_low": int(comps.min()), "comp_high": int(comps.max()), "box": _coordinates(points, len(nodes)).max(0).tolist(),
+                    "nodes": nodes.tolist(), "comps": comps.tolist(), "sizes": sizes.tolist(), "points": points, "fines": part["fine"].to_pylist(),
                 }
 
-    schema = None
+    schema = pa.schema(list(_LEAF.items()))
+    held: list[pa.RecordBatch] = []
     for batch in batches:
         table = pa.Table.from_batches([*held, batch])
         cell = table["cell"].to_numpy()
@@ -205,41 +225,63 @@ def _leaves(batches):
             continue
         last = int(np.flatnonzero(cell != cell[-1])[-1]) + 1 if (cell != cell[-1]).any() else 0
         last += (len(cell) - last) // LEAF * LEAF  # whole leaves of the last cell can go
-        schema = schema or _leaf_schema()
         if found := list(packed(table.slice(0, last))):
             yield from pa.Table.from_pylist(found, schema).to_batches()
         held = table.slice(last).combine_chunks().to_batches()
     if held and (found := list(packed(pa.Table.from_batches(held)))):
-        yield from pa.Table.from_pylist(found, _leaf_schema()).to_batches()
-
-
-def _leaf_schema() -> pa.Schema:
-    kinds = {"long": pa.int64(), "array<long>": pa.list_(pa.int64()), "binary": pa.binary()}
-    return pa.schema([(name, kinds[kind]) for name, kind in (x.split(" ") for x in _LEAF_FIELDS.split(", "))])
+        yield from pa.Table.from_pylist(found, schema).to_batches()
 
 
 def _leaf_pairs(batches, share: tuple[int, int]):
-    """Pairs of points of two leaves that lie in different groups and whose bound reaches the needed overlap."""
+    """Pairs of points of two leaves that lie in different groups and whose bounds, coarse and fine, reach the needed overlap."""
     num, den = share
-
     for batch in batches:
-        found_a, found_b = [], []
         for row in batch.to_pylist():
             a, b = _coordinates(row["points"], len(row["nodes"])), _coordinates(row["points_b"], len(row["nodes_b"]))
-            box = int(np.minimum(a.max(0), b.max(0)).sum(dtype=np.int64))
-            if box * (den + num) < num * (row["least_n"] + row["least_n_b"]):
-                continue
             sizes = np.array(row["sizes"])[:, None] + np.array(row["sizes_b"])[None, :]
-            comps = np.array(row["comps"])[:, None] != np.array(row["comps_b"])[None, :]
+            apart = np.array(row["comps"])[:, None] != np.array(row["comps_b"])[None, :]
             bound = np.empty(sizes.shape, np.int64)
             for i in range(len(a)):
                 bound[i] = np.minimum(a[i], b).sum(1, dtype=np.int64)
-            i, j = np.nonzero(comps & (bound * (den + num) >= num * sizes))
-            found_a.append(np.array(row["nodes"], np.int64)[i])
-            found_b.append(np.array(row["nodes_b"], np.int64)[j])
-        if found_a:
-            a, b = np.concatenate(found_a), np.concatenate(found_b)
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+            i, j = np.nonzero(apart & (bound * (den + num) >= num * sizes))
+            if not len(i):
+                continue
+            fines = [pa.array(row[c], pa.binary()).take(pa.array(k)) for c, k in (("fines", i), ("fines_b", j))]
+            keep = _reaches(*fines, sizes[i, j], share)
+            x, y = np.array(row["nodes"], np.int64)[i[keep]], np.array(row["nodes_b"], np.int64)[j[keep]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+
+
+def _may_reach(share: tuple[int, int]) -> Column:
+    """Condition on two boxes: their bound reaches the overlap needed by the least sizes in them, and they don't lie in one group."""
+    num, den = share
+    bound = F.aggregate(F.zip_with("box", "box_b", lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda total, x: total + x)
+    alike = (F.col("comp_low") == F.col("comp_high")) & (F.col("comp_low_b") == F.col("comp_high_b")) & (F.col("comp_low") == F.col("comp_low_b"))
+    return ~alike & (bound * (den + num) >= num * (F.col("least_n") + F.col("least_n_b")))
+
+
+def _descended(stages: Stages, leaves: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """Candidate pairs (a, b) of the tree over `leaves`: pairs of inner boxes of a cell, of the leaves below, of their points."""
+    box = ["least_n", "comp_low", "comp_high", "box"]
+
+    def second(df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(c).alias(f"{c}_b") for c in df.columns])
+
+    inner = leaves.groupBy("cell", "inner").agg(
+        F.min("least_n").alias("least_n"), F.min("comp_low").alias("comp_low"), F.max("comp_high").alias("comp_high"),
+        F.array(*[F.max(F.col("box")[k]) for k in range(GROUPS)]).alias("box"),
+    )
+    inner = stages.keep("inner", inner)
+    met = inner.join(second(inner), (F.col("cell") == F.col("cell_b")) & (F.col("inner") <= F.col("inner_b")))
+    met = met.where(_may_reach(share)).select("cell", "inner", "inner_b")
+    heads = leaves.select("cell", "inner", "leaf", *box)
+    met = met.join(heads, ["cell", "inner"]).join(second(heads).withColumnRenamed("cell_b", "cell"), ["cell", "inner_b"])
+    met = met.where((F.col("inner") < F.col("inner_b")) | (F.col("leaf") <= F.col("leaf_b"))).where(_may_reach(share)).select("cell", "leaf", "leaf_b")
+    met = stages.keep("met", met)
+    points = leaves.select("cell", "leaf", *_HELD)
+    met = met.join(points, ["cell", "leaf"]).join(second(points).withColumnRenamed("cell_b", "cell"), ["cell", "leaf_b"])
+    met = met.select(*[f"{c}{side}" for c in _HELD for side in ("", "_b")])
+    return met.mapInArrow(partial(_leaf_pairs, share=share), "a long, b long").where("a < b").distinct()
 
 
 def ngram_jaccard_join(docs: DataFrame, words: int = 5, share: tuple[int, int] = (8, 10)) -> DataFrame:
@@ -255,24 +297,30 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, share: tuple[int, int] =
     assert 0 < num <= den
     stages = Stages(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sets = stages.keep("sets", docs.mapInArrow(partial(_sets, words=words), "doc_id long, n long, node long"))
-
-    # Sets that share a cell with another set.
-    named = docs.where("doc_id IS NOT NULL").mapInArrow(partial(_cells, words=words, share=share), "node long, n long, cells array<long>")
-    named = named.select(F.explode("cells").alias("cell"), "node", "n")
-    # Folded map-side and joined back, as a window would hold all sets of a hot cell in one task; the join can be split there.
-    heads = named.groupBy("cell").agg(F.min(F.struct("node", "n")).alias("least"), F.max("node").alias("tail"))
-    heads = stages.keep("heads", heads.where("least.node < tail").selectExpr("cell", "least.node AS head", "least.n AS head_n"))
-    # Two sets of very different sizes are not similar, so a head is of use only to sets of about its size.
-    fits = f"{den} * least(n, head_n) >= {num} * greatest(n, head_n)"
-    shared = named.join(heads, "cell").selectExpr("cell", "node", "head", f"{fits} AS fits")
-    shared = stages.keep("shared", shared)
-
-    nodes = shared.select("node").distinct()
-    texts = sets.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    for salt in count():
+        sets = docs.mapInArrow(partial(_sets, words=words, share=share, salt=salt), "doc_id long, n long, node long, check long, cells array<long>")
+        sets = stages.keep(f"sets-{salt}", sets)
+        named_alike = sets.where("n > 0").groupBy("node").agg(F.min("check").alias("one"), F.max("check").alias("other")).where("one < other")
+        if not named_alike.head(1):
+            break
+
+    # Sets that share a cell with another set. Hot cells are folded map-side and joined back, and the join can be split there.
+    named = sets.where("cells IS NOT NULL").select(F.explode("cells").alias("cell"), "node", "n")
+    heads = named.groupBy("cell").agg(F.min("node").alias("head"), F.max("node").alias("tail")).where("head < tail")
+    shared = stages.keep("shared", named.join(stages.keep("heads", heads.select("cell")), "cell").distinct())
+    # Which sets a cell holds, as a number of them and two digests; each set counts once.
+    digests = [F.bit_xor(F.xxhash64(F.lit(seed), "node")).alias(name) for seed, name in ((1, "x"), (2, "y"))]
+    held = stages.keep("held", shared.groupBy("cell").agg(F.count("node").alias("sets"), F.min("node").alias("head"), F.max("node").alias("tail"), *digests))
+    two = held.where("sets = 2").select(F.col("head").alias("a"), F.col("tail").alias("b")).distinct()
+    large = held.where("sets > 2").groupBy("sets", "head", "tail", "x", "y").agg(F.min("cell").alias("cell"))
+    shared = stages.keep("several", shared.join(large.select("cell", "head"), "cell"))
+
+    two = stages.keep("two", two)
+    nodes = shared.select("node").union(two.select("a")).union(two.select("b")).distinct()
+    texts = sets.where("doc_id IS NOT NULL").join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     texts = stages.keep("texts", texts.select("doc_id").distinct())
     points = docs.join(checked(texts), "doc_id", "left_semi").mapInArrow(
-        partial(_points, words=words), "node long, n long, shingles array<long>, counts binary, fine binary"
+        partial(_points, words=words, salt=salt), "node long, n long, shingles array<long>, counts binary, fine binary"
     )
     points = points.groupBy("node").agg(*[F.any_value(c).alias(c) for c in ("n", "shingles", "counts", "fine")])
     points = stages.keep("points", points)
@@ -290,37 +338,35 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, share: tuple[int, int] =
         both = both.select("a", "b", "n_a", "n_b", "fine_a", "fine_b")
         return both.mapInArrow(partial(_bounded, share=share), "a long, b long")
 
+    # Two sets of very different sizes are not similar, so a head is of use only to sets of about its size.
+    fits = f"{den} * least(n, n_head) >= {num} * greatest(n, n_head)"
+    heads = stages.keep("sized", shared.where("node > head").join(of("head", "n"), "head").where(fits).select("head", "node"))
     # Each set with the least head of all its cells: one pair of each, which connects most of a group of copies.
-    nearest = shared.where("fits").groupBy(F.col("node").alias("b")).agg(F.min("head").alias("a")).where("a < b")
-    links = stages.keep("links", verified(bounded(nearest)))
+    nearest = heads.groupBy(F.col("node").alias("b")).agg(F.min("head").alias("a")).select("a", "b")
+    links = stages.keep("links", verified(bounded(nearest.union(two).distinct())))
     groups = components(stages, links, "groups")
 
     # Each set with the other heads of its cells, as far as they are not connected yet.
     def comp_of(side: str) -> DataFrame:
         return groups.select(F.col("node").alias(side), F.col("comp").alias(f"comp_{side}"))
 
-    starred = shared.where("fits AND node > head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
+    starred = heads.select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
     starred = starred.join(nearest, ["a", "b"], "left_anti").join(comp_of("a"), "a", "left").join(comp_of("b"), "b", "left")
     starred = starred.where("NOT coalesce(comp_a = comp_b, false)").select("a", "b")
     links = links.union(stages.keep("others", verified(bounded(starred))))
     groups = components(stages, links, "starred")
 
-    # Cells that still hold several groups, leaf with leaf.
+    # Cells that still hold several groups, by the tree.
     rest = shared.join(groups, "node", "left").select("cell", "node", F.coalesce("comp", "node").alias("comp"))
-    several = rest.groupBy("cell").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("cell")
-    rest = rest.join(several, "cell").join(points.select("node", "n", "counts"), "node")
+    apart = rest.groupBy("cell").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("cell")
+    rest = rest.join(apart, "cell").join(points.select("node", "n", "counts", "fine"), "node")
     # Counts sort by their bytes, so by one coordinate after the other.
     order = ["cell", "comp", "n", "counts", "node"]
     rest = rest.repartitionByRange(*order).sortWithinPartitions(*order)
-    leaves = stages.keep("leaves", rest.select("cell", "node", "comp", "n", "counts").mapInArrow(_leaves, _LEAF_FIELDS))
-    other = leaves.select(F.col("cell").alias("cell_b"), *[F.col(c).alias(f"{c}_b") for c in leaves.columns if c != "cell"])
-    met = leaves.join(other, (F.col("cell") == F.col("cell_b")) & (F.col("leaf") <= F.col("leaf_b")))
-    met = met.where("NOT (comp_low = comp_high AND comp_low_b = comp_high_b AND comp_low = comp_low_b)")
-    met = met.select("least_n", "least_n_b", *[f"{c}{s}" for c in ("nodes", "comps", "sizes", "points") for s in ("", "_b")])
-    pairs = met.mapInArrow(partial(_leaf_pairs, share=share), "a long, b long").where("a < b").distinct()
-    links = links.union(stages.keep("more", verified(bounded(pairs))))
+    leaves = stages.keep("leaves", rest.select("cell", "node", "comp", "n", "counts", "fine").mapInArrow(_leaves, _LEAF_FIELDS))
+    links = links.union(stages.keep("more", verified(stages.keep("candidates", _descended(stages, leaves, share)))))
     groups = components(stages, links, "all")
-    stages.drop("heads", "shared", "points", "leaves", "links", "others", "more", "texts")
+    stages.drop("heads", "shared", "held", "several", "two", "sized", "points", "leaves", "inner", "met", "candidates", "links", "others", "more", "texts")
 
     rooted = sets.join(groups, "node", "left").select("doc_id", "n", F.coalesce("comp", "node").alias("root"))
     least = rooted.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("component"))
@@ -335,7 +381,11 @@ def keep_one_of_each(docs: DataFrame, words: int = 5, share: tuple[int, int] = (
 
     Rows without doc_id stay; of several rows with one doc_id all stay when the doc_id does.
     """
-    joined = ngram_jaccard_join(docs, words, share)
-    gone = joined.where("component_id < doc_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    gone = Stages(docs.sparkSession).keep("gone", gone)
-    return docs.join(checked(gone), F.col("doc_id") == F.col("gone_id"), "left_anti")
+
+    def kept(docs: DataFrame) -> DataFrame:
+        joined = ngram_jaccard_join(docs, words, share)
+        gone = joined.where("component_id < doc_id").select(F.col("doc_id").alias("gone_id")).distinct()
+        gone = Stages(docs.sparkSession).keep("gone", gone)
+        return docs.join(checked(gone), F.col("doc_id").cast("long") == F.col("gone_id"), "left_anti")
+
+    return with_neutral_names(docs, ("doc_id", "text"), kept)

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import Stages, blocks, span_hashes
+from claimloom.llm.common import Stages, blocks, span_digests
 
 SEQUENCE = 1024
 OPEN_WINDOWS = 32
@@ -37,7 +37,7 @@ def default_vocabulary() -> str:
 class WordTokenizer:
     """Ids of a byte-level BPE vocabulary, by a cache of pre-tokenised words.
 
-    Words are found over the bytes of many texts at once and looked up by 64-bit hash; only words not in the cache are given to the
+    Words are found over the bytes of many texts at once and looked up by 128-bit digest; only words not in the cache are given to the
     tokenizer. Texts in which the words can't be told by character class alone (contractions, white space or characters beyond
     the table, special tokens) are given to it whole.
     """
@@ -65,6 +65,7 @@ class WordTokenizer:
 
     def clear(self):
         self.keys = np.zeros(self.SLOTS, np.uint64)
+        self.checks = np.zeros(self.SLOTS, np.uint64)
         self.place = np.zeros(self.SLOTS, np.int64)  # first << 16 | count
         self.pool = np.zeros(self.POOL, np.uint32)
         self.used = 0
@@ -116,14 +117,16 @@ class WordTokenizer:
         if whole.any():
             plain = ~whole[doc]
             starts, ends, doc = starts[plain], ends[plain], doc[plain]
-        name = span_hashes(data, starts, ends)
+        name, check = span_digests(data, starts, ends, 1), span_digests(data, starts, ends, 2)
         slot = (name & np.uint64(self.SLOTS - 1)).astype(np.int64)
         place = self.place[slot]
-        missed = np.flatnonzero((self.keys[slot] != name) | (place == 0))
+        missed = np.flatnonzero((self.keys[slot] != name) | (self.checks[slot] != check) | (place == 0))
         first, count = place >> 16, place & 0xFFFF
         if len(missed):
-            _, at, back = np.unique(name[missed], return_index=True, return_inverse=True)
-            at = missed[at]
+            order = np.lexsort((check[missed], name[missed]))
+            new = np.append(True, np.diff(name[missed[order]]).astype(bool) | np.diff(check[missed[order]]).astype(bool))
+            at, back = missed[order[new]], np.empty(len(missed), np.int64)
+            back[order] = np.cumsum(new) - 1
             raw = data.tobytes()
             words = [raw[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
             found = [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
@@ -146,7 +149,8 @@ class WordTokenizer:
             self.used += int(sizes.sum())
             first[missed], count[missed] = begin[back], sizes[back]
             brief = np.flatnonzero(sizes < 1 << 16)  # longer words are encoded anew each time
-            self.keys[slot[at[brief]]], self.place[slot[at[brief]]] = name[at[brief]], begin[brief] << 16 | sizes[brief]
+            own = slot[at[brief]]
+            self.keys[own], self.checks[own], self.place[own] = name[at[brief]], check[at[brief]], begin[brief] << 16 | sizes[brief]
         sizes = np.bincount(doc, count, rows).astype(np.int64)
         ids = self.pool[_spread(first, count)]
         if not whole.any():

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimloom.llm.chunking import chunk_cuts
-from claimloom.llm.common import SPACE, Stages, blocks, runs, span_hashes
+from claimloom.llm.common import SPACE, Stages, blocks, runs, span_digests, with_neutral_names
 
 LEAST, BITS, MOST = 24, 5, 256
 #: Words in the whole chunks of a run. A passage of 50 words loses at most about half of them to the chunks at its ends.
@@ -30,8 +30,8 @@ def _chunks(batches):
         begun[first + 1] = 1
         begun = np.cumsum(begun)
         columns = {
-            "d1": span_hashes(data, starts, ends).view(np.int64),
-            "d2": span_hashes(data ^ np.uint8(0xA5), starts, ends).view(np.int64),
+            "d1": span_digests(data, starts, ends, 1).view(np.int64),
+            "d2": span_digests(data, starts, ends, 2).view(np.int64),
             "at": np.arange(len(starts)) - np.searchsorted(doc, doc),
             "start": starts - offsets[doc],
             "bytes": ends - starts,
@@ -85,10 +85,14 @@ def _cut(batches, names: list[str]):
 
 def cut_passages(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
     """`docs` with every passage cut from the texts except at its first document; all columns stay."""
-    spans = repeated_passages(docs, run_words).groupBy(F.col("doc_id").alias("__id"))
-    spans = spans.agg(F.collect_list(F.struct("start", "length")).alias("__spans"))
-    joined = docs.join(spans, F.col("doc_id").cast("long") == F.col("__id"), "left").drop("__id")
-    return joined.mapInArrow(partial(_cut, names=docs.columns), docs.schema)
+
+    def cut(docs: DataFrame) -> DataFrame:
+        spans = repeated_passages(docs, run_words).groupBy(F.col("doc_id").alias("__id"))
+        spans = spans.agg(F.collect_list(F.struct("start", "length")).alias("__spans"))
+        joined = docs.join(spans, F.col("doc_id").cast("long") == F.col("__id"), "left").drop("__id")
+        return joined.mapInArrow(partial(_cut, names=docs.columns), docs.schema)
+
+    return with_neutral_names(docs, ("doc_id", "text"), cut)
 
 
 def repeats_by_document(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import LOWER, SPACE, Stages, blocks, runs, salted, span_hashes
+from claimloom.llm.common import LOWER, SPACE, Stages, blocks, runs, salted, span_hashes, with_neutral_names
 from claimloom.llm.samples import fold, labelled_sample, logistic
 
 WINDOW, STRIDE = 32, 16
@@ -312,6 +312,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> dict
     sent = spark.sparkContext.broadcast(model)
     kind = "doc_id long, label int, a double, b double, c double, d double"
     found = pd.concat(half.mapInArrow(partial(_features, model=sent, odds=shared[h]), kind).toPandas() for h, half in enumerate(halves)).sort_values("doc_id")
+    for one in (*shared, sent):
+        one.destroy()
     y = found["label"].to_numpy(float)
     weight = np.where(y == 1, counts[1] / (y == 1).sum(), counts[0] / (y == 0).sum()) * len(y) / (counts[0] + counts[1])
     return {"model": model, "odds": odds, "layer": logistic(found[["a", "b", "c", "d"]].to_numpy(), y, weight)}
@@ -342,5 +344,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> Data
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Rows of `docs` whose score is below the threshold, with all columns."""
-    scored = toxicity_scores(docs, labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").alias("label")))
-    return scored.where(F.col("__score") < threshold).drop("__score")
+    labels = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").alias("label"))
+
+    def kept(docs: DataFrame) -> DataFrame:
+        return toxicity_scores(docs, labels).where(F.col("__score") < threshold).drop("__score")
+
+    return with_neutral_names(docs, ("doc_id", "text"), kept)

@@ -2,7 +2,10 @@ import pytest
 
 SMALL = "/root/testdata/sf0.001"
 #: Columns whose names the operators use inside.
-EXTRA = ("node", "cell", "row", "score", "size", "bucket", "label", "key")
+EXTRA = (
+    "node", "cell", "row", "score", "size", "bucket", "label", "key", "gone_id", "__gone", "__key", "__rows", "__more", "__score", "__size", "__copy",
+    "__id", "__number", "__spans", "carried column 5",
+)
 
 
 @pytest.fixture(scope="session")
@@ -10,7 +13,7 @@ def frame(spark):
     """Documents from (doc_id, text, lang, source), with columns of clashing names."""
 
     def build(rows):
-        schema = "doc_id long, text string, lang string, source string, " + ", ".join(f"{x} string" for x in EXTRA)
+        schema = "doc_id long, text string, lang string, source string, " + ", ".join(f"`{x}` string" for x in EXTRA)
         return spark.createDataFrame([(*r, *["x"] * len(EXTRA)) for r in rows], schema)
 
     return build
