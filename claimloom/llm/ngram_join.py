@@ -1,6 +1,6 @@
 """N-gram Jaccard join: all pairs of texts whose shingle sets are similar, and the groups they form.
 
-A set is a point of 64 group counts: shingles are hashed to groups. The sum of coordinate minima of two points (or
+A set is a point of group counts: shingles are hashed to groups. The sum of coordinate minima of two points (or
 of the upper corners of two boxes) bounds the overlap of the sets (or of any two sets in the boxes). Points are
 held by a packed tree:
 
@@ -10,9 +10,9 @@ held by a packed tree:
    fill too few slices to be sure of a common one. Of cells with the same sets one is kept; a cell of two sets is a pair of its own.
 3. Inner boxes and leaves. The points of a cell are sorted by group, size and coordinates and packed in leaves, and `FANOUT` leaves in an
    inner box. Pairs of inner boxes are bounded, then pairs of leaves below those that are left.
-4. Points, first by their 64 counts. These say little of a large set, whose counts are all much alike, so the same bound is then
-   taken on finer points: groups in a power of two, 2 to 4 shingles to a group, halved to those of the smaller set. Only pairs that pass
-   leave the task.
+4. Points. Boxes have 64 coordinates, which say little of a large set, whose counts are all much alike. So the coordinates of a point grow
+   with its set: groups in a power of two, 64 or more, 4 to 8 shingles to a group, and with another point both are folded to the fewer.
+   Only pairs of points whose bound suffices leave the task, and are bounded once more on points of 2 to 4 shingles to a group.
 
 Before the descent each set is compared with the least of one cell and then with those of its other cells from which it is
 still apart (linear in the cells). Boxes that lie in one connected group go: no pair inside such a group is
@@ -117,7 +117,7 @@ def _sets(batches, words: int, share: tuple[int, int], salt: int):
 
 
 def _points(batches, words: int, salt: int):
-    """(node, n, shingles, counts, fine): the sets themselves and their group counts."""
+    """(node, n, shingles, point, fine): the sets themselves and their group counts, few and many."""
     seen = set()
     for _, data, offsets in blocks(batches):
         doc, value = shingles(data, offsets, words)
@@ -127,22 +127,20 @@ def _points(batches, words: int, salt: int):
         if not fresh:
             continue
         own = [value[ends[r] - size[r] : ends[r]] for r in fresh]
-        counts = [np.bincount((x >> np.uint64(26)).astype(np.int64) % GROUPS, minlength=GROUPS).astype(np.int32) for x in own]
         columns = [pa.array(node[fresh]), pa.array(size[fresh].astype(np.int64)), lists(size[fresh], np.concatenate(own).view(np.int64))]
-        full = [x.astype(np.uint8 if x.max() < 256 else "<i4").tobytes() for x in counts]
-        columns += [pa.array(full, pa.binary()), pa.array([fine_counts(x) for x in own], pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, ["node", "n", "shingles", "counts", "fine"])
+        columns += [pa.array([group_counts(x, per, least) for x in own], pa.binary()) for per, least in ((8, 6), (4, 4))]
+        yield pa.RecordBatch.from_arrays(columns, ["node", "n", "shingles", "point", "fine"])
 
 
-def fine_counts(value: np.ndarray) -> bytes | None:
+def group_counts(value: np.ndarray, per_group: int = 4, least_bits: int = 4) -> bytes | None:
     """Counts of a set in a power of two of groups, one byte each; None where one does not fit."""
-    bits = max(4, (len(value) // 4).bit_length())
+    bits = max(least_bits, (len(value) // per_group).bit_length())
     counts = np.bincount((value >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
     return counts.astype(np.uint8).tobytes() if counts.max() < 256 else None
 
 
 def overlap_bounds(a: pa.Array, b: pa.Array) -> np.ndarray:
-    """Sum of coordinate minima of each two fine points; both lists hold points of one length each."""
+    """Sum of coordinate minima of each two points; both lists hold points of one length each."""
 
     def matrix(points: pa.Array) -> np.ndarray:
         return np.frombuffer(b"".join(points.to_pylist()), np.uint8).reshape(len(points), -1)
@@ -153,13 +151,19 @@ def overlap_bounds(a: pa.Array, b: pa.Array) -> np.ndarray:
     return np.minimum(x, y).sum(1, dtype=np.int64)
 
 
-def _coordinates(blob: bytes, rows: int) -> np.ndarray:
-    """Counts of several sets: one byte each, or four where a set has larger ones."""
-    return np.frombuffer(blob, np.uint8 if len(blob) == GROUPS * rows else "<i4").reshape(rows, GROUPS)
+def _coordinates(points: list[bytes | None], sizes: np.ndarray) -> np.ndarray:
+    """Points folded to 64 coordinates; a set without one may have all its shingles in any group."""
+    out = np.repeat(sizes[:, None], GROUPS, 1)
+    length = np.array([len(x) if x else 0 for x in points])
+    for one in np.unique(length[length > 0]):
+        rows = np.flatnonzero(length == one)
+        blob = np.frombuffer(b"".join(points[i] for i in rows), np.uint8)
+        out[rows] = blob.reshape(len(rows), GROUPS, -1).sum(2, dtype=np.int64)
+    return out
 
 
 def _reaches(a: pa.Array, b: pa.Array, sizes: np.ndarray, share: tuple[int, int]) -> np.ndarray:
-    """Whether the bound on fine counts reaches the needed overlap of sets with these sizes in sum; True where a set has no fine counts."""
+    """Whether the bound on points reaches the needed overlap of sets with these sizes in sum; True where a set has no point."""
     num, den = share
     keep = np.ones(len(a), bool)
     lengths = [pc.fill_null(pc.binary_length(x), 0).to_numpy(False).astype(np.int64) for x in (a, b)]
@@ -175,7 +179,7 @@ def _reaches(a: pa.Array, b: pa.Array, sizes: np.ndarray, share: tuple[int, int]
 
 
 def _bounded(batches, share: tuple[int, int]):
-    """Pairs (a, b, n_a, n_b, fine_a, fine_b) whose bound reaches the needed overlap; those without fine counts pass."""
+    """Pairs (a, b, n_a, n_b, point_a, point_b) whose bound reaches the needed overlap."""
     for batch in batches:
         keep = _reaches(batch.column(4), batch.column(5), batch.column(2).to_numpy() + batch.column(3).to_numpy(), share)
         yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(keep)) for k in (0, 1)], ["a", "b"])
@@ -183,17 +187,17 @@ def _bounded(batches, share: tuple[int, int]):
 
 _LEAF = {
     "cell": pa.int64(), "inner": pa.int64(), "leaf": pa.int64(), "least_n": pa.int64(), "comp_low": pa.int64(), "comp_high": pa.int64(), "box": pa.list_(pa.int64()),
-    "nodes": pa.list_(pa.int64()), "comps": pa.list_(pa.int64()), "sizes": pa.list_(pa.int64()), "points": pa.binary(), "fines": pa.list_(pa.binary()),
+    "nodes": pa.list_(pa.int64()), "comps": pa.list_(pa.int64()), "sizes": pa.list_(pa.int64()), "points": pa.list_(pa.binary()),
 }
 _LEAF_FIELDS = (
     "cell long, inner long, leaf long, least_n long, comp_low long, comp_high long, box array<long>, "
-    "nodes array<long>, comps array<long>, sizes array<long>, points binary, fines array<binary>"
+    "nodes array<long>, comps array<long>, sizes array<long>, points array<binary>"
 )
-_HELD = ("nodes", "comps", "sizes", "points", "fines")
+_HELD = ("nodes", "comps", "sizes", "points")
 
 
 def _leaves(batches):
-    """Packs consecutive rows of a cell (cell, comp, n, node, counts, fine), which come sorted, into leaves, and tells the inner box of each."""
+    """Packs consecutive rows of a cell (cell, comp, n, node, point), which come sorted, into leaves, and tells the inner box of each."""
     last_cell, number, inner = None, 0, 0
 
     def packed(rows: pa.Table):
@@ -207,13 +211,11 @@ def _leaves(batches):
                 number = 0 if cell[at] != last_cell else number + 1
                 last_cell = cell[at]
                 inner = int(nodes[0]) if number % FANOUT == 0 else inner
-                raw = part["counts"].to_pylist()
-                brief = all(len(x) == GROUPS for x in raw)
-                points = b"".join(x if brief else _coordinates(x, 1).astype("<i4").tobytes() for x in raw)
+                points = part["point"].to_pylist()
                 yield {
                     "cell": int(cell[at]), "inner": inner, "leaf": int(nodes[0]), "least_n": int(sizes.min()),
-                    "comp_low": int(comps.min()), "comp_high": int(comps.max()), "box": _coordinates(points, len(nodes)).max(0).tolist(),
-                    "nodes": nodes.tolist(), "comps": comps.tolist(), "sizes": sizes.tolist(), "points": points, "fines": part["fine"].to_pylist(),
+                    "comp_low": int(comps.min()), "comp_high": int(comps.max()), "box": _coordinates(points, sizes).max(0).tolist(),
+                    "nodes": nodes.tolist(), "comps": comps.tolist(), "sizes": sizes.tolist(), "points": points,
                 }
 
     schema = pa.schema(list(_LEAF.items()))
@@ -233,11 +235,11 @@ def _leaves(batches):
 
 
 def _leaf_pairs(batches, share: tuple[int, int]):
-    """Pairs of points of two leaves that lie in different groups and whose bounds, coarse and fine, reach the needed overlap."""
+    """Pairs of points of two leaves that lie in different groups and whose bound reaches the needed overlap, first on 64 coordinates."""
     num, den = share
     for batch in batches:
         for row in batch.to_pylist():
-            a, b = _coordinates(row["points"], len(row["nodes"])), _coordinates(row["points_b"], len(row["nodes_b"]))
+            a, b = (_coordinates(row[f"points{side}"], np.array(row[f"sizes{side}"])) for side in ("", "_b"))
             sizes = np.array(row["sizes"])[:, None] + np.array(row["sizes_b"])[None, :]
             apart = np.array(row["comps"])[:, None] != np.array(row["comps_b"])[None, :]
             bound = np.empty(sizes.shape, np.int64)
@@ -246,8 +248,8 @@ def _leaf_pairs(batches, share: tuple[int, int]):
             i, j = np.nonzero(apart & (bound * (den + num) >= num * sizes))
             if not len(i):
                 continue
-            fines = [pa.array(row[c], pa.binary()).take(pa.array(k)) for c, k in (("fines", i), ("fines_b", j))]
-            keep = _reaches(*fines, sizes[i, j], share)
+            points = [pa.array(row[c], pa.binary()).take(pa.array(k)) for c, k in (("points", i), ("points_b", j))]
+            keep = _reaches(*points, sizes[i, j], share)
             x, y = np.array(row["nodes"], np.int64)[i[keep]], np.array(row["nodes_b"], np.int64)[j[keep]]
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
 
@@ -305,9 +307,11 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, share: tuple[int, int] =
             break
 
     # Sets that share a cell with another set. Hot cells are folded map-side and joined back, and the join can be split there.
-    named = sets.where("cells IS NOT NULL").select(F.explode("cells").alias("cell"), "node", "n")
+    named, wide = sets.select(F.explode("cells").alias("cell"), "node", "n"), f"sets-{salt}"
+    sets = stages.keep("sets", sets.select("doc_id", "n", "node"))
     heads = named.groupBy("cell").agg(F.min("node").alias("head"), F.max("node").alias("tail")).where("head < tail")
     shared = stages.keep("shared", named.join(stages.keep("heads", heads.select("cell")), "cell").distinct())
+    stages.drop("heads", wide)
     # Which sets a cell holds, as a number of them and two digests; each set counts once.
     digests = [F.bit_xor(F.xxhash64(F.lit(seed), "node")).alias(name) for seed, name in ((1, "x"), (2, "y"))]
     held = stages.keep("held", shared.groupBy("cell").agg(F.count("node").alias("sets"), F.min("node").alias("head"), F.max("node").alias("tail"), *digests))
@@ -316,13 +320,14 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, share: tuple[int, int] =
     shared = stages.keep("several", shared.join(large.select("cell", "head"), "cell"))
 
     two = stages.keep("two", two)
+    stages.drop("held", "shared")
     nodes = shared.select("node").union(two.select("a")).union(two.select("b")).distinct()
     texts = sets.where("doc_id IS NOT NULL").join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     texts = stages.keep("texts", texts.select("doc_id").distinct())
     points = docs.join(checked(texts), "doc_id", "left_semi").mapInArrow(
-        partial(_points, words=words, salt=salt), "node long, n long, shingles array<long>, counts binary, fine binary"
+        partial(_points, words=words, salt=salt), "node long, n long, shingles array<long>, point binary, fine binary"
     )
-    points = points.groupBy("node").agg(*[F.any_value(c).alias(c) for c in ("n", "shingles", "counts", "fine")])
+    points = points.groupBy("node").agg(*[F.any_value(c).alias(c) for c in ("n", "shingles", "point", "fine")])
     points = stages.keep("points", points)
 
     def of(side: str, *names: str) -> DataFrame:
@@ -333,17 +338,19 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, share: tuple[int, int] =
         both = both.select("a", "b", F.size(F.array_intersect("shingles_a", "shingles_b")).cast("long").alias("common"), "n_a", "n_b")
         return both.where(f"{den} * common >= {num} * (n_a + n_b - common)").select("a", "b")
 
-    def bounded(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(of("b", "n", "fine"), "b").join(of("a", "n", "fine"), "a")
-        both = both.select("a", "b", "n_a", "n_b", "fine_a", "fine_b")
-        return both.mapInArrow(partial(_bounded, share=share), "a long, b long")
+    def bounded(pairs: DataFrame, *kinds: str) -> DataFrame:
+        for kind in kinds:
+            both = pairs.join(of("b", "n", kind), "b").join(of("a", "n", kind), "a")
+            both = both.select("a", "b", "n_a", "n_b", f"{kind}_a", f"{kind}_b")
+            pairs = both.mapInArrow(partial(_bounded, share=share), "a long, b long")
+        return pairs
 
     # Two sets of very different sizes are not similar, so a head is of use only to sets of about its size.
     fits = f"{den} * least(n, n_head) >= {num} * greatest(n, n_head)"
     heads = stages.keep("sized", shared.where("node > head").join(of("head", "n"), "head").where(fits).select("head", "node"))
     # Each set with the least head of all its cells: one pair of each, which connects most of a group of copies.
     nearest = heads.groupBy(F.col("node").alias("b")).agg(F.min("head").alias("a")).select("a", "b")
-    links = stages.keep("links", verified(bounded(nearest.union(two).distinct())))
+    links = stages.keep("links", verified(bounded(nearest.union(two).distinct(), "fine")))
     groups = components(stages, links, "groups")
 
     # Each set with the other heads of its cells, as far as they are not connected yet.
@@ -353,20 +360,24 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, share: tuple[int, int] =
     starred = heads.select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
     starred = starred.join(nearest, ["a", "b"], "left_anti").join(comp_of("a"), "a", "left").join(comp_of("b"), "b", "left")
     starred = starred.where("NOT coalesce(comp_a = comp_b, false)").select("a", "b")
-    links = links.union(stages.keep("others", verified(bounded(starred))))
+    links = links.union(stages.keep("others", verified(bounded(starred, "point", "fine"))))
+    stages.drop("sized", "two")
     groups = components(stages, links, "starred")
 
     # Cells that still hold several groups, by the tree.
     rest = shared.join(groups, "node", "left").select("cell", "node", F.coalesce("comp", "node").alias("comp"))
     apart = rest.groupBy("cell").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("cell")
-    rest = rest.join(apart, "cell").join(points.select("node", "n", "counts", "fine"), "node")
-    # Counts sort by their bytes, so by one coordinate after the other.
-    order = ["cell", "comp", "n", "counts", "node"]
+    rest = rest.join(apart, "cell").join(points.select("node", "n", "point"), "node")
+    # Points sort by their bytes, so by one coordinate after the other.
+    order = ["cell", "comp", "n", "point", "node"]
     rest = rest.repartitionByRange(*order).sortWithinPartitions(*order)
-    leaves = stages.keep("leaves", rest.select("cell", "node", "comp", "n", "counts", "fine").mapInArrow(_leaves, _LEAF_FIELDS))
-    links = links.union(stages.keep("more", verified(stages.keep("candidates", _descended(stages, leaves, share)))))
+    leaves = stages.keep("leaves", rest.select("cell", "node", "comp", "n", "point").mapInArrow(_leaves, _LEAF_FIELDS))
+    stages.drop("several")
+    candidates = stages.keep("candidates", _descended(stages, leaves, share))
+    stages.drop("leaves", "inner", "met")
+    links = links.union(stages.keep("more", verified(bounded(candidates, "fine"))))
     groups = components(stages, links, "all")
-    stages.drop("heads", "shared", "held", "several", "two", "sized", "points", "leaves", "inner", "met", "candidates", "links", "others", "more", "texts")
+    stages.drop("points", "candidates", "links", "others", "more", "texts")
 
     rooted = sets.join(groups, "node", "left").select("doc_id", "n", F.coalesce("comp", "node").alias("root"))
     least = rooted.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("component"))
@@ -389,3 +400,28 @@ def keep_one_of_each(docs: DataFrame, words: int = 5, share: tuple[int, int] = (
         return docs.join(checked(gone), F.col("doc_id").cast("long") == F.col("gone_id"), "left_anti")
 
     return with_neutral_names(docs, ("doc_id", "text"), kept)
+
+
+JOIN_SQL = r"""
+    WITH RECURSIVE docs AS (
+        SELECT row_number() OVER () AS r, doc_id,
+               list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                 '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+        FROM documents
+    ), sets AS (
+        SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                               ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS own
+        FROM docs
+    ), held AS (
+        SELECT r, len(own) AS n, unnest(own) AS shingle FROM sets
+    ), links AS (
+        SELECT a.r AS a, b.r AS b FROM held a JOIN held b ON a.shingle = b.shingle AND a.r < b.r
+        GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+    ), steps AS (
+        SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+    ), reached(a, b) AS (
+        SELECT r, r FROM docs UNION SELECT reached.a, steps.b FROM reached JOIN steps ON reached.b = steps.a
+    )
+    SELECT s.doc_id, len(s.own) AS n_shingles, c.component_id
+    FROM sets s JOIN (SELECT a, min(doc_id) AS component_id FROM reached JOIN sets ON sets.r = reached.b GROUP BY a) c ON c.a = s.r
+"""

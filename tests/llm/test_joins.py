@@ -10,9 +10,9 @@ import pytest
 
 from claimloom.llm import ngram_join
 from claimloom.llm.chunking import WINDOW, chunk_cuts, gear_hashes
-from claimloom.llm.embedding_join import embedding_near_dedup
+from claimloom.llm.embedding_join import codes, embedding_near_dedup, met, plan
 from claimloom.llm.exact_dedup import drop_copies, exact_dedup
-from claimloom.llm.ngram_join import fine_counts, keep_one_of_each, ngram_jaccard_join, overlap_bounds
+from claimloom.llm.ngram_join import group_counts, keep_one_of_each, ngram_jaccard_join, overlap_bounds
 from claimloom.llm.substring_dedup import cut_passages, repeats_by_document
 
 SPACES = re.compile("[\x20\x09-\x0d]+")
@@ -152,13 +152,42 @@ def test_embedding_join(spark):
     assert embedding_near_dedup(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+@pytest.mark.parametrize(("vectors", "hashes"), [(500, 2), (1_000_000, 3), (50_000_000_000, 5)])
+def test_tables_are_planned_for_the_recall_wanted(vectors, hashes):
+    """At the threshold itself; measured on other pairs than those that the plan looks at."""
+    found, tables = plan(vectors, 64, 0.9)
+    assert found == hashes
+    rng = np.random.default_rng(99)
+    a, other = (x / np.linalg.norm(x, axis=1, keepdims=True) for x in rng.standard_normal((2, 300, 64)))
+    other -= (a * other).sum(1, keepdims=True) * a
+    b = 0.9 * a + np.sqrt(0.19) * other / np.linalg.norm(other, axis=1, keepdims=True)
+    seen = met(codes(a, tables, found, 3), codes(b, tables, found, 3)).any(1).mean()
+    assert seen >= 0.95
+    apart = met(codes(a, tables, found, 3), codes(a[::-1].copy(), tables, found, 3))
+    assert apart.mean() < 0.01  # vectors that are not near hardly meet
+
+
+def test_work_of_a_vector_does_not_grow_with_their_number():
+    """Vectors without near ones: the share of all pairs that meet in a bucket falls as they become more."""
+    rng = np.random.default_rng(8)
+    shares = []
+    for n in (2_000, 40_000):
+        unit = rng.standard_normal((n, 16))
+        unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+        hashes, tables = plan(n, 16, 0.9)
+        code = codes(unit, 4, hashes, 3)
+        pairs = sum((np.unique(code[:, t, 0], return_counts=True)[1] ** 2).sum() for t in range(4))
+        shares.append(pairs * tables / 4 / n**2)
+    assert shares[1] < 0.5 * shares[0]
+
+
 def test_finer_points_bound_the_overlap_from_above():
     rng = np.random.default_rng(5)
     for n, m, common in [(1, 1, 1), (40, 45, 38), (700, 900, 0), (2000, 4100, 1500), (5000, 5000, 4999)]:
         values = rng.permutation(np.unique(rng.integers(0, 1 << 63, n + m, dtype=np.uint64) * np.uint64(2)))[: n + m - common]
         a, b = values[:n], values[n - common : n - common + m]
-        bound = overlap_bounds(pa.array([fine_counts(a)]), pa.array([fine_counts(b)]))[0]
+        bound = overlap_bounds(pa.array([group_counts(a)]), pa.array([group_counts(b)]))[0]
         assert common <= bound <= min(n, m)
         if n > 500 and common == 0:
             assert bound < 0.889 * n
-    assert fine_counts(np.arange(5000, dtype=np.uint64)) is None  # one group holds all: no byte holds the count
+    assert group_counts(np.arange(5000, dtype=np.uint64)) is None  # one group holds all: no byte holds the count
