@@ -51,7 +51,7 @@ def repeated_passages(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
     stages = Stages(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id IS NOT NULL")
     fields = ["doc_id", "d1", "d2", "at", "start", "bytes", "words"]
-    chunks = docs.mapInArrow(_chunks, ", ".join(f"{x} long" for x in fields))
+    chunks = stages.keep("chunks", docs.mapInArrow(_chunks, ", ".join(f"{x} long" for x in fields)))
     several = chunks.groupBy("d1", "d2").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
     several = several.where("first_id < last_id").select("d1", "d2", "first_id")
     repeats = chunks.join(several, ["d1", "d2"]).where("doc_id > first_id")
