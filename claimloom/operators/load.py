@@ -47,12 +47,18 @@ def read_star(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The tables of the version published under `root`, with declared schemas. The pointer is resolved once, so all
     tables are of one load, and stay so when another is published meanwhile. Without a pointer, as below a
     `parquet_sink`, they are read from `root` itself."""
+    return _tables(spark, table_folders(spark, root))
+
+
+def table_folders(spark: SparkSession, root: str) -> dict[str, str]:
+    """Where the tables of the published version lie, or of `root` itself where none is published."""
     version = snapshots.published(spark, root)
-    return _tables(spark, root if version is None else snapshots.folder_of(root, version))
+    folder = root if version is None else snapshots.folder_of(root, version)
+    return {name: f"{folder}/{name}" for name in LOAD_ORDER}
 
 
-def _tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {name: spark.read.schema(STAR[name]).parquet(f"{folder}/{name}") for name in LOAD_ORDER}
+def _tables(spark: SparkSession, folders: dict[str, str]) -> dict[str, DataFrame]:
+    return {name: spark.read.schema(STAR[name]).parquet(folder) for name, folder in folders.items()}
 
 
 def register_views(star: dict[str, DataFrame]) -> None:
@@ -84,7 +90,7 @@ def load_star(
     keep = parquet_sink(folder)
     for name in LOAD_ORDER:
         keep(tables[name], name)
-    stored = _tables(spark, folder)
+    stored = _tables(spark, {name: f"{folder}/{name}" for name in LOAD_ORDER})
     rows = {name: stored[name].count() for name in LOAD_ORDER}
     snapshots.publish(spark, root, version)
     snapshots.prune(spark, root, max(1, keep_versions))

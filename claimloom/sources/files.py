@@ -3,8 +3,9 @@
 import hashlib
 import re
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import date
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 
 from claimloom.functions.columns import date_of
 from claimloom.schema import RAW_CLAIMS
+from claimloom.sources import csv_records
 
 # Same dialect both ways: quotes are doubled, surrounding spaces are data, an empty field is NULL, and `""` is the empty text.
 CSV_DIALECT = {
@@ -25,12 +27,38 @@ CORRUPT = "corrupt_record"
 NO_TEXT = "\x00NULL"
 
 
+_WRITTEN = T.StructType([T.StructField(name, T.StringType()) for name in [*RAW_CLAIMS.names, CORRUPT]])
+
+
 def _records(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
     """All fields as text, and the whole record where it has too few or too many fields."""
-    written = T.StructType([T.StructField(name, T.StringType()) for name in [*RAW_CLAIMS.names, CORRUPT]])
     options = {**CSV_DIALECT, "mode": "PERMISSIVE", "multiLine": multi_line, "columnNameOfCorruptRecord": CORRUPT, "nullValue": NO_TEXT}
+    if multi_line and _largest_file(spark, path) > _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")):
+        # The CSV reader takes a file whole when it may hold line breaks, so larger files are cut into records first.
+        lines = _kept(csv_records.read_lines(spark, path))
+        found = csv_records.records(lines, _kept(csv_records.split_states(lines)))
+        fields = ", ".join(f"{name} STRING" for name in _WRITTEN.names)
+        parsed = F.from_csv("record", fields, {name: str(value) for name, value in options.items() if name != "header"})
+        return found.select(parsed.alias("fields")).select("fields.*")
     # All columns are parsed whatever is selected, as fields can only be counted then.
-    return spark.read.schema(written).options(**options, columnPruning=False).csv(path)
+    return spark.read.schema(_WRITTEN).options(**options, columnPruning=False).csv(path)
+
+
+def _kept(df: DataFrame) -> DataFrame:
+    """Stored in the shared folder and read back."""
+    path = shared_dir(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _bytes(size: str) -> int:
+    """A number of bytes as Spark's settings have it: 134217728b, 128m, ..."""
+    number, unit = re.fullmatch(r"(\d+)([kmgtp]?)b?", size.strip().lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
+
+
+def _largest_file(spark: SparkSession, text: str) -> int:
+    return max((status.getLen() for status in _walk(spark, text)), default=0)
 
 
 def _is_corrupt(null: str) -> str:
@@ -46,20 +74,36 @@ def _typed(field: T.StructField) -> Column:
     return value.try_cast(field.dataType).alias(field.name)
 
 
+class CsvClaims(NamedTuple):
+    """Claims, and the text of the records with too few or too many fields."""
+
+    claims: DataFrame
+    corrupt: DataFrame
+
+
+def csv_claims(spark: SparkSession, path: str, multi_line: bool = True) -> CsvClaims:
+    """Claims and corrupt records of one parse, which is stored in the shared folder."""
+    return _parted(_kept(_records(spark, path, multi_line)))
+
+
+def _parted(parsed: DataFrame) -> CsvClaims:
+    return CsvClaims(parsed.where(_is_corrupt("NULL")).select(*[_typed(f) for f in RAW_CLAIMS]), parsed.where(_is_corrupt("NOT NULL")).select(CORRUPT))
+
+
 def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Raw claims from the records with the right number of fields; `corrupt_records` has the others.
+    """Raw claims from the records with the right number of fields; `csv_claims` has the others too.
 
     A malformed number becomes NULL and is caught by the checks. Whole numbers may be written with decimals (`30.0`),
-    as exports of columns with gaps do; a fraction of a day is malformed. `multi_line` accepts line breaks inside
-    quotes; a file is then one task, so large inputs should come as many files. Without it files are split, and
-    records with line breaks are corrupt.
+    as exports of columns with gaps do; a fraction of a day is malformed. `multi_line` accepts line breaks inside quotes: where
+    a file is larger than a split (`spark.sql.files.maxPartitionBytes`), its lines are stored once and records put together
+    from all splits side by side (`csv_records`). Without it records with line breaks are corrupt.
     """
-    return _records(spark, path, multi_line).where(_is_corrupt("NULL")).select(*[_typed(f) for f in RAW_CLAIMS])
+    return _parted(_records(spark, path, multi_line)).claims
 
 
 def corrupt_records(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Text of the records that `read_csv` leaves out."""
-    return _records(spark, path, multi_line).where(_is_corrupt("NOT NULL")).select(CORRUPT)
+    return _parted(_records(spark, path, multi_line)).corrupt
 
 
 def write_csv(claims: DataFrame, path: str, multi_line: bool = True) -> None:
@@ -190,16 +234,18 @@ def read_small(spark: SparkSession, text: str) -> str | None:
         source.close()
 
 
+def _walk(spark: SparkSession, text: str) -> Iterator:
+    """Status of every file below a path."""
+    path, fs = _path(spark, text)
+    if fs.exists(path):
+        walk = fs.listFiles(path, True)
+        while walk.hasNext():
+            yield walk.next()
+
+
 def fingerprint(spark: SparkSession, *paths: str) -> str:
     """Changes when a file below the paths is added, removed or written anew: hash of names, lengths and times."""
-    found = []
-    for text in paths:
-        path, fs = _path(spark, text)
-        if fs.exists(path):
-            walk = fs.listFiles(path, True)
-            while walk.hasNext():
-                status = walk.next()
-                found.append(f"{status.getPath()} {status.getLen()} {status.getModificationTime()}")
+    found = [f"{status.getPath()} {status.getLen()} {status.getModificationTime()}" for text in paths for status in _walk(spark, text)]
     return hashlib.sha256("\n".join(sorted(found)).encode()).hexdigest()
 
 

@@ -6,6 +6,7 @@ The answers, reports and tables are stored below `--out`; the short ones are pri
 import argparse
 import json
 from datetime import datetime
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -34,7 +35,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--warehouse", choices=WAREHOUSES, help="also load the tables over JDBC")
     parser.add_argument("--connections", type=int, help="open connections while loading")
     parser.add_argument("--batch-rows", type=int, help="rows per insert")
-    parser.add_argument("--single-line", action="store_true", help="split CSV files; line breaks inside fields are corrupt then")
+    parser.add_argument("--single-line", action="store_true", help="take each line for a record; line breaks inside fields are corrupt then")
     parser.add_argument("--config", help="JSON file with the `database` or `snowflake` section")
     return parser.parse_args(argv)
 
@@ -54,15 +55,16 @@ def main(argv: list[str] | None = None) -> RunResult:
     if not files.has_data(spark, args.raw):
         raise FileNotFoundError(f"no raw claims at {args.raw}")
     connection = _connection(args)
+    parsed = cache(lambda: files.csv_claims(spark, args.raw, not args.single_line))
     result = run(
         spark,
-        lambda: files.read_csv(spark, args.raw, not args.single_line),
+        lambda: parsed().claims,
         args.out,
         run_date=args.date.date() if args.date else None,
         strict=not args.report_only,
         primary=jdbc_sink(connection) if connection else None,
         primary_rows=jdbc_rows(spark, connection) if connection else None,
-        corrupt=lambda: files.corrupt_records(spark, args.raw, not args.single_line),
+        corrupt=lambda: parsed().corrupt,
         resume=args.resume,
         source=f"{args.single_line} {files.fingerprint(spark, args.raw)}",
         amount_range=(args.least_amount, args.most_amount),

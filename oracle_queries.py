@@ -154,6 +154,13 @@ WAREHOUSE_QUESTION = """
     SELECT drug_class, claim_status, count(*) AS claims
     FROM fact_claims JOIN dim_drug USING (drug_key) GROUP BY drug_class, claim_status"""
 
+# Table names are filled in: those of the catalogue for Spark, the common table expressions for DuckDB.
+CATALOGUE_QUESTION = """
+    SELECT member_state, drug_class, "year", count(*) AS claims, min(plan_id) AS first_plan
+    FROM {fact_claims} JOIN {dim_provider} USING (provider_key) JOIN {dim_drug} USING (drug_key)
+    JOIN {dim_date} ON service_date = date_value
+    WHERE member_state < 'F' AND claim_status = 'PAID' GROUP BY member_state, drug_class, "year""""
+
 _AUDIT = _with(
     (*_STAR,),
     """
@@ -256,6 +263,7 @@ QUERIES: dict[str, str] = {
     "audit_counts": _AUDIT,
     "daily_run": _AUDIT,
     "warehouse_sql": _with(_STAR, WAREHOUSE_QUESTION),
+    "warehouse_catalogue": _with(_STAR, CATALOGUE_QUESTION.format(**{t: t for t in ("dim_drug", "dim_provider", "dim_date", "fact_claims")})),
     "days_supply_values": _with((RAW,), "SELECT DISTINCT days_supply FROM raw ORDER BY days_supply"),
     "claim_status_values": _with((RAW,), "SELECT DISTINCT claim_status FROM raw ORDER BY claim_status"),
     "dq_found_values": _with(
