@@ -7,8 +7,14 @@ compared by cosine in double precision, block by block inside the bucket; what l
 
 Equal vectors are folded to one first and count by their number. A pair that meets several times is counted at its first meeting only. Buckets
 are never cut: a large one is dealt to many tasks as pairs of its blocks.
+
+More hashes make smaller buckets, more tables find more pairs. `plan` takes as many hashes as keep an even bucket at `AIM` vectors, so
+the work of a vector does not grow with their number, and as many tables as find the share `RECALL` of pairs at the threshold, measured on
+random pairs with exactly that cosine. Nearer pairs are found more often.
 """
 
+import math
+
 from functools import partial
 
 import numpy as np
@@ -18,10 +24,13 @@ from pyspark.sql import functions as F
 
 from claimloom.llm.common import Stages, components, lists, salted
 
-TABLES = 10
-HASHES = 2
 PROBES = 3
 BLOCK = 256
+#: Vectors in a bucket if all were spread evenly.
+AIM = 16
+RECALL = 0.995
+#: Random pairs at the threshold on which tables are measured.
+TRIALS = 400
 
 
 def _rotated(x: np.ndarray, table: int, number: int) -> np.ndarray:
@@ -36,14 +45,14 @@ def _rotated(x: np.ndarray, table: int, number: int) -> np.ndarray:
     return x
 
 
-def codes(unit: np.ndarray, tables: int, hashes: int, probes: int) -> np.ndarray:
-    """(vectors, tables, 1 + probes) bucket codes; the first is the vector's own."""
+def codes(unit: np.ndarray, tables: int, hashes: int, probes: int, first: int = 0) -> np.ndarray:
+    """(vectors, tables, 1 + probes) bucket codes of the tables from `first` on; the first code is the vector's own."""
     width = 1 << max(0, (unit.shape[1] - 1).bit_length())
     padded = np.zeros((len(unit), width))
     padded[:, : unit.shape[1]] = unit
-    out = np.zeros((len(unit), tables, 1 + probes), np.int64)
+    out = np.zeros((len(unit), tables - first, 1 + probes), np.int64)
     rows = np.arange(len(unit))
-    for t in range(tables):
+    for t in range(first, tables):
         axes, losses = [], []
         for h in range(hashes):
             turned = _rotated(padded, t, h)
@@ -56,7 +65,7 @@ def codes(unit: np.ndarray, tables: int, hashes: int, probes: int) -> np.ndarray
         base = np.zeros(len(unit), np.int64)
         for a in axes:
             base = base * (2 * width) + a[:, 0]
-        out[:, t, 0] = base
+        out[:, t - first, 0] = base
         # One hash replaced by a later axis, least loss first.
         options = [(h, k) for h in range(hashes) for k in range(1, axes[0].shape[1])]
         if probes and options:
@@ -67,16 +76,48 @@ def codes(unit: np.ndarray, tables: int, hashes: int, probes: int) -> np.ndarray
                 code = np.zeros(len(unit), np.int64)
                 for j, a in enumerate(axes):
                     code = code * (2 * width) + np.where(h == j, a[rows, np.where(h == j, k, 0)], a[:, 0])
-                out[:, t, 1 + p] = code
+                out[:, t - first, 1 + p] = code
             for p in range(chosen.shape[1], probes):
-                out[:, t, 1 + p] = base
+                out[:, t - first, 1 + p] = base
         else:
-            out[:, t, 1:] = base[:, None]
+            out[:, t - first, 1:] = base[:, None]
     return out
 
 
-def _unit(column: pa.Array) -> np.ndarray:
-    vectors = np.array(column.to_pylist(), np.float64)
+def met(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """(pairs, tables): whether the own bucket of one is among the buckets of the other, from codes of both."""
+    return (a[:, :, :1] == b).any(2) | (b[:, :, :1] == a).any(2)
+
+
+def plan(vectors: int, width: int, share: float, probes: int = PROBES, recall: float = RECALL) -> tuple[int, int]:
+    """Hashes and tables for so many vectors of a width."""
+    axes = 2 << max(0, (width - 1).bit_length())
+    hashes = 2
+    while vectors > AIM * axes**hashes and axes ** (hashes + 1) < 1 << 62:
+        hashes += 1
+    rng = np.random.default_rng(width)
+    a, other = (x / np.linalg.norm(x, axis=1, keepdims=True) for x in rng.standard_normal((2, TRIALS, width)))
+    if width == 1:
+        return hashes, 1
+    other -= (a * other).sum(1, keepdims=True) * a
+    b = share * a + math.sqrt(max(0.0, 1 - share * share)) * other / np.linalg.norm(other, axis=1, keepdims=True)
+    found, tables = np.zeros(TRIALS, bool), 0
+    while found.mean() < recall and tables < 512:
+        first = tables
+        tables += 4
+        found |= met(codes(a, tables, hashes, probes, first), codes(b, tables, hashes, probes, first)).any(1)
+    return hashes, tables
+
+
+def _matrix(column: pa.ChunkedArray | pa.Array, rows: int) -> np.ndarray:
+    """Lists of one length as rows of a matrix."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(rows, -1)
+
+
+def _unit(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    vectors = _matrix(column, len(column)).astype(np.float64)
     return vectors / np.sqrt((vectors * vectors).sum(1, keepdims=True))
 
 
@@ -87,7 +128,7 @@ def _codes(batches, tables: int, hashes: int, probes: int):
             yield pa.RecordBatch.from_arrays([batch.column(0), lists(np.full(len(found), found.shape[1]), found.ravel())], ["node", "codes"])
 
 
-def _compare(batches, share: float, tables: int):
+def _compare(batches, share: float):
     """Links inside blocks: rows (place, side, node, uses, embedding, codes) come sorted by place; sides 0 and 1 are the two blocks, 2 both."""
     held: list[pa.RecordBatch] = []
 
@@ -96,7 +137,7 @@ def _compare(batches, share: float, tables: int):
         table, bucket = int(rows["tab"][0].as_py()), int(rows["bucket"][0].as_py())
         left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
         unit = _unit(rows["embedding"])
-        code = np.array(rows["codes"].to_pylist(), np.int64).reshape(len(node), tables, -1)
+        code = _matrix(rows["codes"], len(node)).reshape(len(node), table + 1, -1)  # of the tables up to this one
         gram = unit[left] @ unit[right].T
         i, j = np.nonzero(gram >= share)
         i, j = left[i], right[j]
@@ -152,13 +193,13 @@ def _compare(batches, share: float, tables: int):
 
 
 def embedding_near_dedup(
-    vectors: DataFrame, share: float = 0.9, tables: int = TABLES, hashes: int = HASHES, probes: int = PROBES, block: int = BLOCK
+    vectors: DataFrame, share: float = 0.9, tables: int | None = None, hashes: int | None = None, probes: int = PROBES, block: int = BLOCK
 ) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept.
 
     Vectors that are null, empty, zero, or hold null or non-finite components link with nothing; so do vectors of another width with one another,
     as each width is a case of its own. Rows that repeat a vec_id are vectors each; a null vec_id links like others, has a null component_id
-    only when nothing with an id is in its component, and is not kept. Reads only vec_id and embedding. An empty table gives an empty result.
+    only when nothing with an id is in its component, and is not kept. Reads only vec_id and embedding. An empty table gives an empty result. Hashes and tables are those of `plan` unless given.
     """
     stages = Stages(vectors.sparkSession)
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
@@ -167,13 +208,19 @@ def embedding_near_dedup(
     # -0.0 and 0.0 are one value; a power of two keeps tiny and huge components from vanishing in the norm.
     scale = F.expr("array_max(transform(embedding, x -> abs(x)))")
     rows = rows.withColumn("embedding", F.when(good, F.transform("embedding", lambda x: x / F.pow(F.lit(2.0), F.floor(F.log2(scale))) + F.lit(0.0))))
+    # Single precision, where it came in that, holds the same numbers but for components that vanish beside the largest.
+    brief = "array<float>" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "array<double>"
+    rows = stages.keep("vectors", rows.withColumn("embedding", F.col("embedding").cast(brief)))
     classes = rows.where("embedding IS NOT NULL").groupBy("embedding").agg(F.count(F.lit(1)).alias("uses"))
     classes = stages.keep("classes", classes.withColumn("node", F.monotonically_increasing_id()))
     members = rows.join(classes, "embedding", "left").select("vec_id", "node", "uses")
 
     width = F.size("embedding")
-    widths = [x[0] for x in classes.select(width.alias("w")).distinct().collect()]
-    parts = [_links(stages, classes.where(width == w), w, share, tables, hashes, probes, block) for w in sorted(widths)]
+    widths = {x["w"]: x["count"] for x in classes.groupBy(width.alias("w")).count().collect()}
+    parts = []
+    for w, number in sorted(widths.items()):
+        planned = plan(number, w, share, probes)
+        parts.append(_links(stages, classes.where(width == w), w, share, tables or planned[1], hashes or planned[0], probes, block))
     found = vectors.sparkSession.createDataFrame([], "node long, links long, label long")
     for part in parts:
         found = found.union(part)
@@ -206,6 +253,26 @@ def _links(stages: Stages, classes: DataFrame, width: int, share: float, tables:
     meets = F.expr("transform(sequence(0, parts - 1), o -> struct(least(o, part) AS lo, greatest(o, part) AS hi, CASE WHEN o = part THEN 2 WHEN o > part THEN 0 ELSE 1 END AS side))")
     dealt = dealt.select("node", "tab", "bucket", F.explode(meets).alias("m")).select("node", "tab", "bucket", "m.*")
     full = dealt.join(coded, "node").withColumn("place", F.xxhash64("tab", "bucket", "lo", "hi"))
+    # A meeting is judged by the tables up to its own.
+    full = full.withColumn("codes", F.slice("codes", F.lit(1), (F.col("tab") + 1) * (1 + probes)))
     columns = ["place", "side", "tab", "bucket", "node", "uses", "embedding", "codes"]
     full = full.repartition("place").sortWithinPartitions("place", "tab", "bucket", "lo", "hi").select(*columns)
-    return full.mapInArrow(partial(_compare, share=share, tables=tables), "node long, links long, label long")
+    return full.mapInArrow(partial(_compare, share=share), "node long, links long, label long")
+
+
+NEAR_SQL = """
+    WITH RECURSIVE plain AS (
+        SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS x FROM embeddings
+    ), good AS (
+        SELECT r, vec_id, list_transform(x, lambda v: v / sqrt(list_sum(list_transform(x, lambda u: u * u)))) AS unit
+        FROM plain WHERE x IS NOT NULL AND len(list_filter(x, lambda v: v IS NULL OR NOT isfinite(v))) = 0 AND len(list_filter(x, lambda v: v <> 0)) > 0
+    ), links AS (
+        SELECT a.r AS a, b.r AS b FROM good a JOIN good b ON a.r <> b.r AND len(a.unit) = len(b.unit) AND list_dot_product(a.unit, b.unit) >= 0.9
+    ), reached(a, b) AS (
+        SELECT r, r FROM plain UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a
+    ), least AS (
+        SELECT a, min(vec_id) AS component_id FROM reached JOIN plain ON plain.r = reached.b GROUP BY a
+    )
+    SELECT vec_id, (SELECT count(*) FROM links WHERE links.a = r) AS n_links, component_id, vec_id = component_id AS kept
+    FROM plain JOIN least ON least.a = r
+"""

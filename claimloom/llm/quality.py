@@ -16,7 +16,7 @@ from claimloom.llm.common import LOWER, SPACE, Stages, blocks, mix, runs, span_h
 from claimloom.llm.samples import fold, labelled_sample, logistic
 
 PER_CLASS = 2000
-#: Learned from are documents with at most this many lines; scored are all.
+#: Of the sample, documents with at most this many lines are learned from; scored are all.
 LEARNED_LINES = 400
 OWN = 19
 FEATURES = 3 * OWN + 2
@@ -155,12 +155,12 @@ def document_quality(model: dict, data: np.ndarray, offsets: np.ndarray) -> tupl
     return np.log((mean + 1e-3) / (1 - mean + 1e-3)), good, doc
 
 
-def _learned(batches):
+def _learned(batches, learned_lines: int):
     for rows, data, offsets in blocks(batches):
         x, _, doc = line_features(data, offsets)
         count = np.bincount(doc, minlength=len(offsets) - 1)
         for row, (doc_id, label) in enumerate(zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True)):
-            if count[row] <= LEARNED_LINES:
+            if count[row] <= learned_lines:
                 own = x[doc == row].astype("<f4")
                 yield pa.RecordBatch.from_arrays([pa.array([doc_id], pa.int64()), pa.array([label], pa.int32()), pa.array([own.tobytes()], pa.binary())], ["doc_id", "label", "x"])
 
@@ -184,13 +184,16 @@ def _line_labels(batches, model):
         yield pa.RecordBatch.from_arrays([rows.column(0).take(pa.array(doc)), pa.array(at), pa.array(good)], ["doc_id", "line", "good"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> dict | None:
-    """Field and logistic layer from (doc_id, label 0 or 1); None when a class is missing. The sample is bounded by `per_class`."""
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, learned_lines: int = LEARNED_LINES) -> dict | None:
+    """Field and logistic layer from (doc_id, label 0 or 1); None when a class is missing.
+
+    Learned from are at most `per_class` documents of each class, the field from those of them that have at most `learned_lines` lines.
+    """
     spark = docs.sparkSession
     stages = Stages(spark)
     labels = labels.select("doc_id", F.col("label").cast("int").alias("label")).where("label IN (0, 1)")
     sample, counts = labelled_sample(stages, docs, labels, per_class)
-    rows = sample.mapInArrow(_learned, "doc_id long, label int, x binary").toPandas().sort_values("doc_id") if set(counts) == {0, 1} else []
+    rows = sample.mapInArrow(partial(_learned, learned_lines=learned_lines), "doc_id long, label int, x binary").toPandas().sort_values("doc_id") if set(counts) == {0, 1} else []
     if not len(rows) or rows["label"].nunique() < 2:
         return None
     parts = [np.frombuffer(x, "<f4").reshape(-1, FEATURES) for x in rows["x"]]
@@ -214,16 +217,18 @@ def line_labels(docs: DataFrame, fitted: dict) -> DataFrame:
     return slim.mapInArrow(partial(_line_labels, model=model), "doc_id long, line long, good double")
 
 
-def quality(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2, threshold: float = 0.7, per_class: int = PER_CLASS) -> DataFrame:
+def quality(
+    docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2, threshold: float = 0.7, per_class: int = PER_CLASS, learned_lines: int = LEARNED_LINES
+) -> DataFrame:
     """One row per document: doc_id, held_out, score (0 to 1, higher: good likelier), predicted.
 
-    Labels (doc_id, quality) of documents whose fold is `held` are not learned from. Null and empty texts are one empty line. Without labels of both
+    Labels (doc_id, quality) of documents whose fold is `held` are not learned from; `per_class` and `learned_lines` bound what is (see `fit`). Null and empty texts are one empty line. Without labels of both
     classes every score is 0.5. Rows that repeat are scored each; reads only doc_id and text.
     """
     spark = docs.sparkSession
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     learned = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").alias("label"))
-    fitted = fit(slim, learned.where(fold(F.col("doc_id"), folds) != held), per_class)
+    fitted = fit(slim, learned.where(fold(F.col("doc_id"), folds) != held), per_class, learned_lines)
     if fitted is None:
         scored = slim.withColumn("__score", F.lit(0.5))
     else:

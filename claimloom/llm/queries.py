@@ -2,9 +2,9 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimloom.llm.embedding_join import embedding_near_dedup
+from claimloom.llm.embedding_join import NEAR_SQL, embedding_near_dedup
 from claimloom.llm.exact_dedup import exact_dedup
-from claimloom.llm.ngram_join import ngram_jaccard_join
+from claimloom.llm.ngram_join import JOIN_SQL, ngram_jaccard_join
 from claimloom.llm.language_id import language_id
 from claimloom.llm.lexical_search import SEARCH_SQL, lexical_search
 from claimloom.llm.merkle import MANIFEST_SQL, verified_manifest
@@ -82,6 +82,8 @@ def queries() -> dict:
 
 
 ORACLE_SQL = {
+    "op2_ngram_jaccard_join": JOIN_SQL,
+    "op6_embedding_near_dedup": NEAR_SQL,
     "op4_exact_dedup": r"""
         WITH plain AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents)
         SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,

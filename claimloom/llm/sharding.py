@@ -2,17 +2,20 @@
 
 Source, language and size are quantised in a few bits each and give a cell of a three-dimensional Hilbert curve. Rows are ordered by cell, then by
 a hash of doc_id, and the order is cut in runs, so a shard's files span narrow ranges of all three dimensions. The global order needs no
-global sort: rows are counted by (cell, top bits of the hash), these counts are summed in order, and rows are ranked inside their bucket.
+global sort: rows are counted by (cell, top bits of the hash), these counts are summed in order, and rows are ranked inside their bucket. Where a
+bucket holds too many rows, they are counted once more by further bits of the hash.
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import Stages
+from claimloom.llm.common import Stages, checked
 
 BITS = 4
-#: Top bits of the hash that split a cell, so a hot cell is ranked by many tasks.
+#: Top bits of the hash that split every cell.
 SPLIT_BITS = 5
+#: Rows that are ranked together, about. A part of a cell that holds more is split by as many further bits as it needs.
+MOST_RANKED = 1 << 20
 
 
 def _axis(frame: DataFrame, name: str) -> Column:
@@ -68,12 +71,12 @@ def hilbert_index(axes: list[Column], bits: int) -> Column:
     return index
 
 
-def hilbert_shards(docs: DataFrame, shards: int = 8) -> DataFrame:
+def hilbert_shards(docs: DataFrame, shards: int = 8, most_ranked: int = MOST_RANKED) -> DataFrame:
     """One row per document: doc_id, size, text_crc32, law, shard, slot, grown_shard, cell.
 
     Law `rows`: shard counts differ by one at most. size is the UTF-8 bytes of the text (null: none) plus 1. Missing source, language or text
     count as least. Rows that repeat a doc_id are placed each; a doc_id may be null. Rows that agree in everything take their
-    slots in any order. Reads doc_id, text, lang and source only; an empty table gives an empty result.
+    slots in any order. `most_ranked` bounds, about, the rows that one task ranks, and has no effect on the result. Reads doc_id, text, lang and source only; an empty table gives an empty result.
     """
     stages = Stages(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -91,18 +94,26 @@ def hilbert_shards(docs: DataFrame, shards: int = 8) -> DataFrame:
         "doc_id", "size", "text_crc32", _axis(rows, "source").alias("x"), _axis(rows, "lang").alias("y"), wide.alias("z"), mixed.alias("mixed")
     ).withColumn("part", F.shiftright("mixed", 32 - SPLIT_BITS))
 
-    # At most 2 ** (3 * BITS + SPLIT_BITS) buckets whatever the number of rows.
+    # At most 2 ** (3 * BITS + SPLIT_BITS) buckets, and one more for each half of `most_ranked` rows.
     point = ["x", "y", "z", "part"]
     counted = stages.keep("counted", rows.groupBy(*point).agg(F.count(F.lit(1)).alias("n")))
+    more = F.least(F.ceil(F.log2(F.col("n") / most_ranked)), F.lit(32 - SPLIT_BITS)).cast("int")
+    hot = counted.where(F.col("n") > most_ranked).select(*point, more.alias("more"))
+    if hot.head(1):
+        rows = rows.join(checked(hot), point, "left").withColumn("more", F.coalesce("more", F.lit(0)))
+        # The order of parts is that of the hash, however many bits of it they show.
+        rows = rows.withColumn("inner", F.expr(f"shiftright(mixed, {32 - SPLIT_BITS} - more) % shiftleft(1L, more)")).drop("more")
+        point.append("inner")
+        counted = stages.keep("counted-again", rows.groupBy(*point).agg(F.count(F.lit(1)).alias("n")))
     cells = counted.select("x", "y", "z").distinct().withColumn("cell", hilbert_index([F.col(c) for c in "xyz"], BITS))
     counted = counted.join(F.broadcast(cells), ["x", "y", "z"])
-    order = Window.orderBy("cell", "part").rowsBetween(Window.unboundedPreceding, -1)
+    order = Window.orderBy("cell", *point[3:]).rowsBetween(Window.unboundedPreceding, -1)
     counted = counted.withColumn("before", F.coalesce(F.sum("n").over(order), F.lit(0)))
     buckets = stages.keep("buckets", counted.select(*point, "cell", "before"))
     total = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).head()[0]
 
-    placed = rows.join(F.broadcast(buckets), point)
-    inside = Window.partitionBy("cell", "part").orderBy("mixed", "doc_id", "text_crc32", "size")
+    placed = rows.join(checked(buckets), point)
+    inside = Window.partitionBy("cell", *point[3:]).orderBy("mixed", "doc_id", "text_crc32", "size")
     placed = placed.withColumn("rank", F.col("before") + F.row_number().over(inside) - 1)
     shard = F.expr(f"rank * {shards} div {max(total, 1)}")
     first = F.expr(f"(shard * {total} + {shards - 1}) div {shards}")

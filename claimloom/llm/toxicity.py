@@ -25,6 +25,8 @@ EMBEDDED = 1 << 12  # buckets of the word embedding
 WIDTH = 4
 GRAM = 5
 PER_CLASS = 2500
+#: Windows with more bytes are not learned from; scored are all.
+LEARNED_BYTES = 1 << 12
 SCALARS = 5
 
 
@@ -235,7 +237,7 @@ def _odds_counts(batches):
     yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(counts.tobytes(), 1)], pa.binary())], ["counts"])
 
 
-def _picked(batches, odds):
+def _picked(batches, odds, learned_bytes: int):
     """Windows to learn from: of each document the one with the most log-odds, and one by chance."""
     tables = odds.value
     for rows, data, offsets in blocks(batches):
@@ -252,7 +254,7 @@ def _picked(batches, odds):
             other = mine[zlib.crc32(str(doc_id).encode()) % len(mine)]
             for at in [mine[0]] if label else {int(mine[0]), int(other)}:
                 spot = where[at][where[at] >= 0]
-                if len(spot) and ends[spot[-1]] - starts[spot[0]] <= 4096:
+                if len(spot) and ends[spot[-1]] - starts[spot[0]] <= learned_bytes:
                     out.append((label, data[starts[spot[0]] : ends[spot[-1]]].tobytes().decode()))
         if out:
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out])], ["label", "text"])
@@ -279,11 +281,11 @@ def log_odds(counts: np.ndarray, sizes: np.ndarray) -> dict:
     return {k: (np.log(rate[i, 1] / rate[i, 0]) * seen[i] / (seen[i] + 5.0) * (seen[i] > 1)).astype(np.float32) for i, k in enumerate(("word", "gram"))}
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> dict | None:
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, learned_bytes: int = LEARNED_BYTES) -> dict | None:
     """Model from (doc_id, label 0 or 1) rows; None when a class is missing.
 
     Learns from at most `per_class` documents of each class (see `labelled_sample`); the driver gets count tables of fixed size, at most two
-    windows of each of these documents, and four figures of each.
+    windows of each of these documents, none of more than `learned_bytes`, and four figures of each.
     """
     spark = docs.sparkSession
     stages = Stages(spark)
@@ -304,7 +306,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> dict
     crossed = [log_odds(totals[1 - h], sizes[1 - h]) for h in (0, 1)]
     shared = [spark.sparkContext.broadcast(x) for x in crossed]
     picked = pd.concat(
-        half.mapInArrow(partial(_picked, odds=shared[h]), "label int, text string").toPandas().sort_values(["text", "label"]).assign(half=h) for h, half in enumerate(halves)
+        half.mapInArrow(partial(_picked, odds=shared[h], learned_bytes=learned_bytes), "label int, text string").toPandas().sort_values(["text", "label"]).assign(half=h) for h, half in enumerate(halves)
     )
     if picked.empty:
         return None
@@ -319,14 +321,16 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> dict
     return {"model": model, "odds": odds, "layer": logistic(found[["a", "b", "c", "d"]].to_numpy(), y, weight)}
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, per_class: int = PER_CLASS) -> DataFrame:
+def toxicity_scores(
+    docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, per_class: int = PER_CLASS, learned_bytes: int = LEARNED_BYTES
+) -> DataFrame:
     """`docs` with score (0 to 1, higher: toxic likelier) as `__score`; labels are (doc_id, label).
 
-    Labels of documents whose fold is `held` are not learned from. Null and empty texts are scored as one window without words. Without labels of
+    Labels of documents whose fold is `held` are not learned from; `per_class` and `learned_bytes` bound what is (see `fit`). Null and empty texts are scored as one window without words. Without labels of
     both classes every score is 0. Rows that repeat are scored each; other columns are carried along whatever their names.
     """
     spark = docs.sparkSession
-    fitted = fit(docs, labels.where(fold(F.col("doc_id"), folds) != held), per_class)
+    fitted = fit(docs, labels.where(fold(F.col("doc_id"), folds) != held), per_class, learned_bytes)
     if fitted is None:
         return docs.withColumn("__score", F.lit(0.0))
     model, odds = (spark.sparkContext.broadcast(fitted[k]) for k in ("model", "odds"))
