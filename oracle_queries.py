@@ -159,7 +159,9 @@ CATALOGUE_QUESTION = """
     SELECT member_state, drug_class, "year", count(*) AS claims, min(plan_id) AS first_plan
     FROM {fact_claims} JOIN {dim_provider} USING (provider_key) JOIN {dim_drug} USING (drug_key)
     JOIN {dim_date} ON service_date = date_value
-    WHERE member_state < 'F' AND claim_status = 'PAID' GROUP BY member_state, drug_class, "year""""
+    WHERE member_state < 'F' AND claim_status = 'PAID'
+    GROUP BY member_state, drug_class, "year"
+"""
 
 _AUDIT = _with(
     (*_STAR,),
