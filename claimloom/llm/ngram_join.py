@@ -234,7 +234,14 @@ def _leaves(batches):
         yield from pa.Table.from_pylist(found, schema).to_batches()
 
 
-def _leaf_pairs(batches, share: tuple[int, int]):
+def _own_pairs(batches, share: tuple[int, int]):
+    """Pairs of points of one leaf, as of `_leaf_pairs`."""
+    for batch in batches:
+        both = pa.RecordBatch.from_arrays([batch.column(c) for c in _HELD for _ in (0, 1)], [f"{c}{side}" for c in _HELD for side in ("", "_b")])
+        yield from _leaf_pairs(iter([both]), share, own=True)
+
+
+def _leaf_pairs(batches, share: tuple[int, int], own: bool = False):
     """Pairs of points of two leaves that lie in different groups and whose bound reaches the needed overlap, first on 64 coordinates."""
     num, den = share
     for batch in batches:
@@ -242,6 +249,8 @@ def _leaf_pairs(batches, share: tuple[int, int]):
             a, b = (_coordinates(row[f"points{side}"], np.array(row[f"sizes{side}"])) for side in ("", "_b"))
             sizes = np.array(row["sizes"])[:, None] + np.array(row["sizes_b"])[None, :]
             apart = np.array(row["comps"])[:, None] != np.array(row["comps_b"])[None, :]
+            if own:  # each pair once
+                apart &= np.tri(len(a), k=-1, dtype=bool)
             bound = np.empty(sizes.shape, np.int64)
             for i in range(len(a)):
                 bound[i] = np.minimum(a[i], b).sum(1, dtype=np.int64)
@@ -269,6 +278,11 @@ def _descended(stages: Stages, leaves: DataFrame, share: tuple[int, int]) -> Dat
     def second(df: DataFrame) -> DataFrame:
         return df.select(*[F.col(c).alias(f"{c}_b") for c in df.columns])
 
+    # Most cells are one leaf, which is compared with itself where it is stored; only leaves that meet others are moved.
+    alone = leaves.where("comp_low < comp_high").select(*_HELD).mapInArrow(partial(_own_pairs, share=share), "a long, b long")
+    several = leaves.groupBy("cell").agg(F.count("leaf").alias("leaves")).where("leaves > 1").select("cell")
+    several = stages.keep("spread", several)
+    leaves = leaves.join(several, "cell")
     inner = leaves.groupBy("cell", "inner").agg(
         F.min("least_n").alias("least_n"), F.min("comp_low").alias("comp_low"), F.max("comp_high").alias("comp_high"),
         F.array(*[F.max(F.col("box")[k]) for k in range(GROUPS)]).alias("box"),
@@ -278,12 +292,13 @@ def _descended(stages: Stages, leaves: DataFrame, share: tuple[int, int]) -> Dat
     met = met.where(_may_reach(share)).select("cell", "inner", "inner_b")
     heads = leaves.select("cell", "inner", "leaf", *box)
     met = met.join(heads, ["cell", "inner"]).join(second(heads).withColumnRenamed("cell_b", "cell"), ["cell", "inner_b"])
-    met = met.where((F.col("inner") < F.col("inner_b")) | (F.col("leaf") <= F.col("leaf_b"))).where(_may_reach(share)).select("cell", "leaf", "leaf_b")
+    # Leaves are numbered by a node, so in different inner boxes of a cell they differ.
+    met = met.where((F.col("inner") < F.col("inner_b")) | (F.col("leaf") < F.col("leaf_b"))).where(_may_reach(share)).select("cell", "leaf", "leaf_b")
     met = stages.keep("met", met)
     points = leaves.select("cell", "leaf", *_HELD)
     met = met.join(points, ["cell", "leaf"]).join(second(points).withColumnRenamed("cell_b", "cell"), ["cell", "leaf_b"])
     met = met.select(*[f"{c}{side}" for c in _HELD for side in ("", "_b")])
-    return met.mapInArrow(partial(_leaf_pairs, share=share), "a long, b long").where("a < b").distinct()
+    return met.mapInArrow(partial(_leaf_pairs, share=share), "a long, b long").union(alone).where("a < b").distinct()
 
 
 def ngram_jaccard_join(docs: DataFrame, words: int = 5, share: tuple[int, int] = (8, 10)) -> DataFrame:
@@ -374,7 +389,7 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, share: tuple[int, int] =
     leaves = stages.keep("leaves", rest.select("cell", "node", "comp", "n", "point").mapInArrow(_leaves, _LEAF_FIELDS))
     stages.drop("several")
     candidates = stages.keep("candidates", _descended(stages, leaves, share))
-    stages.drop("leaves", "inner", "met")
+    stages.drop("leaves", "spread", "inner", "met")
     links = links.union(stages.keep("more", verified(bounded(candidates, "fine"))))
     groups = components(stages, links, "all")
     stages.drop("points", "candidates", "links", "others", "more", "texts")
