@@ -25,6 +25,10 @@ EMBEDDED = 1 << 12  # buckets of the word embedding
 WIDTH = 4
 GRAM = 5
 PER_CLASS = 2500
+#: Embeddings learn more slowly than the network, or they learn single documents by heart.
+LEARNED = {"word": 0.1, "byte": 0.05}
+#: Least number of training steps, so that small samples are learned too.
+STEPS = 200
 #: Windows with more bytes are not learned from; scored are all.
 LEARNED_BYTES = 1 << 12
 SCALARS = 5
@@ -173,12 +177,16 @@ def gradients(model: dict, scalars, bucket, histogram, index, y, weight) -> tupl
 
 
 def train(texts: list[str], y: np.ndarray, half: np.ndarray, odds: list[dict], epochs: int = 12, batch: int = 256, rate: float = 0.01, seed: int = 3) -> dict:
-    """Model from labelled window texts, by Adam; classes weigh the same. Windows of half h are seen with odds[h], which the other half gave."""
+    """Model from labelled window texts, by Adam; classes weigh the same. Windows of half h are seen with odds[h], which the other half gave.
+
+    Few windows are gone through more often than `epochs` times, until there were `STEPS` steps.
+    """
     rng, model = np.random.default_rng(seed), initial()
     first, second, number = {k: np.zeros_like(v) for k, v in model.items()}, {k: np.zeros_like(v) for k, v in model.items()}, 0
     share = np.clip(y.mean(), 0.01, 0.99)
     weight = np.where(y == 1, 0.5 / share, 0.5 / (1 - share)).astype(np.float32)
-    for _ in range(epochs):
+    while epochs > 0 or number < STEPS:
+        epochs -= 1
         order = rng.permutation(len(texts))
         parts = [own[at : at + batch] for h in (0, 1) for own in [order[half[order] == h]] for at in range(0, len(own), batch)]
         for part in (parts[i] for i in rng.permutation(len(parts))):
@@ -194,7 +202,7 @@ def train(texts: list[str], y: np.ndarray, half: np.ndarray, odds: list[dict], e
             for k, g in grad.items():
                 first[k] = 0.9 * first[k] + 0.1 * g
                 second[k] = 0.999 * second[k] + 0.001 * g * g
-                model[k] -= rate * (first[k] / (1 - 0.9**number)) / (np.sqrt(second[k] / (1 - 0.999**number)) + 1e-7)
+                model[k] -= rate * LEARNED.get(k, 1.0) * (first[k] / (1 - 0.9**number)) / (np.sqrt(second[k] / (1 - 0.999**number)) + 1e-7)
     return model
 
 
