@@ -3,7 +3,7 @@
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -12,6 +12,12 @@ def row_count(stage: DataFrame) -> DataFrame:
     return stage.agg(F.count(F.lit(1)).alias("n"))
 
 
+def audit_of(spark: SparkSession, counts: dict[str, int], run_date: date) -> DataFrame:
+    """The row of `audit_counts` from numbers that are known."""
+    row = [F.lit(n).cast("bigint").alias(f"{stage}_rows") for stage, n in counts.items()]
+    return spark.range(1).select(*row, F.lit(run_date).alias("run_date"))
+
+
 def audit_counts(counts: dict[str, DataFrame], run_date: date) -> DataFrame:
     """One row: `<stage>_rows` for every stage in order, then run_date. Each stage is a one-row frame with `n`."""
     parts = [count.select(F.lit(stage).alias("stage"), "n") for stage, count in counts.items()]

@@ -25,21 +25,8 @@ def _named(expressions: dict[str, str]) -> list[Column]:
 
 def _profile(raw: DataFrame, amounts: AmountRange) -> DataFrame:
     """Counts and extremes per (days_supply, claim_status)."""
-
-    def without_nan(column: str) -> str:
-        return f"IF(isnan({column}), NULL, {column})"
-
-    measures = {
-        "n": "count(1)",
-        "null_ids": "count_if(claim_id IS NULL)",
-        "bad_amounts": f"count_if({violated(amount_within(amounts))})",
-        "min_amount": f"min({without_nan('claim_amount')})",
-        "max_amount": f"max({without_nan('claim_amount')})",
-        "bad_quantities": f"count_if({violated(positive('quantity'))})",
-        "min_quantity": f"min({without_nan('quantity')})",
-        "bad_dates": f"count_if({date_of('service_date')} IS NULL)",
-    }
-    return raw.groupBy("days_supply", "claim_status").agg(*_named(measures))
+    grouped = ("bad_days", "bad_statuses", "min_day", "max_day")
+    return raw.groupBy("days_supply", "claim_status").agg(*_named({n: sql for n, sql in row_measures(amounts).items() if n not in grouped}))
 
 
 # What each row of the profile contributes: to the totals, to the days and to the statuses found.
@@ -77,6 +64,41 @@ def dq_metrics(raw: DataFrame, with_ids: bool = True, deduped: DataFrame | None
     return metrics
 
 
+def row_measures(amounts: AmountRange = AMOUNT_RANGE) -> dict[str, str]:
+    """Aggregates over raw claims that need no grouping, as SQL, to be taken while the claims are stored."""
+
+    def without_nan(column: str) -> str:
+        return f"IF(isnan({column}), NULL, {column})"
+
+    return {
+        "n": "count(1)",
+        "null_ids": "count_if(claim_id IS NULL)",
+        "bad_amounts": f"count_if({violated(amount_within(amounts))})",
+        "bad_quantities": f"count_if({violated(positive('quantity'))})",
+        "bad_days": f"count_if({violated(within('days_supply', DAYS_SUPPLY_RANGE))})",
+        "bad_statuses": f"count_if({violated(one_of('claim_status', VALID_STATUSES))})",
+        "bad_dates": f"count_if({date_of('service_date')} IS NULL)",
+        "min_amount": f"min({without_nan('claim_amount')})",
+        "max_amount": f"max({without_nan('claim_amount')})",
+        "min_quantity": f"min({without_nan('quantity')})",
+        "min_day": "min(days_supply)",
+        "max_day": "max(days_supply)",
+    }
+
+
+def metrics_of(measures: dict, ids: int, found: DataFrame) -> DataFrame:
+    """The row of `dq_metrics` from measures taken while the claims were stored, the number of de-duplicated claims with an id, and the
+    stored values found: no pass over the claims."""
+
+    def values(check: str) -> Column:
+        return found.where(F.col("check") == CHECKS[check][0]).agg(F.count("value")).scalar()
+
+    kinds = {"min_amount": "double", "max_amount": "double", "min_quantity": "double", "min_day": "int", "max_day": "int"}
+    known = {**measures, "ids": ids}
+    row = found.sparkSession.range(1).select(*[F.lit(value).cast(kinds.get(name, "bigint")).alias(name) for name, value in known.items()])
+    return row.select("*", values("days_supply").alias("days"), values("claim_status").alias("statuses"))
+
+
 def _two_decimals(value: str) -> str:
     return f"IF({value} IS NULL, 'nan', format_string('%.2f', {value}))"
 

@@ -8,15 +8,15 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from claimloom.functions.rules import AMOUNT_RANGE, ROW_COUNT_RANGE
-from claimloom.operators.audit import audit_counts, row_count
+from claimloom.operators.audit import audit_of
 from claimloom.operators.clean import judged_claims
 from claimloom.operators.load import Rows, Sink, load_star, read_star
-from claimloom.operators.quality import dq_gate, dq_metrics, found_values_by_check, report_of
+from claimloom.operators.quality import dq_gate, dq_metrics, found_values_by_check, metrics_of, report_of, row_measures
 from claimloom.operators.star import build_star
 from claimloom.plans.analytics import answer_all
 from claimloom.plans.sizing import PARTITION_BYTES, fitted
 from claimloom.plans.stages import StageStore, source_fingerprint
-from claimloom.schema import CLEAN_CLAIMS
+from claimloom.schema import CLEAN_CLAIMS, LOAD_ORDER
 from claimloom.sources.files import size_of
 from claimloom.sources.snapshots import published
 
@@ -64,6 +64,7 @@ def run(
     once and the checks scan only the columns they need; turn it off for claims that already are Parquet.
     The de-duplicated claims are written once, with the reason of the rejected ones, and the fact and all dimensions
     read that copy: they agree on the chosen rows and nothing is shuffled by claim twice.
+    Row, null and range counts are taken by the tasks that write these copies, so nothing is read only to be counted.
     The checks look at the raw values; that copy only spares them a second shuffle of all ids, so it is written
     first. Nothing is built or loaded when a check failed, unless the run is not `strict`.
     `corrupt` are records of the source that could not be read as claims: they are stored and counted in the audit, and
@@ -90,18 +91,34 @@ def run(
     origin = "source"
     if stage_raw:
         origin, claims = "raw_claims", raw
-        raw = stages.keep(origin, lambda: frame(claims), ("source",))
+        raw = stages.keep(origin, lambda: frame(claims), ("source",), measures=row_measures(amount_range))
         input_bytes = size_of(spark, f"{out}/{origin}")
     else:
         raw = frame(raw)
     with fitted(spark, input_bytes, partition_bytes):
-        judged = stages.keep("judged_claims", lambda: judged_claims(raw, run_ts, salt, amount_range), (origin,), run_ts=run_ts, salt=salt, amounts=amount_range)
-        metrics = stages.keep("dq_metrics", lambda: dq_metrics(raw, deduped=judged, amounts=amount_range), (origin, "judged_claims"), amounts=amount_range)
-        quality = stages.keep("dq_report", lambda: report_of(metrics, row_count_range), ("dq_metrics",), rows=row_count_range)
+        judged = stages.keep(
+            "judged_claims",
+            lambda: judged_claims(raw, run_ts, salt, amount_range),
+            (origin,),
+            measures={"deduped": "count(1)", "rejected": "count_if(reason <> '')", "ids": "count(claim_id)"},
+            run_ts=run_ts,
+            salt=salt,
+            amounts=amount_range,
+        )
+        known = stages.counts["judged_claims"]
         found = stages.keep("dq_found_values", lambda: found_values_by_check(raw), (origin,))
+
+        def measured() -> DataFrame:
+            """Claims that were staged were measured then; others are read for it."""
+            if origin in stages.counts:
+                return metrics_of(stages.counts[origin], known["ids"], found)
+            return dq_metrics(raw, deduped=judged, amounts=amount_range)
+
+        metrics = stages.keep("dq_metrics", measured, (origin, "judged_claims", "dq_found_values"), amounts=amount_range)
+        quality = stages.keep("dq_report", lambda: report_of(metrics, row_count_range), ("dq_metrics",), rows=row_count_range)
         if corrupt is not None:
             records = corrupt
-            corrupt = stages.keep("corrupt_records", lambda: frame(records), ("source",))
+            corrupt = stages.keep("corrupt_records", lambda: frame(records), ("source",), measures={"n": "count(1)"})
         if strict:
             dq_gate(quality, corrupt)
 
@@ -117,13 +134,14 @@ def run(
         )
         star = read_star(spark, root)
 
-        counts = {"raw": metrics.select("n")}
+        counts = {"raw": metrics.first()["n"]}
         if corrupt is not None:
-            counts["corrupt"] = row_count(corrupt)
-        for stage, stored in {"deduped": judged, "rejected": rejected, **star}.items():
-            counts[stage] = row_count(stored)
+            counts["corrupt"] = stages.counts["corrupt_records"]["n"]
+        counts |= {"deduped": known["deduped"], "rejected": known["rejected"]}
+        loaded_rows = {row["table"]: row["rows"] for row in report.where("sink = 'backup'").collect()}
+        counts |= {name: loaded_rows[name] for name in LOAD_ORDER}
         loaded = ("load_report", "dq_metrics", *(("corrupt_records",) if corrupt is not None else ()))
-        audit = stages.keep("audit", lambda: audit_counts(counts, run_date), loaded, run_date=run_date)
+        audit = stages.keep("audit", lambda: audit_of(spark, counts, run_date), loaded, run_date=run_date)
         answers = {
             title: stages.keep(f"answers/{re.sub('[^a-z0-9]+', '_', title.lower())}", lambda answer=answer: answer, ("load_report",))
             for title, answer in answer_all(star).items()

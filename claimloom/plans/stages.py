@@ -12,7 +12,7 @@ from claimloom.sources import files
 MANIFESTS = "_stages"
 PRINTED_FIELDS = "spark.sql.debug.maxToStringFields"
 #: Raised when a change of the code changes what stages hold, so that older ones are not taken up.
-CODE = 1
+CODE = 2
 
 
 def hashed(*parts) -> str:
@@ -52,6 +52,8 @@ class StageStore:
         self.spark, self.out, self.resume = spark, out, resume
         self.prints: dict[str, str | None] = {"source": source}
         self.reused: list[str] = []
+        #: Aggregates of each stage, taken while it was written.
+        self.counts: dict[str, dict] = {}
         if not resume:
             files.delete(spark, f"{out}/{MANIFESTS}")
 
@@ -59,19 +61,28 @@ class StageStore:
         return f"{self.out}/{MANIFESTS}/{name.replace('/', '.')}.json"
 
     def keep(
-        self, name: str, build: Callable[[], DataFrame], reads: tuple[str, ...], complete: Callable[[DataFrame], bool] = lambda _: True, **arguments
+        self,
+        name: str,
+        build: Callable[[], DataFrame],
+        reads: tuple[str, ...],
+        complete: Callable[[DataFrame], bool] = lambda _: True,
+        measures: dict[str, str] | None = None,
+        **arguments,
     ) -> DataFrame:
-        """The stage `name`, built and stored unless a complete one can be taken up. `complete` judges what was stored earlier."""
-        path, inputs = f"{self.out}/{name}", [self.prints[x] for x in reads]
-        self.prints[name] = made = hashed(CODE, name, arguments, inputs) if all(inputs) else None
+        """The stage `name`, built and stored unless a complete one can be taken up. `complete` judges what was stored earlier.
+
+        `measures` are aggregates over the stage's rows (name to SQL), which `counts` has then; they are kept in the manifest.
+        """
+        path, inputs, measures = f"{self.out}/{name}", [self.prints[x] for x in reads], measures or {}
+        self.prints[name] = made = hashed(CODE, name, arguments, inputs, measures) if all(inputs) else None
         if self.resume and made and (earlier := self._earlier(name, made, path)) is not None and complete(earlier):
             self.reused.append(name)
             return earlier
         files.delete(self.spark, self._manifest(name))
         df = build()
-        df.write.mode("overwrite").parquet(path)
+        self.counts[name] = files.write_counted(df, path, measures)
         if made:
-            said = {"fingerprint": made, "files": files.fingerprint(self.spark, path), "schema": df.schema.jsonValue()}
+            said = {"fingerprint": made, "files": files.fingerprint(self.spark, path), "schema": df.schema.jsonValue(), "counts": self.counts[name]}
             files.write_small(self.spark, self._manifest(name), json.dumps(said))
         return self.spark.read.schema(df.schema).parquet(path)
 
@@ -80,6 +91,7 @@ class StageStore:
         said = json.loads(text) if text else {}
         if said.get("fingerprint") != made or said["files"] != files.fingerprint(self.spark, path):
             return None
+        self.counts[name] = said["counts"]
         return self.spark.read.schema(T.StructType.fromJson(said["schema"])).parquet(path)
 
     def remembered(self, name: str, value: str) -> str:

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 from datetime import date
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -123,6 +123,20 @@ def write_parquet(claims: DataFrame, path: str) -> None:
     claims.write.mode("overwrite").parquet(path)
 
 
+def write_counted(df: DataFrame, path: str, measures: dict[str, str]) -> dict:
+    """Stores a frame and returns aggregates over its rows (name to SQL), taken by the tasks that write them.
+
+    The aggregates sit above the last shuffle, in the stage that writes, of which Spark counts each partition's first successful task
+    and no other: a task that fails, is computed again or runs twice changes no number.
+    """
+    if not measures:
+        df.write.mode("overwrite").parquet(path)
+        return {}
+    seen = Observation(f"stored-{uuid.uuid4().hex}")
+    df.observe(seen, *[F.expr(sql).alias(name) for name, sql in measures.items()]).write.mode("overwrite").parquet(path)
+    return seen.get
+
+
 def write_by_day(claims: DataFrame, root: str, batch: str = "all", emptied: tuple[str, ...] = ()) -> None:
     """Stores a batch of claims by service date; other days and batches stay as they are.
 

@@ -34,14 +34,14 @@ def written(tmp_path):
 
 def test_a_broken_run_is_taken_up(spark, stored, tmp_path, monkeypatch):
     whole = plan.run(spark, stored, f"{tmp_path}/whole", **LAX)
-    monkeypatch.setattr(plan, "dq_metrics", lambda *a, **b: 1 / 0)
+    monkeypatch.setattr(plan, "metrics_of", lambda *a, **b: 1 / 0)
     with pytest.raises(ZeroDivisionError):
         plan.run(spark, stored, f"{tmp_path}/out", **LAX)
     monkeypatch.undo()
     before = written(tmp_path)
-    assert {name.split("/")[1] for name in before} == {"raw_claims", "judged_claims"}
+    assert {name.split("/")[1] for name in before} == {"raw_claims", "judged_claims", "dq_found_values"}
     result = plan.run(spark, stored, f"{tmp_path}/out", resume=True, **LAX)
-    assert result.reused == ("raw_claims", "judged_claims")
+    assert result.reused == ("raw_claims", "judged_claims", "dq_found_values")
     assert {name: at for name, at in written(tmp_path).items() if name in before} == before
     assert rows(result.audit) == rows(whole.audit)
     for name in LOAD_ORDER:

@@ -1,5 +1,7 @@
 """Files, load-or-build, the shared folder and connection options."""
 
+from types import SimpleNamespace
+
 import pytest
 
 from claimloom.schema import RAW_CLAIMS
@@ -161,3 +163,18 @@ def test_connection_options():
     assert (options["user"], options["password"], options["db"], options["role"]) == ("su", "sp", "D", "R")
     with pytest.raises(KeyError):
         jdbc.snowflake_options(config, {})
+
+
+def test_a_local_warehouse_is_no_shared_folder_of_a_cluster(spark):
+    class Session:
+        """The session of a cluster that names no folder to share."""
+
+        def __init__(self, settings, master):
+            self.conf = SimpleNamespace(get=lambda name, default=None: settings.get(name, default))
+            self.sparkContext = SimpleNamespace(master=master, _jvm=spark.sparkContext._jvm, _jsc=spark.sparkContext._jsc)
+
+    local = {"spark.sql.warehouse.dir": "file:/tmp/warehouse"}
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        files.shared_root(Session(local, "spark://host:7077"))
+    assert files.shared_root(Session(local, "local[4]")) == "file:/tmp/warehouse"
+    assert files.shared_root(Session(local | {"spark.checkpoint.dir": "file:/shared/"}, "yarn")) == "file:/shared"
