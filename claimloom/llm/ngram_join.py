@@ -11,8 +11,8 @@ held by a packed tree:
 3. Inner boxes and leaves. The points of a cell are sorted by group, size and coordinates and packed in leaves, and `FANOUT` leaves in an
    inner box. Pairs of inner boxes are bounded, then pairs of leaves below those that are left.
 4. Points. Boxes have 64 coordinates, which say little of a large set, whose counts are all much alike. So the coordinates of a point grow
-   with its set: groups in a power of two, 64 or more, 4 to 8 shingles to a group, and with another point both are folded to the fewer.
-   Only pairs of points whose bound suffices leave the task, and are bounded once more on points of 2 to 4 shingles to a group.
+   with its set: groups in a power of two, at least `least_groups` and at most `per_group` shingles to a group, and with another point both
+   are folded to the fewer. Only pairs of points whose bound suffices leave the task, and are bounded once more on at most 4 shingles to a group.
 
 Before the descent each set is compared with the least of one cell and then with those of its other cells from which it is
 still apart (linear in the cells). Boxes that lie in one connected group go: no pair inside such a group is
@@ -116,7 +116,7 @@ def _sets(batches, words: int, share: tuple[int, int], salt: int):
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "node", "check", "cells"])
 
 
-def _points(batches, words: int, salt: int):
+def _points(batches, words: int, salt: int, per_group: int, least_groups: int):
     """(node, n, shingles, point, fine): the sets themselves and their group counts, few and many."""
     seen = set()
     for _, data, offsets in blocks(batches):
@@ -128,7 +128,7 @@ def _points(batches, words: int, salt: int):
             continue
         own = [value[ends[r] - size[r] : ends[r]] for r in fresh]
         columns = [pa.array(node[fresh]), pa.array(size[fresh].astype(np.int64)), lists(size[fresh], np.concatenate(own).view(np.int64))]
-        columns += [pa.array([group_counts(x, per, least) for x in own], pa.binary()) for per, least in ((8, 6), (4, 4))]
+        columns += [pa.array([group_counts(x, per, least) for x in own], pa.binary()) for per, least in ((per_group, (least_groups - 1).bit_length()), (4, 4))]
         yield pa.RecordBatch.from_arrays(columns, ["node", "n", "shingles", "point", "fine"])
 
 
@@ -301,17 +301,18 @@ def _descended(stages: Stages, leaves: DataFrame, share: tuple[int, int]) -> Dat
     return met.mapInArrow(partial(_leaf_pairs, share=share), "a long, b long").union(alone).where("a < b").distinct()
 
 
-def ngram_jaccard_join(docs: DataFrame, words: int = 5, share: tuple[int, int] = (8, 10)) -> DataFrame:
+def ngram_jaccard_join(docs: DataFrame, words: int = 5, share: tuple[int, int] = (8, 10), per_group: int = 4, least_groups: int = 256) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id.
 
     Two documents link when den * |A n B| >= num * |A u B| for share = (num, den); component_id is the least doc_id
     that links reach. Words end at ASCII white space; A-Z is lower-cased. Reads only doc_id and text, so other
     columns may have any name. Documents without words (also null texts) have no shingles and stand alone. Rows
     that repeat a doc_id are each compared. A row without doc_id gets a row with component_id null and links nothing.
-    An empty table gives an empty result.
+    `per_group` and `least_groups` (64 or more) have no effect on the result: finer points prune more pairs and take more room.
+    An empty table gives an empty result. A text is held whole by one task, with about 40 bytes of memory for each of its bytes.
     """
     num, den = share
-    assert 0 < num <= den
+    assert 0 < num <= den and least_groups >= GROUPS
     stages = Stages(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     for salt in count():
@@ -340,7 +341,7 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, share: tuple[int, int] =
     texts = sets.where("doc_id IS NOT NULL").join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     texts = stages.keep("texts", texts.select("doc_id").distinct())
     points = docs.join(checked(texts), "doc_id", "left_semi").mapInArrow(
-        partial(_points, words=words, salt=salt), "node long, n long, shingles array<long>, point binary, fine binary"
+        partial(_points, words=words, salt=salt, per_group=per_group, least_groups=least_groups), "node long, n long, shingles array<long>, point binary, fine binary"
     )
     points = points.groupBy("node").agg(*[F.any_value(c).alias(c) for c in ("n", "shingles", "point", "fine")])
     points = stages.keep("points", points)
@@ -402,14 +403,14 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, share: tuple[int, int] =
     return rooted.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), group).alias("component_id"))
 
 
-def keep_one_of_each(docs: DataFrame, words: int = 5, share: tuple[int, int] = (8, 10)) -> DataFrame:
+def keep_one_of_each(docs: DataFrame, words: int = 5, share: tuple[int, int] = (8, 10), **points: int) -> DataFrame:
     """Rows of `docs` whose doc_id is the least of its component, with all their columns.
 
     Rows without doc_id stay; of several rows with one doc_id all stay when the doc_id does.
     """
 
     def kept(docs: DataFrame) -> DataFrame:
-        joined = ngram_jaccard_join(docs, words, share)
+        joined = ngram_jaccard_join(docs, words, share, **points)
         gone = joined.where("component_id < doc_id").select(F.col("doc_id").alias("gone_id")).distinct()
         gone = Stages(docs.sparkSession).keep("gone", gone)
         return docs.join(checked(gone), F.col("doc_id").cast("long") == F.col("gone_id"), "left_anti")

@@ -347,7 +347,10 @@ def toxicity_scores(
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """One row per document: doc_id, held_out, score, predicted."""
+    """One row per document: doc_id, held_out, score, predicted.
+
+    A text is held whole by one task, with about 60 bytes of memory for each of its bytes.
+    """
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     scored = toxicity_scores(slim, labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").alias("label")))
     held = F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False))

@@ -26,7 +26,7 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2, shingles of five words and a similarity of 0.8: of each group the least doc_id stays."""
-    return keep_one_of_each(docs, words=5, share=(8, 10))
+    return keep_one_of_each(docs, words=5, share=(8, 10), per_group=8, least_groups=64)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
