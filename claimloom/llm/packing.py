@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import Stages, blocks, span_digests
+from claimloom.llm.common import Stages, blocks, span_digests, span_heads
 
 SEQUENCE = 1024
 OPEN_WINDOWS = 32
@@ -37,7 +37,7 @@ def default_vocabulary() -> str:
 class WordTokenizer:
     """Ids of a byte-level BPE vocabulary, by a cache of pre-tokenised words.
 
-    Words are found over the bytes of many texts at once and looked up by 128-bit digest; only words not in the cache are given to the
+    Words are found over the bytes of many texts at once and looked up by 64-bit digest, length and first eight bytes; only words not in the cache are given to the
     tokenizer. Texts in which the words can't be told by character class alone (contractions, white space or characters beyond
     the table, special tokens) are given to it whole.
     """
@@ -117,7 +117,7 @@ class WordTokenizer:
         if whole.any():
             plain = ~whole[doc]
             starts, ends, doc = starts[plain], ends[plain], doc[plain]
-        name, check = span_digests(data, starts, ends, 1), span_digests(data, starts, ends, 2)
+        name, check = span_digests(data, starts, ends, 1), span_heads(data, starts, ends)
         slot = (name & np.uint64(self.SLOTS - 1)).astype(np.int64)
         place = self.place[slot]
         missed = np.flatnonzero((self.keys[slot] != name) | (self.checks[slot] != check) | (place == 0))
