@@ -186,7 +186,8 @@ def verified_manifest(docs: DataFrame, fanout: int = 3, depth: int = DEPTH) -> D
     """One row per document: doc_id, leaf, subroot, root, proof_sha256, folded_root, verified.
 
     A tree for each source. Documents whose crc32(doc_id as text) is even are tampered with by deleting line feeds from their text;
-    folded_root comes from the tampered leaf and the original siblings, so `verified` tells whether the manifest catches it. Nulls
+    folded_root comes from the tampered leaf, else from the original one, and the original siblings, so `verified` tells whether the
+    manifest catches it and whether every other row leads back to the root. Nulls
     in any column are written `-` and stay null; a row without doc_id is not tampered with. Rows that repeat a doc_id are leaves of
     their own. Other columns are not read and may have any name. An empty table gives an empty result.
     """
@@ -195,7 +196,8 @@ def verified_manifest(docs: DataFrame, fanout: int = 3, depth: int = DEPTH) -> D
     tampered = F.when(even & F.contains(text, F.lit("\n")), document_leaf(F.replace(text, F.lit("\n"), F.lit(""))))
     leaves = docs.select(F.col("source").cast("string").alias("grp"), F.col("doc_id").cast("long").alias("key"), document_leaf(text).alias("leaf"), tampered.alias("carried"))
     rows = merkle_proofs(leaves, fanout, depth)
-    again = F.when(F.col("carried").isNull(), F.col("root")).otherwise(folded(F.col("carried"), F.col("path")))
+    # The leaf is carried only where tampering changed it; every row is folded, so that a wrong path shows in any of them.
+    again = folded(F.coalesce("carried", "leaf"), F.col("path"))
     rows = rows.select(F.col("key").alias("doc_id"), "leaf", "subroot", "root", proof(F.col("path")).alias("proof_sha256"), again.alias("folded_root"))
     return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
 

@@ -80,3 +80,18 @@ def test_manifest(documents, frame, odd_rows):
         assert got == manifest(rows)
         assert {r[-1] for r in got} == {True, False}
     assert verified_manifest(odd.withColumn("n_chars", F.lit(None)).limit(0)).count() == 0
+
+
+def test_untampered_rows_are_folded_too(frame, monkeypatch):
+    """A path with a wrong sibling shows in rows that nobody tampered with."""
+
+    def broken(*args):
+        wrong = F.transform("path", lambda s: F.struct(F.concat(s["left"], F.lit("x")).alias("left"), s["right"].alias("right")))
+        return merkle_proofs(*args).withColumn("path", F.when(F.col("key") == 1, wrong).otherwise(F.col("path")))
+
+    docs = frame([(i, f"text {i}", "en", "a") for i in range(7)]).withColumn("n_chars", F.length("text"))
+    assert {r.verified for r in verified_manifest(docs).collect()} == {True}
+    monkeypatch.setattr("claimloom.llm.merkle.merkle_proofs", broken)
+    got = {r.doc_id: (r.verified, r.folded_root == r.root) for r in verified_manifest(docs).collect()}
+    assert got.pop(1) == (False, False)
+    assert set(got.values()) == {(True, True)}
