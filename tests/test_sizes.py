@@ -1,0 +1,45 @@
+"""Room that stored and shuffled claims take, and what one task reads."""
+
+import glob
+
+import pytest
+from pyspark.sql import functions as F
+
+from claimloom.plans.sizing import TASK_BYTES, TASK_SIZES, small_tasks
+from claimloom.sources import files
+
+
+@pytest.fixture
+def set_conf(spark):
+    before = {}
+
+    def put(name, value):
+        before.setdefault(name, spark.conf.getAll.get(name))
+        spark.conf.set(name, value)
+
+    yield put
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def stored_files(root):
+    return [name for name in glob.glob(f"{root}/**/*.parquet", recursive=True) if "/part-" in name]
+
+
+def test_a_storing_task_reads_a_bounded_part(spark, tmp_path, set_conf):
+    set_conf("spark.sql.files.minPartitionNum", "1")
+    path = f"{tmp_path}/one"
+    spark.range(0, 6_000_000, 1, 1).select(F.rand(7).alias("x")).write.option("parquet.block.size", str(4 << 20)).parquet(path)
+    assert files.size_of(spark, path) > TASK_BYTES
+    files.write_parquet(spark.read.parquet(path), f"{tmp_path}/two")
+    assert len(stored_files(f"{tmp_path}/two")) > 1
+
+
+def test_sizes_are_put_back_and_smaller_ones_kept(spark, set_conf):
+    wide, narrow = TASK_SIZES
+    set_conf(wide, "1g")
+    set_conf(narrow, "8m")
+    with pytest.raises(ZeroDivisionError), small_tasks(spark):
+        assert (spark.conf.get(wide), spark.conf.get(narrow)) == (str(TASK_BYTES), "8m")
+        raise ZeroDivisionError
+    assert (spark.conf.get(wide), spark.conf.get(narrow)) == ("1g", "8m")
