@@ -43,3 +43,11 @@ def test_sizes_are_put_back_and_smaller_ones_kept(spark, set_conf):
         assert (spark.conf.get(wide), spark.conf.get(narrow)) == (str(TASK_BYTES), "8m")
         raise ZeroDivisionError
     assert (spark.conf.get(wide), spark.conf.get(narrow)) == ("1g", "8m")
+
+
+def test_written_csv_files_stay_below_a_split(spark, claims, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "CSV_FILE_RECORDS", 2)
+    raw, path = claims(*[{"quantity": float(n)} for n in range(1, 8)], {"drug_name": "two\nlines"}).coalesce(1), f"{tmp_path}/csv"
+    files.write_csv(raw, path)
+    assert len(glob.glob(f"{path}/part-*")) == 4
+    assert sorted(map(str, files.read_csv(spark, path).collect())) == sorted(map(str, raw.collect()))
