@@ -2,6 +2,7 @@
 
 import glob
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -51,3 +52,8 @@ def test_written_csv_files_stay_below_a_split(spark, claims, tmp_path, monkeypat
     files.write_csv(raw, path)
     assert len(glob.glob(f"{path}/part-*")) == 4
     assert sorted(map(str, files.read_csv(spark, path).collect())) == sorted(map(str, raw.collect()))
+
+
+def test_day_files_are_packed(spark, claims, tmp_path):
+    files.write_by_day(claims({}, {"service_date": None}), f"{tmp_path}/days")
+    assert {pq.ParquetFile(name).metadata.row_group(0).column(0).compression for name in stored_files(tmp_path)} == {"ZSTD"}
