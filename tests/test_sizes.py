@@ -7,6 +7,7 @@ import pytest
 from conftest import RUN_TS
 from pyspark.sql import F
 
+import __spark_entry__ as contract
 from claimloom.operators.clean import clean_claims
 from claimloom.operators.load import load_star
 from claimloom.operators.star import build_star
@@ -68,3 +69,10 @@ def test_written_csv_files_stay_below_a_split(spark, claims, tmp_path, monkeypat
     files.write_csv(raw, path)
     assert len(glob.glob(f"{path}/part-*")) == 4
     assert sorted(map(str, files.read_csv(spark, path).collect())) == sorted(map(str, raw.collect()))
+
+
+def test_loads_store_claims_before_their_ids_are_digests(spark):
+    tables = contract._staged_star(spark, contract.SMOKE_DIR)
+    held = spark.read.parquet(*tables["fact_claims"].inputFiles())
+    assert held.where("member_id LIKE 'MBR%'").count() == held.count() > 0
+    assert "etl_processed_at" not in held.columns
