@@ -8,9 +8,11 @@ from conftest import RUN_TS
 from pyspark.sql import F
 
 import __spark_entry__ as contract
+from claimloom.functions.columns import packed_digest, unpacked_digest
 from claimloom.operators.clean import clean_claims
 from claimloom.operators.load import load_star
 from claimloom.operators.star import build_star
+from claimloom.plans import analytics
 from claimloom.plans.sizing import TASK_BYTES, TASK_SIZES, small_tasks
 from claimloom.sources import files
 
@@ -63,6 +65,25 @@ def test_stored_claims_are_packed(spark, claims, tmp_path):
     assert {group.column(0).compression for group in groups} == {"ZSTD"}
 
 
+def test_digests_are_shuffled_as_bytes(spark):
+    digest = "0123456789abcdef" * 4
+    texts = [digest, digest.upper(), "", "a", "abc", "ab", "AB", "no hex", "\x01", "é", None]
+    df = spark.createDataFrame([(x,) for x in texts], "k string").select("k", packed_digest("k").alias("p"))
+    back = df.withColumn("u", unpacked_digest("p")).collect()
+    assert [r.u for r in back] == texts
+    assert len({bytes(r.p) for r in back if r.p is not None}) == len(texts) - 1
+    assert len(back[0].p) == 33
+
+
+def test_answers_tell_any_keys_apart(spark, claims):
+    fact = build_star(clean_claims(claims({}, {}, {}, {}), RUN_TS))["fact_claims"]
+    odd = F.expr("element_at(array('ab', 'AB', '', NULL), int(row_number() OVER (ORDER BY claim_key)))")
+    star = {"fact_claims": fact.withColumns({"member_key": odd, "drug_key": odd})}
+    row = analytics.pipeline_summary(star).first()
+    assert (row.total_claims, row.unique_members, row.unique_drugs) == (4, 3, 3)
+    assert sorted(str(r.drug_key) for r in analytics._per_key(star, "drug_key").collect()) == ["", "AB", "None", "ab"]
+
+
 def test_written_csv_files_stay_below_a_split(spark, claims, tmp_path, monkeypatch):
     monkeypatch.setattr(files, "CSV_FILE_RECORDS", 2)
     raw, path = claims(*[{"quantity": float(n)} for n in range(1, 8)], {"drug_name": "two\nlines"}).coalesce(1), f"{tmp_path}/csv"
