@@ -7,7 +7,9 @@ held by a packed tree:
 1. Size bands. Similar sets differ little in size, so a set lies in its band and, near the upper end, in the next.
 2. Cells. In a band whose sets may differ in D shingles at most, shingles are dealt to more than D slices, so similar sets
    agree in a whole slice. The content of a slice names the cell; empty slices count only for the few sets that
-   fill too few slices to be sure of a common one. Of cells with the same sets one is kept; a cell of two sets is a pair of its own.
+   fill too few slices to be sure of a common one. All cells have one order, by the sets they hold: of two similar sets, at most as many cells
+   as they differ in shingles lie before the first common one, so each set leaves out the hottest of its cells beyond that number and one.
+   Of cells with the same sets one is kept; a cell of two sets is a pair of its own.
 3. Inner boxes and leaves. The points of a cell are sorted by group, size and coordinates and packed in leaves, and `FANOUT` leaves in an
    inner box. Pairs of inner boxes are bounded, then pairs of leaves below those that are left.
 4. Points. Boxes have 64 coordinates, which say little of a large set, whose counts are all much alike. So the coordinates of a point grow
@@ -22,13 +24,14 @@ Shingles are known by 64-bit digests. So are sets, by sums of their shingles' di
 share the first one, and then all sets are named anew with another salt.
 """
 
+from bisect import bisect_right
 from itertools import count
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimloom.llm.common import BLOCK_BYTES, Stages, blocks, checked, components, lists, mix, salted, shingles, with_neutral_names
@@ -75,45 +78,54 @@ def set_ids(doc: np.ndarray, value: np.ndarray, rows: int, salt: int = 0) -> tup
     return size, mix(total[ends] - total[ends - size] + size.astype(np.uint64)).view(np.int64)
 
 
-def cells(size: int, value: np.ndarray, band: int, plan: tuple[int, int]) -> np.ndarray:
-    """Names of the cells in which a set lies, in one band."""
-    most, slices = plan
+def cells(size: int, value: np.ndarray, band: int, slices: int, differing: int) -> tuple[np.ndarray, int]:
+    """Names of the cells in which a set lies, in one band, and how many of them it may leave out.
+
+    `differing` is the most shingles in which a similar set of the band differs from this one. That many cells of a set are not the similar
+    one's, so of any more cells one is common. Where empty slices count, the other set may not have them, so none is left out.
+    """
     place = ((value >> np.uint64(32)) * np.uint64(slices) >> np.uint64(32)).astype(np.int64)
     held = np.zeros(slices, np.uint64)
     np.add.at(held, place, mix(value ^ np.uint64(0x5BD1E995)))
     filled = np.bincount(place, minlength=slices) > 0
+    surplus = np.count_nonzero(filled) - differing - 1
     name = mix(held + salted(101 + band, slices) * np.uint64(0xD6E8FEB86659FD93))
-    return name if np.count_nonzero(filled) <= most else name[filled]
+    return (name, 0) if surplus < 0 else (name[filled], surplus)
 
 
 def _sets(batches, words: int, share: tuple[int, int], salt: int):
-    """(doc_id, n, node, check, cells); a task names the cells of a set once, however many copies it reads."""
+    """(doc_id, n, node, check, bands); a task names the cells of a set once, however many copies it reads."""
     num, den = share
-    starts, plan, seen = np.array(band_starts()), band_plan(share), set()
+    starts, plan, seen = band_starts(), band_plan(share), set()
     for rows, data, offsets in blocks(batches):
         doc, value = shingles(data, offsets, words)
         size, node = set_ids(doc, value, len(offsets) - 1, salt)
         check = set_ids(doc, value, len(offsets) - 1, salt + (1 << 32))[1]
         ends, known = np.cumsum(size), rows.column(0).is_valid().to_numpy(False)
-        found: list[np.ndarray] = []
-        named = np.zeros(len(size), bool)
+        found: list[tuple[int, int, np.ndarray]] = []
+        counts = np.zeros(len(size), np.int64)
         for row in np.flatnonzero(known & (size > 0)):
             if (key := int(node[row])) in seen:
                 continue
             seen.add(key)
-            named[row] = True
             n, own = int(size[row]), value[ends[row] - size[row] : ends[row]]
-            band = int(np.searchsorted(starts, n, "right")) - 1
-            names = [cells(n, own, band, plan[band])]
-            while starts[band + 1] * num <= n * den:
+            band = bisect_right(starts, n) - 1
+            while True:
+                largest = min(n * den // num, starts[band + 1] - 1)
+                names, spare = cells(n, own, band, plan[band][1], (n + largest) * (den - num) // (den + num))
+                found.append((band, spare, names.view(np.int64)))
+                counts[row] += 1
+                if starts[band + 1] * num > n * den:
+                    break
                 band += 1
-                names.append(cells(n, own, band, plan[band]))
-            found.append(np.concatenate(names).view(np.int64))
-        counts = np.zeros(len(size), np.int64)
-        counts[named] = [len(x) for x in found]
-        held = lists(counts, np.concatenate(found) if found else np.zeros(0, np.int64))
+        names = lists(np.array([len(x[2]) for x in found], np.int64), np.concatenate([np.zeros(0, np.int64), *(x[2] for x in found)]))
+        numbers = [pa.array([x[k] for x in found], pa.int32()) for k in (0, 1)]
+        held = lists(counts, pa.StructArray.from_arrays([*numbers, names], ["band", "spare", "cells"]))
         columns = [rows.column(0), pa.array(size.astype(np.int64)), pa.array(node), pa.array(check), held]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "node", "check", "cells"])
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "node", "check", "bands"])
+
+
+_SETS = "doc_id long, n long, node long, check long, bands array<struct<band: int, spare: int, cells: array<long>>>"
 
 
 def _points(batches, words: int, salt: int, per_group: int, least_groups: int):
@@ -316,17 +328,20 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, share: tuple[int, int] =
     stages = Stages(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     for salt in count():
-        sets = docs.mapInArrow(partial(_sets, words=words, share=share, salt=salt), "doc_id long, n long, node long, check long, cells array<long>")
+        sets = docs.mapInArrow(partial(_sets, words=words, share=share, salt=salt), _SETS)
         sets = stages.keep(f"sets-{salt}", sets)
         named_alike = sets.where("n > 0").groupBy("node").agg(F.min("check").alias("one"), F.max("check").alias("other")).where("one < other")
         if not named_alike.head(1):
             break
 
     # Sets that share a cell with another set. Hot cells are folded map-side and joined back, and the join can be split there.
-    named, wide = sets.select(F.explode("cells").alias("cell"), "node", "n"), f"sets-{salt}"
+    named, wide = sets.select("node", "n", F.inline("bands")).select(F.explode("cells").alias("cell"), "node", "n", "band", "spare"), f"sets-{salt}"
     sets = stages.keep("sets", sets.select("doc_id", "n", "node"))
-    heads = named.groupBy("cell").agg(F.min("node").alias("head"), F.max("node").alias("tail")).where("head < tail")
-    shared = stages.keep("shared", named.join(stages.keep("heads", heads.select("cell")), "cell").distinct())
+    heads = named.groupBy("cell").agg(F.min("node").alias("head"), F.max("node").alias("tail"), F.count("node").alias("heat")).where("head < tail")
+    shared = named.join(stages.keep("heads", heads.select("cell", "heat")), "cell").distinct()
+    # Of the cells of a set in a band, the hottest are left out, as many as its similar sets allow. Cells of its own alone are the last to go.
+    hottest = F.row_number().over(Window.partitionBy("node", "band").orderBy(F.desc("heat"), "cell"))
+    shared = stages.keep("shared", shared.withColumn("place", hottest).where("place > spare").select("cell", "node", "n"))
     stages.drop("heads", wide)
     # Which sets a cell holds, as a number of them and two digests; each set counts once.
     digests = [F.bit_xor(F.xxhash64(F.lit(seed), "node")).alias(name) for seed, name in ((1, "x"), (2, "y"))]

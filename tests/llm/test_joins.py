@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections import defaultdict
 
 import numpy as np
@@ -66,6 +67,60 @@ def test_ngram_join_of_chains_in_one_cell(frame, monkeypatch):
     assert got == want
 
 
+def test_cells_left_out_lose_no_similar_set():
+    """Whatever the order of cells, two sets that are just similar keep a common one; at all sizes, as the smaller or larger of a band."""
+    rng = np.random.default_rng(9)
+    for num, den in ((8, 10), (9, 10), (1, 2)):
+        starts, plan = ngram_join.band_starts(), ngram_join.band_plan((num, den))
+        left_out = 0
+        for n in [*range(1, 40), *rng.integers(40, 900, 150)]:
+            other = rng.integers(n, n * den // num + 1)
+            common = -(-num * (n + other) // (den + num))
+            if common > n:
+                continue
+            value = rng.choice(1 << 62, n + other - common, replace=False).astype(np.uint64) * np.uint64(4)
+            band = bisect_right(starts, other) - 1
+            kept = []
+            for own in (value[:n], value[n - common :]):
+                largest = min(len(own) * den // num, starts[band + 1] - 1)
+                names, spare = ngram_join.cells(len(own), own, band, plan[band][1], (len(own) + largest) * (den - num) // (den + num))
+                left_out += spare
+                # Common cells come last, so they are the first to be left out.
+                kept.append((names, spare))
+            shared = np.intersect1d(kept[0][0], kept[1][0])
+            assert not set.intersection(*[set(names.tolist()) - set(shared[:spare].tolist()) for names, spare in kept]) == set()
+        assert left_out > 1000
+
+
+def test_ngram_join_leaves_out_hot_cells(frame, monkeypatch):
+    """Texts with some passages in common: their cells are hot, and texts that are not similar meet in few others. Near copies are found all the same."""
+    rng = np.random.default_rng(6)
+    passages = [[f"p{k}w{i}" for i in range(14)] for k in range(3)]
+    rows = []
+    for i in range(150):
+        words = [f"d{i}w{j}" for j in range(100)]
+        for passage in passages[: 1 + i % 3]:
+            at = rng.integers(len(words))
+            words[at:at] = passage
+        rows.append((i, " ".join(words)))
+        if i % 5 == 0:
+            for at in rng.choice(len(words), i // 5 % 4, replace=False):
+                words[at] = f"new{i}"
+            rows.append((1000 + i, " ".join(words)))
+    stored, keep = {}, ngram_join.Stages.keep
+
+    def counted(self, name, df):
+        stored[name] = (out := keep(self, name, df)).count()
+        return out
+
+    monkeypatch.setattr(ngram_join.Stages, "keep", counted)
+    got = {tuple(r) for r in ngram_jaccard_join(frame([(*r, "en", "a") for r in rows]), 5, (8, 10)).collect()}
+    want = joined_by_brute_force(rows, 5, 8, 10)
+    assert len({x[2] for x in want}) < len(rows) - 10
+    assert got == want
+    assert stored["several"] < 100 and stored["candidates"] == 0
+
+
 def test_ngram_join_of_odd_rows(frame, odd_rows):
     got = ngram_jaccard_join(frame(odd_rows), 3, (9, 10)).collect()
     assert len(got) == len(odd_rows)
