@@ -15,6 +15,7 @@ held by a packed tree:
 4. Points. Boxes have 64 coordinates, which say little of a large set, whose counts are all much alike. So the coordinates of a point grow
    with its set: groups in a power of two, at least `least_groups` and at most `per_group` shingles to a group, and with another point both
    are folded to the fewer. Only pairs of points whose bound suffices leave the task, and are bounded once more on at most 4 shingles to a group.
+   With a point go the `FIRSTS` least of its cells; a pair that has one in common below the present cell leaves another task, not this one.
 
 Before the descent each set is compared with the least of one cell and then with those of its other cells from which it is
 still apart (linear in the cells). Boxes that lie in one connected group go: no pair inside such a group is
@@ -39,6 +40,7 @@ from claimloom.llm.common import BLOCK_BYTES, Stages, blocks, checked, component
 GROUPS = 64
 LEAF = 128
 FANOUT = 16
+FIRSTS = 16
 BAND = 1.5
 
 
@@ -199,17 +201,17 @@ def _bounded(batches, share: tuple[int, int]):
 
 _LEAF = {
     "cell": pa.int64(), "inner": pa.int64(), "leaf": pa.int64(), "least_n": pa.int64(), "comp_low": pa.int64(), "comp_high": pa.int64(), "box": pa.list_(pa.int64()),
-    "nodes": pa.list_(pa.int64()), "comps": pa.list_(pa.int64()), "sizes": pa.list_(pa.int64()), "points": pa.list_(pa.binary()),
+    "nodes": pa.list_(pa.int64()), "comps": pa.list_(pa.int64()), "sizes": pa.list_(pa.int64()), "points": pa.list_(pa.binary()), "firsts": pa.list_(pa.binary()),
 }
 _LEAF_FIELDS = (
     "cell long, inner long, leaf long, least_n long, comp_low long, comp_high long, box array<long>, "
-    "nodes array<long>, comps array<long>, sizes array<long>, points array<binary>"
+    "nodes array<long>, comps array<long>, sizes array<long>, points array<binary>, firsts array<binary>"
 )
-_HELD = ("nodes", "comps", "sizes", "points")
+_HELD = ("nodes", "comps", "sizes", "points", "firsts")
 
 
 def _leaves(batches):
-    """Packs consecutive rows of a cell (cell, comp, n, node, point), which come sorted, into leaves, and tells the inner box of each."""
+    """Packs consecutive rows of a cell (cell, comp, n, node, point, firsts), which come sorted, into leaves, and tells the inner box of each."""
     last_cell, number, inner = None, 0, 0
 
     def packed(rows: pa.Table):
@@ -228,6 +230,7 @@ def _leaves(batches):
                     "cell": int(cell[at]), "inner": inner, "leaf": int(nodes[0]), "least_n": int(sizes.min()),
                     "comp_low": int(comps.min()), "comp_high": int(comps.max()), "box": _coordinates(points, sizes).max(0).tolist(),
                     "nodes": nodes.tolist(), "comps": comps.tolist(), "sizes": sizes.tolist(), "points": points,
+                    "firsts": [np.array(x, np.int64).tobytes() for x in part["firsts"].to_pylist()],
                 }
 
     schema = pa.schema(list(_LEAF.items()))
@@ -249,10 +252,24 @@ def _leaves(batches):
 def _own_pairs(batches, share: tuple[int, int]):
     """Pairs of points of one leaf, as of `_leaf_pairs`."""
     for batch in batches:
-        both = pa.RecordBatch.from_arrays([batch.column(c) for c in _HELD for _ in (0, 1)], [f"{c}{side}" for c in _HELD for side in ("", "_b")])
+        names = ["cell", *[f"{c}{side}" for c in _HELD for side in ("", "_b")]]
+        both = pa.RecordBatch.from_arrays([batch.column("cell"), *[batch.column(c) for c in _HELD for _ in (0, 1)]], names)
         yield from _leaf_pairs(iter([both]), share, own=True)
 
 
+def _met_before(a: list[bytes], b: list[bytes], i: np.ndarray, j: np.ndarray, cell: int) -> np.ndarray:
+    """Whether the points i[k] and j[k] have a cell before `cell` in common, as far as the least of their cells tell."""
+
+    def matrix(firsts: list[bytes]) -> np.ndarray:
+        out = np.full((len(firsts), FIRSTS), cell, np.int64)
+        for row, first in zip(out, firsts, strict=True):
+            row[: len(first) // 8] = np.frombuffer(first, np.int64)
+        return out
+
+    x, y = matrix(a)[i], matrix(b)[j]
+    return ((x[:, :, None] == y[:, None, :]) & (x < cell)[:, :, None]).any((1, 2))
+
+
 def _leaf_pairs(batches, share: tuple[int, int], own: bool = False):
     """Pairs of points of two leaves that lie in different groups and whose bound reaches the needed overlap, first on 64 coordinates."""
     num, den = share
@@ -269,6 +286,8 @@ def _leaf_pairs(batches, share: tuple[int, int], own: bool = False):
             i, j = np.nonzero(apart & (bound * (den + num) >= num * sizes))
             if not len(i):
                 continue
+            fresh = ~_met_before(row["firsts"], row["firsts_b"], i, j, row["cell"])
+            i, j = i[fresh], j[fresh]
             points = [pa.array(row[c], pa.binary()).take(pa.array(k)) for c, k in (("points", i), ("points_b", j))]
             keep = _reaches(*points, sizes[i, j], share)
             x, y = np.array(row["nodes"], np.int64)[i[keep]], np.array(row["nodes_b"], np.int64)[j[keep]]
@@ -291,7 +310,7 @@ def _descended(stages: Stages, leaves: DataFrame, share: tuple[int, int]) -> Dat
         return df.select(*[F.col(c).alias(f"{c}_b") for c in df.columns])
 
     # Most cells are one leaf, which is compared with itself where it is stored; only leaves that meet others are moved.
-    alone = leaves.where("comp_low < comp_high").select(*_HELD).mapInArrow(partial(_own_pairs, share=share), "a long, b long")
+    alone = leaves.where("comp_low < comp_high").select("cell", *_HELD).mapInArrow(partial(_own_pairs, share=share), "a long, b long")
     several = leaves.groupBy("cell").agg(F.count("leaf").alias("leaves")).where("leaves > 1").select("cell")
     several = stages.keep("spread", several)
     leaves = leaves.join(several, "cell")
@@ -309,7 +328,7 @@ def _descended(stages: Stages, leaves: DataFrame, share: tuple[int, int]) -> Dat
     met = stages.keep("met", met)
     points = leaves.select("cell", "leaf", *_HELD)
     met = met.join(points, ["cell", "leaf"]).join(second(points).withColumnRenamed("cell_b", "cell"), ["cell", "leaf_b"])
-    met = met.select(*[f"{c}{side}" for c in _HELD for side in ("", "_b")])
+    met = met.select("cell", *[f"{c}{side}" for c in _HELD for side in ("", "_b")])
     return met.mapInArrow(partial(_leaf_pairs, share=share), "a long, b long").union(alone).where("a < b").distinct()
 
 
@@ -398,11 +417,12 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, share: tuple[int, int] =
     # Cells that still hold several groups, by the tree.
     rest = shared.join(groups, "node", "left").select("cell", "node", F.coalesce("comp", "node").alias("comp"))
     apart = rest.groupBy("cell").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("cell")
-    rest = rest.join(apart, "cell").join(points.select("node", "n", "point"), "node")
+    firsts = F.slice(F.sort_array(F.collect_list("cell").over(Window.partitionBy("node"))), 1, FIRSTS)
+    rest = rest.join(apart, "cell").withColumn("firsts", firsts).join(points.select("node", "n", "point"), "node")
     # Points sort by their bytes, so by one coordinate after the other.
     order = ["cell", "comp", "n", "point", "node"]
     rest = rest.repartitionByRange(*order).sortWithinPartitions(*order)
-    leaves = stages.keep("leaves", rest.select("cell", "node", "comp", "n", "point").mapInArrow(_leaves, _LEAF_FIELDS))
+    leaves = stages.keep("leaves", rest.select("cell", "node", "comp", "n", "point", "firsts").mapInArrow(_leaves, _LEAF_FIELDS))
     stages.drop("several")
     candidates = stages.keep("candidates", _descended(stages, leaves, share))
     stages.drop("leaves", "spread", "inner", "met")

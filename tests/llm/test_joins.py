@@ -121,6 +121,32 @@ def test_ngram_join_leaves_out_hot_cells(frame, monkeypatch):
     assert stored["several"] < 100 and stored["candidates"] == 0
 
 
+def test_a_pair_leaves_one_leaf(frame, monkeypatch):
+    """Texts that meet in many cells and are near, but not similar, are handed on once and not from each cell."""
+    rng = np.random.default_rng(8)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(60):
+        words = list(base)
+        for at in rng.choice(150, 4, replace=False):
+            words[at] = f"new{i}at{at}"
+        rows.append((i, " ".join(words)))
+    made, leaf_pairs = [], ngram_join._leaf_pairs
+
+    def counted(leaves):
+        both = [f"{c}{side}" for c in ngram_join._HELD for side in ("", "_b")]
+        for row in leaves.collect():
+            held = {c: getattr(row, c.removesuffix("_b")) for c in both}
+            schema = pa.schema([("cell", pa.int64()), *[(c, ngram_join._LEAF[c.removesuffix("_b")]) for c in both]])
+            batch = pa.RecordBatch.from_pylist([{"cell": row.cell, **held}], schema)
+            made.extend(tuple(pair.values()) for out in leaf_pairs(iter([batch]), (8, 10), own=True) for pair in out.to_pylist())
+
+    monkeypatch.setattr(ngram_join, "_descended", lambda stages, leaves, share, f=ngram_join._descended: counted(leaves) or f(stages, leaves, share))
+    got = {tuple(r) for r in ngram_jaccard_join(frame([(*r, "en", "a") for r in rows]), 5, (8, 10), per_group=8, least_groups=64).collect()}
+    assert got == joined_by_brute_force(rows, 5, 8, 10)
+    assert len(set(made)) > 10 and len(made) < 1.5 * len(set(made))
+
+
 def test_ngram_join_of_odd_rows(frame, odd_rows):
     got = ngram_jaccard_join(frame(odd_rows), 3, (9, 10)).collect()
     assert len(got) == len(odd_rows)
