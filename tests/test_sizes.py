@@ -1,6 +1,7 @@
 """Room that stored and shuffled claims take, and what one task reads."""
 
 import glob
+import time
 
 import pyarrow.parquet as pq
 import pytest
@@ -10,10 +11,10 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from claimloom.functions.columns import packed_digest, unpacked_digest
 from claimloom.operators.clean import clean_claims
-from claimloom.operators.load import load_star
+from claimloom.operators.load import load_star, parquet_sink
 from claimloom.operators.star import build_star
 from claimloom.plans import analytics
-from claimloom.plans.sizing import TASK_BYTES, TASK_SIZES, small_tasks
+from claimloom.plans.sizing import DROP_SHUFFLES, TASK_BYTES, TASK_SIZES, small_tasks
 from claimloom.sources import files
 
 
@@ -98,3 +99,32 @@ def test_loads_store_claims_before_their_ids_are_digests(spark):
     held = spark.read.parquet(*tables["fact_claims"].inputFiles())
     assert held.where("member_id LIKE 'MBR%'").count() == held.count() > 0
     assert "etl_processed_at" not in held.columns
+
+
+def shuffle_files(spark):
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+    return {name for folder in env.blockManager().diskBlockManager().localDirs() for name in glob.glob(f"{folder}/**/shuffle_*", recursive=True)}
+
+
+def left_over(spark, before):
+    """Shuffle files that came since `before` and stay: they are removed beside the query."""
+    for _ in range(50):
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.1)
+    return left
+
+
+@pytest.mark.parametrize("store", ["write_parquet", "write_counted", "parquet_sink"])
+def test_stored_claims_take_the_place_of_their_shuffles(spark, claims, tmp_path, store):
+    cleaned, path, before = clean_claims(claims({}, {}, {}), RUN_TS), f"{tmp_path}/claims", shuffle_files(spark)
+    if store == "write_parquet":
+        files.write_parquet(cleaned, path)
+    elif store == "write_counted":
+        assert files.write_counted(cleaned, path, {"n": "count(1)"}) == {"n": 3}
+    else:
+        parquet_sink(str(tmp_path), "zstd")(cleaned, "claims")
+    assert left_over(spark, before) == set()
+    assert spark.conf.get(DROP_SHUFFLES) == "false"
+    # What was stored can be computed again from its source.
+    assert files.read_parquet(spark, path, cleaned.schema).count() == cleaned.count() == 3
