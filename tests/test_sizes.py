@@ -128,3 +128,25 @@ def test_stored_claims_take_the_place_of_their_shuffles(spark, claims, tmp_path,
     assert spark.conf.get(DROP_SHUFFLES) == "false"
     # What was stored can be computed again from its source.
     assert files.read_parquet(spark, path, cleaned.schema).count() == cleaned.count() == 3
+
+
+def test_the_fact_is_computed_from_stored_claims(spark):
+    before = shuffle_files(spark)
+    fact = contract.queries()["fact_claims"](spark, contract.SMOKE_DIR)
+    assert left_over(spark, before) == set()
+    plan = fact._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "lineitem" not in plan
+
+
+def test_claims_of_a_provider_lie_together(spark):
+    held = contract._staged_claims(spark, contract.SMOKE_DIR)
+    ids = [pq.read_table(name, columns=["npi_number"])["npi_number"].to_pylist() for name in stored_files(spark.conf.get("spark.checkpoint.dir")) if f"file://{name}" in {*held.inputFiles()}]
+    assert ids and max(map(len, ids)) > 1 and all(part == sorted(part) for part in ids)
+
+
+def test_shuffles_behind_stored_claims_widen_with_their_tables(spark, set_conf, monkeypatch):
+    set_conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1k")
+    set_conf("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1b")
+    few = len(contract._staged_claims(spark, contract.SMOKE_DIR).inputFiles())
+    monkeypatch.setattr(contract, "SORTED_BYTES", 20_000)
+    assert few <= 4 < len(contract._staged_claims(spark, contract.SMOKE_DIR).inputFiles())
