@@ -1,6 +1,7 @@
 """Room that stored and shuffled claims take, and what one task reads."""
 
 import glob
+import re
 import time
 
 import pyarrow.parquet as pq
@@ -9,8 +10,8 @@ from conftest import RUN_TS
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from claimloom.functions.columns import packed_digest, unpacked_digest
-from claimloom.operators.clean import clean_claims
+from claimloom.functions.columns import keep_first, packed_digest, packed_texts, unpacked_digest, unpacked_text
+from claimloom.operators.clean import clean_claims, dedup_claims
 from claimloom.operators.load import load_star, parquet_sink
 from claimloom.operators.star import build_star
 from claimloom.plans import analytics
@@ -150,3 +151,44 @@ def test_shuffles_behind_stored_claims_widen_with_their_tables(spark, set_conf,
     few = len(contract._staged_claims(spark, contract.SMOKE_DIR).inputFiles())
     monkeypatch.setattr(contract, "SORTED_BYTES", 20_000)
     assert few <= 4 < len(contract._staged_claims(spark, contract.SMOKE_DIR).inputFiles())
+
+
+ODD_TEXTS = [None, "", "\x00", "\x01", "\x02", "\x01\x01", "\x01\x02", "\x00\x01", "\x01\x00", "a", "a\x00", "ab", "1", "2", "é", "\U0010ffff"]
+
+
+def test_packed_texts_sort_as_the_texts_and_come_back(spark):
+    pairs = [(a, b) for a in ODD_TEXTS for b in ODD_TEXTS]
+    df = spark.createDataFrame(pairs, "a string, b string").select("a", "b", packed_texts(["a", "b"]).alias("p"))
+    back = df.select("a", "b", "p", unpacked_text("p", 0).alias("x"), unpacked_text("p", 1).alias("y")).collect()
+    assert all((r.a, r.b) == (r.x, r.y) for r in back)
+
+    def place(pair):
+        return [(text is None, (text or "").encode()) for text in pair]
+
+    assert [(r.a, r.b) for r in sorted(back, key=lambda r: r.p.encode())] == sorted(pairs, key=place)
+
+
+def test_packed_texts_may_be_no_utf8(spark):
+    df = spark.sql("SELECT CAST(X'80FF' AS string) AS a, CAST(X'41C3' AS string) AS b").select(packed_texts(["a", "b"]).alias("p"))
+    assert tuple(df.select(F.hex(unpacked_text("p", 0)), F.hex(unpacked_text("p", 1))).first()) == ("80FF", "41C3")
+
+
+def test_first_rows_by_texts_with_gaps(spark):
+    rows = [(key, *texts, n) for n in (1, None, 0) for key in ("k", None) for texts in (("b", None, "x"), ("b", "", None), (None, "a", "x"), ("b", "", "\x00"), ("b", "\x00", "a"))]
+    df = spark.createDataFrame(rows, "key string, a string, b string, c string, n int")
+    found = keep_first(df, ["key"], ["a", "b", "n", "c"], rows=2)
+    assert found.columns == df.columns
+
+    def place(row):
+        return [(row[i] is None, row[i] if row[i] is not None else 0) for i in (1, 2, 4, 3)]
+
+    expected = [row for key in ("k", None) for row in sorted((r for r in rows if r[0] == key), key=place)[:2]]
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, expected))
+
+
+def test_copies_are_shuffled_with_their_texts_as_one(spark, claims, tmp_path):
+    files.write_parquet(claims({}), f"{tmp_path}/raw")
+    plan = dedup_claims(files.read_parquet(spark, f"{tmp_path}/raw"))._jdf.queryExecution().executedPlan()
+    shuffle = re.search(r"Exchange.*?Project \[([^\]]*)\]\n", plan.toString(), re.S)[1]
+    assert len(re.findall(r"AS _texts\d+", shuffle)) == 2
+    assert re.sub(r"#\d+", "", shuffle).startswith("claim_id, claim_amount, quantity, days_supply, claim_status, concat_ws(")
